@@ -1,15 +1,16 @@
-"""The query catalogue on the driver's tables."""
+"""All catalogue queries on the driver's tables, with their SQL."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from quillspark.plans import corpus_queries, entity_queries, search_queries, text_queries
+from quillspark.plans.base import Query
 
-from pyspark.sql import DataFrame, SparkSession
+_PARTS = [m.query for m in (corpus_queries, entity_queries, search_queries, text_queries)]
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+def queries() -> dict[str, Query]:
+    return {k: v for part in _PARTS for k, v in part.queries.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {k: v for part in _PARTS for k, v in part.sql.items()}
