@@ -12,9 +12,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Marks that are dropped, letters and digits that are folded, spaces.
-MARKS = "[ؐ-ًؚ-ٰٟۖ-ۭـ​-‏﻿]"
+MARKS = "[\u0610-\u061a\u064b-\u065f\u0670\u06d6-\u06edـ\u200b-\u200f\ufeff]"
 FOLD_FROM, FOLD_TO = "أإآٱى٠١٢٣٤٥٦٧٨٩", "ااااي0123456789"
-NAME_MARKS = "[ً-ٰٟـ]"
+NAME_MARKS = "[\u064b-\u065f\u0670ـ]"
 NAME_FROM, NAME_TO = "أإآى", "اااي"
 SIGN_FROM, SIGN_TO = "أإآؤئة", "اااويه"
 SPACES = r"(?U)[\s\x1c-\x1f]+"

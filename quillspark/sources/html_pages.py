@@ -15,7 +15,7 @@ MARKER = rb"<div\b[^>]*\bclass\s*=\s*['\"][^'\"]*\bPageText\b[^'\"]*['\"][^>]*>"
 PAGE, HEADER, PART, LABEL = "PageText", "PageHead", "PartName", "PageNumber"
 BLOCKS = "div p br li tr h1 h2 h3 h4 hr".split()
 VOID = "area base br col embed hr img input link meta source track wbr".split()
-NUMBERED = r"^[\s​-‏]*(?:[\d٠-٩]{1,6})\s*[-–ـ]"
+NUMBERED = "^[\\s\u200b-\u200f]*(?:[\\d٠-٩]{1,6})\\s*[-–ـ]"
 ENCODINGS = ("utf-8-sig", "cp1256")
 META_LINE = r"\s*([^:：]{2,45})\s*[:：]\s*(.+)"
 
