@@ -9,7 +9,7 @@ Masks are differences of prefix sums over the ids: REPLY and END_REPLY open and
 stand as control strings; control strings that occur in roles or texts are escaped there, reversibly: ESC within one
 (`<ESC.s>`), ESC itself doubled.
 
-Rows are ordered by turn (null first), then role and text. Null roles and texts count as empty, rows whose conv_id is
+Rows are ordered by turn (null first); of one turn, by their ids. Null roles and texts count as empty, rows whose conv_id is
 null form one conversation. Repeated rows are turns of their own. Extra columns aren't read. Rows of a conversation are
 encoded where they lie; then a worker reads them in order as a stream, with memory for a batch and two digests.
 """
@@ -97,7 +97,7 @@ def conversations(turns: DataFrame, path: str | None = None) -> DataFrame:
     bounded(turns.sparkSession)
     path = path or bpe.named(VOCABULARY)[0]
     kind = turns.schema["conv_id"].dataType.simpleString()
-    rows = turns.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").select("conv_id", "ids")
+    rows = turns.select("conv_id", "turn", "ids").repartition("conv_id").sortWithinPartitions("conv_id", "turn", "ids").select("conv_id", "ids")
     names = ["conv_id", "n_turns", "n_tokens", "loss_tokens", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
     schema = f"conv_id {kind}, n_turns long, n_tokens long, loss_tokens long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
 

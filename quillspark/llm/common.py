@@ -1,59 +1,22 @@
-"""Shared helpers: shared-folder tables, batch bounds, inputs."""
+"""Shared helpers: batch bounds, hashes, inputs."""
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Words are runs of anything but ASCII white space.
-WORD = r"[^\x20\x09-\x0D]+"
-
-_written: list[tuple[SparkSession, str]] = []
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def scratch(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; a temporary one where the session has none (tests)."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        where = tempfile.mkdtemp(prefix="quill-")
-        spark.conf.set("spark.checkpoint.dir", where)
-    return where.rstrip("/")
+from quillspark.storage import materialize, scratch, table
 
+__all__ = ["BATCH_ROWS", "WORD", "bounded", "map_arrow", "materialize", "scratch", "table", "xx_unit"]
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Writes df to the shared folder and reads it again: cuts lineage and survives lost executors."""
-    spark = df.sparkSession
-    path = f"{scratch(spark)}/quill-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def forget() -> None:
-    """Deletes what materialize() wrote in this process."""
-    while _written:
-        spark, path = _written.pop()
-        try:
-            p = spark._jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-        except Exception:  # the session may be gone at exit
-            continue
-
-
-atexit.register(forget)
+#: Words are runs of anything but ASCII white space.
+WORD = r"[^\x20\x09-\x0D]+"
 
-#: Rows and bytes of text that Python handles at a time.
-BATCH_ROWS, BATCH_BYTES = 1024, 8 << 20
+#: Rows of text that Python handles at a time.
+BATCH_ROWS = 1024
 
 
 def bounded(spark: SparkSession) -> None:

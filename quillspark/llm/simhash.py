@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.llm.common import bounded, map_arrow, materialize
+from quillspark.operators.components import components
 
 SHINGLE, SEED, BITS, RADIUS = 3, 42, 64, 3
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -167,38 +168,14 @@ def links(distinct: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long")
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
-    """node, root: connected components of edges (a, b) by alternating large-star and small-star steps.
-
-    Each step is written to the shared folder. It ends when the edges are stars round each component's smallest node.
-    """
-    now = materialize(edges.where("a <> b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct())
-    sign = None
-    for _ in range(rounds):
-        both = now.select("v", "u").unionAll(now.select(F.col("u").alias("v"), F.col("v").alias("u")))
-        least = both.groupBy("v").agg(F.least(F.min("u"), F.first("v")).alias("m"))
-        large = both.join(least, "v").where("u > v").select(F.col("u").alias("v"), F.col("m").alias("u")).where("u < v").distinct()
-        least = large.groupBy("v").agg(F.min("u").alias("m"))
-        joined = large.join(least, "v")
-        small = joined.select(F.col("u").alias("v"), F.col("m").alias("u")).unionAll(least.select("v", F.col("m").alias("u"))).where("u < v").distinct()
-        now = materialize(small)
-        new = now.agg(F.count(F.lit(1)), F.sum(F.hash("v", "u").cast("long")), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if new == sign:
-            return now.select(F.col("v").alias("node"), F.col("u").alias("root"))
-        sign = new
-    raise RuntimeError(f"components: no end after {rounds} rounds")
-
-
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, fingerprint (16 hex digits), component_id (the smallest key reachable over links)."""
     fps = materialize(fingerprints(docs, key, text))
     classes = fps.groupBy("fp").agg(F.min("k").alias("least"))
     roots = components(links(classes.select("fp")))
-    named = classes.join(roots, classes.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    named = materialize(named)
-    linked = named.join(roots.select("root").distinct(), "root", "left_semi")
-    ids = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-    known = linked.join(ids, "root").select("fp", "component_id").unionAll(named.join(roots.select("root").distinct(), "root", "left_anti").select("fp", F.col("least").alias("component_id")))
+    named = materialize(classes.join(roots, classes.fp == roots.node, "left").select("fp", "least", "root"))
+    ids = named.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("least").alias("__c"))
+    known = named.join(ids, "root", "left").select("fp", F.coalesce("__c", "least").alias("component_id"))
     out = fps.join(known, "fp", "left")
     return out.select(F.col("k").alias(key), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 

@@ -6,8 +6,10 @@ its label, and a toxic one severe if its share of words that mark toxic rows is
 expected severity is the sum over k of P(grade > k), between 0 and 2.
 
 Features are the distinct words of the whole text and their beginnings of PREFIX letters, hashed to DIM numbers; a
-word's weight is that of both. Learning takes about SAMPLE labelled rows by a hash of doc_id, a documented bound; the
-cut that rejects is chosen on the fifth of them that is kept out of learning.
+word's weight is that of both. Only features that are LIFT times as frequent in one class as in the other, beyond chance
+(LEAST_Z), have a weight: the many words of a long text that say nothing don't add up. Learning takes about SAMPLE
+labelled rows by a hash of doc_id, a documented bound; the cut that rejects is chosen on the fifth of them that is kept
+out of learning.
 
 Null and empty texts have no features: their severity is what the thresholds give. Labels that are null or whose doc_id
 is unknown are left out; of several labels of a document the highest counts. Without both classes nothing is learnt and
@@ -28,7 +30,7 @@ from pyspark.sql import types as T
 
 from quillspark.llm.common import bounded
 
-DIM, PREFIX, SAMPLE, LEAST_DOCS = 1 << 18, 5, 20_000, 4
+DIM, PREFIX, SAMPLE, LEAST_DOCS, LIFT, LEAST_Z, RARE, SLACK = 1 << 20, 4, 20_000, 5, 8.0, 6.0, 0.01, 0.005
 _TOKEN = re.compile(r"[^\W\d_]+")
 
 
@@ -41,8 +43,8 @@ def slot(x: str) -> int:
 
 
 def features(words: set[str]) -> np.ndarray:
-    """Slots of words and beginnings, one entry for each word and kind."""
-    return np.array([s for w in words for s in (slot(w), slot("^" + w[:PREFIX]))], np.int32)
+    """Slots of words and beginnings, one entry for each word and kind, in the same order on every run."""
+    return np.array([s for w in sorted(words) for s in (slot(w), slot("^" + w[:PREFIX]))], np.int32)
 
 
 @dataclass
@@ -71,18 +73,59 @@ class Model:
         return self.above(raw).sum(axis=1)
 
 
-def fit(slots: list[np.ndarray], grades: np.ndarray, k: int = 3, steps: int = 250, l2: float = 2e-5, rate: float = 0.05) -> Model:
-    """Adam on the cumulative-link likelihood of CSR rows."""
+def rows_of(slots: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column of every entry."""
+    cols = np.concatenate(slots) if slots else np.zeros(0, np.int32)
+    return np.repeat(np.arange(len(slots)), [len(s) for s in slots]), cols
+
+
+def document_counts(slots: list[np.ndarray]) -> np.ndarray:
+    out = np.zeros(DIM, np.int64)
+    for s in slots:
+        out[np.unique(s)] += 1
+    return out
+
+
+def unlike(slots: list[np.ndarray]) -> np.ndarray:
+    """One row of each group of near copies, whose rare words would all seem to tell their class.
+
+    Rows are alike if the first or the second two of the four least hashes of their features agree, of those features that
+    at most RARE of the rows have.
+    """
+    common = document_counts(slots) > RARE * len(slots)
+    seen, out = set(), []
+    for i, s in enumerate(slots):
+        own = s[~common[s]]
+        h = np.unique((own if len(own) > 1 else s).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(16))[:4].tolist()
+        keys = {(0, *h[:2]), (1, *h[2:])} if len(h) > 3 else {(0, *h)}
+        if not seen & keys:
+            out.append(i)
+        seen |= keys
+    return np.array(out, np.int64)
+
+
+def telling(slots: list[np.ndarray], toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which features say something about the class, and which of these mark the toxic one."""
+    bad = document_counts([s for s, t in zip(slots, toxic.tolist(), strict=True) if t])
+    rest = document_counts([s for s, t in zip(slots, toxic.tolist(), strict=True) if not t])
+    n, m = max(1, int(toxic.sum())), max(1, int((1 - toxic).sum()))
+    p, q, both = bad / n, rest / m, (bad + rest) / (n + m)
+    z = (p - q) / np.sqrt(np.maximum(both * (1 - both), 1e-12) * (1 / n + 1 / m))
+    lift = (bad + 0.5) / n / ((rest + 0.5) / m)
+    mark = (z > LEAST_Z) & (lift > LIFT) & (bad >= LEAST_DOCS)
+    return mark | ((z < -LEAST_Z) & (lift < 1 / LIFT) & (rest >= LEAST_DOCS)), mark
+
+
+def fit(slots: list[np.ndarray], grades: np.ndarray, k: int = 3, steps: int = 200, l2: float = 2e-5, rate: float = 0.1) -> Model:
+    """Adam on the cumulative-link likelihood of the telling features."""
     n = len(slots)
-    ptr = np.concatenate(([0], np.cumsum([len(s) for s in slots])))
-    cols, row = (np.concatenate(slots) if ptr[-1] else np.zeros(0, np.int32)), np.repeat(np.arange(n), np.diff(ptr))
-    seen = np.bincount(np.unique(row.astype(np.int64) * DIM + cols) % DIM, minlength=DIM)
-    ok = seen[cols] >= LEAST_DOCS
+    row, cols = rows_of(slots)
+    tells, marks = telling(slots, (grades > 0).astype(np.int64))
+    ok = tells[cols]
     cols, row = cols[ok], row[ok]
     names, cols = np.unique(cols, return_inverse=True)
     w, base, gaps = np.zeros(len(names)), 0.0, np.zeros(k - 2)
     w_all, m, v = [w, np.array([base]), gaps], [0.0] * 3, [0.0] * 3
-    y = grades[:, None] > np.arange(k - 1)[None, :]
     weight = np.where(grades > 0, 0.5 * n / max(1, (grades > 0).sum()), 0.5 * n / max(1, (grades == 0).sum()))
     for step in range(1, steps + 1):
         w, base, gaps = w_all[0], w_all[1], w_all[2]
@@ -101,22 +144,16 @@ def fit(slots: list[np.ndarray], grades: np.ndarray, k: int = 3, steps: int = 25
         for i in range(3):
             m[i], v[i] = 0.9 * m[i] + 0.1 * g[i], 0.999 * v[i] + 0.001 * g[i] ** 2
             w_all[i] = w_all[i] - rate * (m[i] / (1 - 0.9**step)) / (np.sqrt(v[i] / (1 - 0.999**step)) + 1e-8)
-    del y
+        w_all[0] = np.where(marks[names], np.maximum(w_all[0], 0), np.minimum(w_all[0], 0))  # a mark never speaks for the other class
     full = np.zeros(DIM)
     full[names] = w_all[0]
     return Model(full, w_all[1][0] + np.concatenate(([0.0], np.cumsum(np.exp(w_all[2])))), 1.0)
 
 
-def grades_of(words: list[set[str]], toxic: np.ndarray) -> np.ndarray:
-    """0, 1 or 2: the toxic rows are split by their share of words that are ten times as frequent among toxic rows."""
-    from collections import Counter
-
-    bad, rest = Counter(), Counter()
-    for w, t in zip(words, toxic.tolist(), strict=True):
-        (bad if t else rest).update(w)
-    n, m = max(1, toxic.sum()), max(1, (1 - toxic).sum())
-    mark = {w for w, c in bad.items() if c >= LEAST_DOCS and c / n > 10 * (rest[w] + 0.5) / m}
-    share = np.array([len(w & mark) / max(1, len(w)) for w in words])
+def grades_of(slots: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
+    """0, 1 or 2: the toxic rows are split by the share of features that mark toxic rows."""
+    mark = telling(slots, toxic)[1]
+    share = np.array([mark[s].mean() if len(s) else 0.0 for s in slots])
     out = toxic.astype(np.int64)
     if toxic.any():
         out[(toxic == 1) & (share > np.median(share[toxic == 1]))] = 2
@@ -124,20 +161,20 @@ def grades_of(words: list[set[str]], toxic: np.ndarray) -> np.ndarray:
 
 
 def best_cut(severity: np.ndarray, toxic: np.ndarray) -> float:
-    """The severity that separates best: half way in the gap at which wrong acceptances and, weighing double, wrong rejections are fewest."""
+    """The highest severity that separates well: half way between two rows at which wrong acceptances and, weighing double,
+    wrong rejections are within SLACK of the fewest."""
     order = np.argsort(severity)
     s, t = severity[order], toxic[order]
     missed = np.concatenate(([0], np.cumsum(t))) / max(1, t.sum())
     hurt = ((1 - t).sum() - np.concatenate(([0], np.cumsum(1 - t)))) / max(1, (1 - t).sum())
     cost = missed + 2 * hurt
-    best = np.flatnonzero(cost <= cost.min() + 1e-12)
+    at = int(np.flatnonzero(cost <= cost.min() + SLACK)[-1])
     edges = np.concatenate(([s[0] - 0.1 if len(s) else 0], s, [2.0]))
-    at = max(best.tolist(), key=lambda i: edges[i + 1] - edges[i])
     return float((edges[at] + edges[at + 1]) / 2)
 
 
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    """A model from the labelled rows of docs. The driver gets the distinct words of about `sample` texts."""
+    """A model from the labelled rows of docs. The driver gets the feature numbers of about `sample` texts."""
     bounded(docs.sparkSession)
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("k")).agg(F.max("toxic").alias("toxic"))
     n = known.count()
@@ -147,16 +184,18 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
     def words(batches):
         for b in batches:
-            got = [sorted(tokens(t)) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(got, pa.list_(pa.string()))], ["k", "toxic", "w"])
+            got = [features(tokens(t)).tobytes() for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(got, pa.binary())], ["k", "toxic", "w"])
 
-    schema = T.StructType([T.StructField("k", docs.schema["doc_id"].dataType), T.StructField("toxic", labels.schema["toxic"].dataType), T.StructField("w", T.ArrayType(T.StringType()))])
+    schema = T.StructType([T.StructField("k", docs.schema["doc_id"].dataType), T.StructField("toxic", labels.schema["toxic"].dataType), T.StructField("w", T.BinaryType())])
     got = rows.select("k", "text", "toxic").mapInArrow(words, schema).toArrow().sort_by("k")
-    sets, toxic = [set(w) for w in got.column("w").to_pylist()], np.array([int(t > 0) for t in got.column("toxic").to_pylist()], np.int64)
-    if not len(toxic) or not 0 < toxic.sum() < len(toxic):
+    slots, toxic = [np.frombuffer(w, np.int32) for w in got.column("w").to_pylist()], np.array([int(t > 0) for t in got.column("toxic").to_pylist()], np.int64)
+    one = unlike(slots)
+    keys, slots, toxic = [got.column("k")[i].as_py() for i in one.tolist()], [slots[i] for i in one.tolist()], toxic[one]
+    if not 0 < toxic.sum() < len(toxic):
         return Model(np.zeros(DIM), np.array([40.0, 41.0]), 1.0)
-    grades, slots = grades_of(sets, toxic), [features(w) for w in sets]
-    out = np.array([zlib.crc32(str(k).encode()) % 5 == 0 for k in got.column("k").to_pylist()])
+    grades = grades_of(slots, toxic)
+    out = np.array([zlib.crc32(str(k).encode()) % 5 == 0 for k in keys])
     if not 0 < toxic[out].sum() < out.sum() or not 0 < toxic[~out].sum() < (~out).sum():
         out = np.zeros(len(out), bool)
     model = fit([s for s, x in zip(slots, out.tolist(), strict=True) if not x], grades[~out])
