@@ -52,6 +52,8 @@ def ascent(floor: float, norms: float, target: float = TARGET) -> list[int]:
             if 1 - math.prod(1 - p**k for k in depth) >= target:
                 return depth
             depth[t] = x
+            if not x:  # one tree's root is all there is
+                return [0] + [DEPTH] * (TREES - 1)
     return depth
 
 
