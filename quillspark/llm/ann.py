@@ -106,8 +106,11 @@ def _visits(queries: DataFrame, d: int, bits: int, chunks: dict, biggest: float)
 
 
 def exact(q: np.ndarray, v: np.ndarray) -> np.ndarray:
-    """Inner products in double precision, each summed in the same order."""
-    return (q.astype(np.float64) * v.astype(np.float64)).sum(axis=-1)
+    """Inner products in double precision, each summed from the first component to the last whatever the number of rows."""
+    out = np.zeros(len(q))
+    for x, y in zip(q.T.astype(np.float64), v.T.astype(np.float64), strict=True):
+        out += x * y
+    return out
 
 
 def best_of(q: np.ndarray, v: np.ndarray, reps: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -181,11 +184,12 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, key: str = "vec_id"
     def top(found: DataFrame, m: int) -> DataFrame:
         return found.withColumn("n", F.row_number().over(W.partitionBy("q").orderBy(F.desc("score"), "rep"))).where(F.col("n") <= m)
 
-    first = _searched(_visits(queries.withColumn("floor", F.lit(None).cast("double")), d, bits, chunks, biggest), index, d, k + 1)
+    first = materialize(_searched(_visits(queries.withColumn("floor", F.lit(None).cast("double")), d, bits, chunks, biggest), index, d, k + 1))
     floors = top(first, k + 1).groupBy("q").agg(F.min("score").alias("floor"), F.count(F.lit(1)).alias("m"))
     floors = floors.select("q", F.when(F.col("m") > k, F.col("floor")).otherwise(float("-inf")).alias("floor"))
     second = queries.join(floors, queries.rep == floors.q, "left").select("rep", "v", F.coalesce("floor", F.lit(float("-inf"))).alias("floor"))
-    found = top(_searched(_visits(second, d, bits, chunks, biggest), index, d, k + 1), k + 1)
+    more = _searched(_visits(second, d, bits, chunks, biggest), index, d, k + 1)
+    found = top(first.unionByName(more).distinct(), k + 1)
     ids = classes.select("rep", "ids", "cid")
     spread = found.join(ids.select("rep", "ids"), "rep").select("q", "score", F.explode("ids").alias("vec_id"))
     spread = spread.withColumn("n", F.row_number().over(W.partitionBy("q").orderBy(F.desc("score"), "vec_id"))).where(F.col("n") <= k + 1)

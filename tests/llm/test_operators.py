@@ -217,6 +217,13 @@ def test_ann_recall_and_order(spark):
     assert [r.vec_id for r in by[0]][:20] == sorted(range(50, 90))[:20] or s is not None
 
 
+def test_ann_always_returns_k_in_dense_clusters(spark):
+    rng = np.random.default_rng(6)
+    v = np.repeat(rng.standard_normal((12, 16)), 40, axis=0) + 0.05 * rng.standard_normal((480, 16))
+    got = ann.search(spark.createDataFrame([(i, x, 0) for i, x in enumerate(v.tolist())], VEC))
+    assert {r["count"] for r in got.groupBy("query_id").count().collect()} == {20} and got.count() == 20 * 24
+
+
 def test_ann_small_and_empty(spark):
     few = spark.createDataFrame([(0, [1.0, 0.0], 0), (1, [0.5, 0.5], 0), (40, [0.5, 0.5], 0)], VEC)
     got = {(r.query_id, r.rank): r.vec_id for r in ann.search(few).collect()}
