@@ -174,8 +174,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     classes = fps.groupBy("fp").agg(F.min("k").alias("least"))
     roots = components(links(classes.select("fp")))
     named = materialize(classes.join(roots, classes.fp == roots.node, "left").select("fp", "least", "root"))
-    ids = named.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("least").alias("__c"))
-    known = named.join(ids, "root", "left").select("fp", F.coalesce("__c", "least").alias("component_id"))
+    linked = named.where(F.col("root").isNotNull())
+    ids = linked.groupBy("root").agg(F.min("least").alias("component_id"))
+    alone = named.where(F.col("root").isNull()).select("fp", F.col("least").alias("component_id"))  # null keys of a join would meet in one task
+    known = linked.join(ids, "root").select("fp", "component_id").unionByName(alone)
     out = fps.join(known, "fp", "left")
     return out.select(F.col("k").alias(key), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
