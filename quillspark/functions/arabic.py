@@ -17,7 +17,7 @@ FOLD_FROM, FOLD_TO = "أإآٱى٠١٢٣٤٥٦٧٨٩", "ااااي0123456789"
 NAME_MARKS = "[\u064b-\u065f\u0670ـ]"
 NAME_FROM, NAME_TO = "أإآى", "اااي"
 SIGN_FROM, SIGN_TO = "أإآؤئة", "اااويه"
-SPACES = r"(?U)[\s\x1c-\x1f]+"
+SPACES = r"[\t-\r\x1c-\x20\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
 KUNYA = ("ابي", "ابا", "ابو")
 SERVANT = ("الله", "الرحمن", "العزيز", "الملك", "الوهاب", "الكريم")
 
@@ -27,7 +27,7 @@ _EDGE_L, _EDGE_R = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"
 def normalize(text: Column) -> Column:
     """The search key: no marks, one form of each folded letter, ASCII digits, single spaces, lower case (F1)."""
     t = F.translate(F.regexp_replace(text, MARKS, ""), FOLD_FROM, FOLD_TO)
-    t = F.regexp_replace(t, f"{_EDGE_L}ابن{_EDGE_R}", "بن")
+    t = F.when(F.contains(t, F.lit("ابن")), F.regexp_replace(t, f"{_EDGE_L}ابن{_EDGE_R}", "بن")).otherwise(t)
     return F.lower(F.trim(F.regexp_replace(t, SPACES, " ")))
 
 
@@ -42,7 +42,7 @@ def signature(text: Column) -> Column:
     t = F.translate(text, SIGN_FROM, SIGN_TO)
     t = F.regexp_replace(t, f"{_EDGE_L}(?:{'|'.join(KUNYA)}){_EDGE_R}", "ابو")
     t = F.regexp_replace(t, f"{_EDGE_L}ابن{_EDGE_R}", "بن")
-    t = F.regexp_replace(t, rf"عبد(?U)\s+({'|'.join(SERVANT)})", "عبد$1")
+    t = F.regexp_replace(t, rf"عبد{SPACES}({'|'.join(SERVANT)})", "عبد$1")
     return F.trim(F.regexp_replace(t, SPACES, " "))
 
 

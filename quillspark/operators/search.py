@@ -1,13 +1,17 @@
-"""Full-text search over a postings table: words, phrase, prefix, exact, BM25 (Q1 to Q8)."""
+"""Full-text search: words, phrase, prefix, exact, BM25, by a scan or a stored index (Q1 to Q8)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-TOKEN = r"[\p{L}\p{N}\p{Co}]+"
+EDGE = r"[\p{L}\p{N}\p{Co}]"
+TOKEN = EDGE + "+"
 #: Standard BM25 parameters; a query has at most so many tokens and characters.
-K1, B, MOST_TOKENS, MOST_CHARS = 1.2, 0.75, 20, 200
+K1, B, MOST_TOKENS, MOST_CHARS, BUCKETS = 1.2, 0.75, 20, 200, 64
 MODES = ("words", "phrase", "prefix", "exact")
 
 
@@ -29,52 +33,100 @@ def parse(query: str, mode: str, normalize=str.lower) -> list[str]:
     return found
 
 
-def postings(docs: DataFrame, key: str, text: Column) -> DataFrame:
-    """key, position, token of normalized texts (Q1)."""
-    return docs.select(key, F.posexplode(tokens(text)).alias("position", "token"))
-
-
-def stored(post: DataFrame, path: str, buckets: int = 64) -> None:
-    """Postings as Parquet, partitioned by token hash: a query reads the files of its tokens."""
-    post.withColumn("part", F.pmod(F.xxhash64("token"), F.lit(buckets))).repartition("part").sortWithinPartitions("token").write.partitionBy("part").parquet(path)
+def matches(text: Column, words: list[str], mode: str) -> Column:
+    """Whether a normalized text matches: a predicate of a scan, without tokens, join or shuffle.
 
-
-def matching(post: DataFrame, key: str, query: str, mode: str, normalize=str.lower) -> DataFrame:
-    """Keys that match; `exact` gives its candidates, which the source text is then asked for."""
-    words = parse(query, mode, normalize)
+    Every word costs a plain substring test first, and a pattern with token edges only where that holds.
+    """
+    left, right, gap = f"(?<!{EDGE})", f"(?!{EDGE})", f"[^{EDGE[1:-1]}]+"
     if mode == "phrase":
-        want = [F.when(F.col("token") == w, F.col("position") - i) for i, w in enumerate(words)]
-        at = post.where(F.col("token").isin(words)).select(key, F.explode(F.array_compact(F.array(*[F.when(x.isNotNull(), F.struct(x.alias("at"), F.lit(i).alias("i"))) for i, x in enumerate(want)]))).alias("h"))
-        return at.groupBy(key, "h.at").agg(F.countDistinct("h.i").alias("n")).where(F.col("n") == len(words)).select(key).distinct()
-    last = F.col("token").startswith(words[-1]) if mode == "prefix" else F.col("token") == words[-1]
-    flags = [F.col("token") == w for w in words[:-1]] + [last]
-    hit = flags[0]
-    for f in flags[1:]:
-        hit = hit | f
-    got = post.where(hit).groupBy(key).agg(*[F.bool_or(f).alias(f"w{i}") for i, f in enumerate(flags)])
-    for i in range(len(flags)):
-        got = got.where(F.col(f"w{i}"))
-    return got.select(key)
+        first = F.lit(True)
+        for w in words:
+            first = first & F.contains(text, F.lit(w))
+        return first & text.rlike(left + gap.join(map(re.escape, words)) + right)
+    out = F.lit(True)
+    for i, w in enumerate(words):
+        open_ = mode == "prefix" and i == len(words) - 1
+        out = out & F.contains(text, F.lit(w)) & text.rlike(left + re.escape(w) + ("" if open_ else right))
+    return out
 
 
 def search(docs: DataFrame, key: str, text: str, query: str, mode: str = "words", normalize=F.lower, fold=str.lower, only: DataFrame | None = None) -> DataFrame:
     """Rows of docs that match in one of the modes; only: keys of the books asked for (Q7)."""
-    post = postings(docs, key, normalize(F.col(text)))
-    found = matching(post, key, query, mode, fold)
-    got = docs.join(found, key, "left_semi")
-    if only is not None:
-        got = got.join(only, key, "left_semi")
-    return got.where(F.contains(F.col(text), F.lit(query))) if mode == "exact" else got
-
-
-def bm25(post: DataFrame, key: str, words: list[str], n_docs: int, mean: float) -> DataFrame:
-    """key, score of documents with any of the words; larger is better (Q6)."""
-    lengths = post.groupBy(key).agg(F.count(F.lit(1)).alias("dl"), *[F.sum((F.col("token") == w).cast("long")).alias(f"tf{i}") for i, w in enumerate(words)])
-    lengths = lengths.where(sum((F.col(f"tf{i}") for i in range(1, len(words))), F.col("tf0")) > 0)
-    df = post.where(F.col("token").isin(words)).groupBy("token").agg(F.countDistinct(key).alias("df"))
-    idf = {r["token"]: r["df"] for r in df.collect()}  # one row for each word of the query
-    score = F.lit(0.0)
-    for i, w in enumerate(words):
-        n, tf = idf.get(w, 0), F.col(f"tf{i}")
-        score = score + F.log(F.lit((n_docs - n + 0.5) / (n + 0.5) + 1)) * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("dl") / mean))
-    return lengths.select(key, score.alias("score"))
+    got = docs.where(matches(normalize(F.col(text)), parse(query, mode, fold), mode))
+    if mode == "exact":
+        got = got.where(F.contains(F.col(text), F.lit(query)))
+    return got if only is None else got.join(only, key, "left_semi")
+
+
+def bm25(docs: DataFrame, key: str, text: Column, words: list[str]) -> DataFrame:
+    """key, score of documents with any of the words; larger is better (Q6). text is normalized.
+
+    Lengths and term counts come from each row by itself. One aggregate row, with n, the mean length and a count for each
+    of the query's words, is all that the driver sees.
+    """
+    counted = docs.select(key, F.regexp_count(text, F.lit(TOKEN)).alias("dl"), *[F.when(F.contains(text, F.lit(w)), F.regexp_count(text, F.lit(f"(?<!{EDGE}){re.escape(w)}(?!{EDGE})"))).otherwise(0).alias(f"tf{i}") for i, w in enumerate(words)])
+    stats = counted.where("dl > 0").agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("mean"), *[F.count_if(F.col(f"tf{i}") > 0).alias(f"df{i}") for i in range(len(words))]).first()
+    score, any_ = F.lit(0.0), F.lit(False)
+    for i in range(len(words)):
+        df, tf = stats[f"df{i}"], F.col(f"tf{i}")
+        any_ = any_ | (tf > 0)
+        score = score + math.log((stats["n"] - df + 0.5) / (df + 0.5) + 1) * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("dl") / (stats["mean"] or 1.0)))
+    return counted.where(any_).select(key, score.alias("score"))
+
+
+def postings(docs: DataFrame, key: str, text: Column) -> DataFrame:
+    """token, key, positions of normalized texts (Q1)."""
+    rows = docs.select(key, F.posexplode(tokens(text)).alias("position", "token"))
+    return rows.groupBy("token", key).agg(F.array_sort(F.collect_list("position")).alias("positions"))
+
+
+def store(docs: DataFrame, key: str, text: Column, path: str, buckets: int = BUCKETS) -> None:
+    """An inverted index: postings partitioned by token hash and sorted by token, and each document's length."""
+    post = postings(docs, key, text).withColumn("part", F.pmod(F.hash("token"), F.lit(buckets)).cast("int"))
+    post.repartition(buckets, "part").sortWithinPartitions("part", "token").write.partitionBy("part").parquet(f"{path}/postings")
+    docs.select(key, F.regexp_count(text, F.lit(TOKEN)).alias("dl")).write.parquet(f"{path}/lengths")
+
+
+def _moved(positions: str, by: int) -> Column:
+    return F.transform(positions, lambda p: p - by)
+
+
+class Index:
+    """A stored index. A query reads the partitions of its tokens only; a prefix reads all, pruned by token statistics."""
+
+    def __init__(self, spark: SparkSession, path: str, key: str, buckets: int = BUCKETS):
+        self.spark, self.key, self.buckets = spark, key, buckets
+        self.post, self.lengths = spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/lengths")
+        self.n, self.mean = self.lengths.where("dl > 0").agg(F.count(F.lit(1)), F.avg("dl")).first()
+
+    def _of(self, words: list[str]) -> DataFrame:
+        parts = self.spark.createDataFrame([(w,) for w in words], "w string").select(F.pmod(F.hash("w"), F.lit(self.buckets)).cast("int").alias("p")).distinct().collect()
+        return self.post.where(F.col("part").isin([r["p"] for r in parts]) & F.col("token").isin(words))
+
+    def find(self, query: str, mode: str = "words", fold=str.lower) -> DataFrame:
+        """Keys that match; of `exact`, the candidates that the source text is then asked for."""
+        words = parse(query, mode, fold)
+        if mode == "phrase":
+            places = F.array(*[F.when(F.col("token") == w, _moved("positions", i)) for i, w in enumerate(words)])
+            own = self._of(words).select(self.key, F.posexplode(places).alias("i", "at")).where("at IS NOT NULL")
+            hits = own.select(self.key, "i", F.explode("at").alias("start")).groupBy(self.key, "start").agg(F.countDistinct("i").alias("n"))
+            return hits.where(F.col("n") == len(words)).select(self.key).distinct()
+        whole = words[:-1] if mode == "prefix" else words
+        rows = self._of(whole).select(self.key, F.col("token").alias("w")) if whole else None
+        if mode == "prefix":
+            tail = self.post.where(F.col("token").startswith(words[-1])).select(self.key, F.lit("\u0000").alias("w"))
+            rows = tail if rows is None else rows.unionByName(tail)
+        return rows.groupBy(self.key).agg(F.countDistinct("w").alias("n")).where(F.col("n") == len(set(whole)) + (mode == "prefix")).select(self.key)
+
+    def ranked(self, query: str, fold=str.lower) -> DataFrame:
+        """key, score of documents with any of the words."""
+        words = parse(query, "words", fold)
+        rows = self._of(words)
+        df = {r["token"]: r["df"] for r in rows.groupBy("token").agg(F.count(F.lit(1)).alias("df")).collect()}  # the query's words
+        idf = F.lit(0.0)
+        for w in dict.fromkeys(words):
+            idf = F.when(F.col("token") == w, math.log((self.n - df.get(w, 0) + 0.5) / (df.get(w, 0) + 0.5) + 1) * words.count(w)).otherwise(idf)
+        tf = F.size("positions")
+        part = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("dl") / self.mean))
+        return rows.join(self.lengths, self.key).groupBy(self.key).agg(F.sum(part).alias("score"))

@@ -52,9 +52,7 @@ def search_pages(tables: dict[str, DataFrame], q: str, mode: str = "words", book
     texts = tables["texts"]
     pages = _where(tables["pages"], F.col("book_id") == book if book else None)
     found = fts.search(texts, "text_sha256", "text", q, mode, normalize, fold, only=pages.select("text_sha256").distinct())
-    post = fts.postings(texts, "text_sha256", normalize(F.col("text")))
-    n, total = post.groupBy("text_sha256").count().agg(F.count(F.lit(1)), F.sum("count")).first()
-    ranked = found.join(fts.bm25(post, "text_sha256", words, n, (total or 0) / max(1, n)), "text_sha256", "left").na.fill(0.0, ["score"])
+    ranked = found.join(fts.bm25(texts, "text_sha256", normalize(F.col("text")), words), "text_sha256", "left").na.fill(0.0, ["score"])
     cited = pages.groupBy("text_sha256").agg(F.min("page_id").alias("page_id"), F.count(F.lit(1)).alias("sources"))
     return page(ranked.join(cited, "text_sha256").select("text_sha256", "page_id", "sources", "score", F.substring("text", 1, 405).alias("excerpt")), [F.desc("score"), F.col("text_sha256")], limit, offset)
 

@@ -42,9 +42,7 @@ s AS (SELECT count(*) FILTER (dl > 0)::DOUBLE AS n, avg(dl) FILTER (dl > 0) AS m
 SELECT doc_id, round(ln((n - fa + 0.5) / (fa + 0.5) + 1) * a * 2.2 / (a + 1.2 * (0.25 + 0.75 * dl / m)) + ln((n - fb + 0.5) / (fb + 0.5) + 1) * b * 2.2 / (b + 1.2 * (0.25 + 0.75 * dl / m)), 6) AS score
 FROM d, s WHERE a + b > 0 ORDER BY score DESC, doc_id LIMIT 20""")
 def bm25_topk(t: Tables) -> DataFrame:
-    post = search.postings(t.documents, "doc_id", F.lower("text"))
-    n, total = post.groupBy("doc_id").count().agg(F.count(F.lit(1)), F.sum("count")).first()
-    got = search.bm25(post, "doc_id", ["the", "with"], n, (total or 0) / max(1, n))
+    got = search.bm25(t.documents, "doc_id", F.lower("text"), ["the", "with"])
     return got.select("doc_id", F.round("score", 6).alias("score")).orderBy(F.desc("score"), "doc_id").limit(20)
 
 

@@ -194,3 +194,18 @@ def test_streams_are_idempotent(spark, tmp_path):
     spark.createDataFrame([("x", "same", 1), ("x", "different", 2)], "k string, d string, at int").write.parquet(dsrc)
     ingest.latest_state(spark.readStream.schema("k string, d string, at int").parquet(dsrc), ["k"], "at", hist, str(tmp_path / "ck2")).awaitTermination(60)
     assert [r.d for r in ingest.current_state(spark, hist, ["k"], "at").collect()] == ["different"]
+
+
+def test_stored_index_finds_what_a_scan_finds(spark, tmp_path):
+    from quillspark.operators import search
+
+    rows = [(1, "the red fox"), (2, "fox the red, red fox!"), (3, "foxes of the red"), (4, ""), (5, None), (6, "The  RED-fox the"), (7, "redfox")]
+    docs = spark.createDataFrame(rows, "id long, text string")
+    search.store(docs, "id", F.lower("text"), str(tmp_path / "i"), buckets=4)
+    index = search.Index(spark, str(tmp_path / "i"), "id", buckets=4)
+    for q, mode in (("the red", "words"), ("red fox", "phrase"), ("the fox", "prefix"), ("red", "words"), ("fo", "prefix"), ("red red fox", "phrase"), ("red red", "words"), ("nothing", "words")):
+        scan = sorted(r.id for r in search.search(docs, "id", "text", q, mode).collect())
+        assert sorted(r.id for r in index.find(q, mode).collect()) == scan, (q, mode)
+    assert sorted(r.id for r in search.search(docs, "id", "text", "RED-fox", "exact").collect()) == [6]
+    a = {r.id: round(r.score, 9) for r in index.ranked("red fox").collect()}
+    assert a == {r.id: round(r.score, 9) for r in search.bm25(docs, "id", F.lower("text"), ["red", "fox"]).collect()} and set(a) == {1, 2, 3, 6}
