@@ -6,11 +6,10 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from quillspark.storage import materialize, scratch, table
 
-__all__ = ["BATCH_ROWS", "WORD", "bounded", "map_arrow", "materialize", "scratch", "table", "xx_unit"]
+__all__ = ["BATCH_ROWS", "WORD", "bounded", "map_arrow", "materialize", "scratch", "table"]
 
 #: Words are runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -34,8 +33,3 @@ def map_arrow(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch], sche
                 yield f(b)
 
     return df.mapInArrow(run, schema)
-
-
-def xx_unit(*cols: str | object) -> object:
-    """A uniform double in (0, 1) from the columns' hash, the same on every run."""
-    return (F.shiftrightunsigned(F.xxhash64(*cols), 11).cast("double") + 0.5) / float(1 << 53)

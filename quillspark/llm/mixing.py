@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import WORD, materialize, xx_unit
+from quillspark.llm.common import WORD, materialize
 
 WEIGHTS, SHARE, MOST, BUCKET = (5, 2, 1), 1.5, 2, 2000
 
@@ -34,6 +34,12 @@ def quality_weight(text: Column) -> Column:
     return F.coalesce(F.lit(0.5) + plain / F.greatest(F.length(text), F.lit(1)), F.lit(0.5))
 
 
+def unit(*columns: str) -> Column:
+    """A uniform double in (0, 1) from 52 bits of the columns' md5: the same on every run and in every engine."""
+    text = F.concat_ws("\u0001", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
+    return (F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
+
+
 def targets(sources: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
     """source, source_size, target from source, source_size: one row a source.
 
@@ -61,7 +67,7 @@ def plan(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = S
     Only a few numbers of each row are kept and dealt out, never texts.
     """
     whole = F.xxhash64(*[F.col(c) for c in docs.columns])
-    rows = docs.select("doc_id", "source", whole.alias("__row"), n_words(F.col("text")).alias("size"), (-F.log(xx_unit("doc_id", "text")) / quality_weight(F.col("text"))).alias("key"))
+    rows = docs.select("doc_id", "source", whole.alias("__row"), n_words(F.col("text")).alias("size"), (-F.log(unit("doc_id", "text")) / quality_weight(F.col("text"))).alias("key"))
     rows = materialize(rows)
     per = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("__rows"))
     sources = targets(per.select("source", "source_size"), weights, share, most).join(per.select(F.col("source").alias("__s"), "__rows"), F.col("source").eqNullSafe(F.col("__s"))).drop("__s")

@@ -26,7 +26,7 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.range(2).select(F.lit(PROBE[0]).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(PROBE[1]).alias("text"))
-    return chat.conversations(chat.format_turns(rows.unionByName(probe)))
+    return chat.conversations(chat.format_turns(rows.unionByName(probe))).drop("n_tokens", "loss_tokens")
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,5 +112,40 @@ s AS (
 SELECT query_id, rank::INT AS rank, vec_id, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5"""
 
 
+def _chat_sql() -> str:
+    """Digests of the rows themselves; the formatted length from counts of what is escaped and of the markers."""
+    starts = [x for x in chat.FOREIGN if not any(x != y and x.startswith(y) for y in chat.FOREIGN)]  # none begins where another does
+    grown = lambda c: " + ".join([f"length({c})", f"length({c}) - length(replace({c}, '{chat.ESC}', ''))", *[f"2 * (length({c}) - length(replace({c}, '{x}', ''))) // {len(x)}" for x in starts]])
+    role = "CASE WHEN role = 'assistant' THEN {} ELSE {} END"
+    marks = role.format(*(sum(len(chat.CONTROL[i - chat.FIRST_ID]) for i in ids) for ids in ((chat.TURN, chat.REPLY, chat.END_REPLY), (chat.TURN, chat.BODY, chat.END))))
+    said = "string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn NULLS FIRST)"
+    return f"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES ({PROBE[0]}, 0, 'user', '{PROBE[1]}'), ({PROBE[0]}, 1, 'assistant', '{PROBE[1]}'))
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST)) AS turns_sha256,
+  length({said})::BIGINT AS loss_chars, sha256({said}) AS loss_sha256, sum({marks} + {grown('role')} + {grown('text')})::BIGINT AS formatted_chars
+FROM c GROUP BY conv_id"""
+
+
+_MIX_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+    (('0x' || left(md5(coalesce(doc_id::VARCHAR, '') || chr(1) || coalesce(text, '')), 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0 AS u,
+    coalesce(0.5 + length(regexp_replace(text, '[^\p{L} ]|  +', '', 'g'))::DOUBLE / greatest(length(text), 1), 0.5) AS quality FROM documents),
+s AS (
+  SELECT source, sum(size)::BIGINT AS source_size, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0 ELSE 1.0 END AS w FROM d GROUP BY source),
+o AS (SELECT *, 2.0::DOUBLE * source_size AS cap, row_number() OVER (ORDER BY 2.0::DOUBLE * source_size / w, source NULLS LAST) AS k FROM s),
+l AS (
+  SELECT *, ((SELECT sum(source_size) FROM s) * 1.5::DOUBLE - coalesce(sum(cap) OVER before, 0)) / ((SELECT sum(w) FROM s) - coalesce(sum(w) OVER before, 0)) AS own FROM o
+  WINDOW before AS (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+t AS (SELECT source, source_size, least(cap, w * (SELECT max(own) FROM l WHERE own <= cap / w)) AS target FROM l),
+e AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS epochs FROM t),
+r AS (
+  SELECT d.doc_id, d.size, e.source_size, e.target, e.epochs, sum(d.size) OVER (PARTITION BY d.source ORDER BY -ln(d.u) / d.quality, d.doc_id NULLS LAST, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
+  FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source)
+SELECT doc_id, size, source_size, target, (epochs + CASE WHEN upto - size / 2.0::DOUBLE <= target - epochs * source_size AND size > 0 AND epochs < 2 THEN 1 ELSE 0 END)::BIGINT * size AS taken FROM r"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_url_filter": _url_sql(), "op8_topk": _TOPK_SQL, "op10_license_scan": _license_sql()}
+    return {"op3_chat_format": _chat_sql(), "op9_mixing": _MIX_SQL, "op2_url_filter": _url_sql(), "op8_topk": _TOPK_SQL, "op10_license_scan": _license_sql()}

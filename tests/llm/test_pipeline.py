@@ -56,7 +56,7 @@ def test_query_equals_sql(spark, name):
     import pandas as pd
 
     con = duckdb.connect()
-    for n in ("documents", "embeddings", "pages"):
+    for n in ("documents", "embeddings", "pages", "conversations"):
         con.execute(f"CREATE VIEW {n} AS SELECT * FROM read_parquet('{SF}/{n}.parquet')")
     got, want = queries()[name](spark, SF).toPandas(), con.execute(oracle_sql()[name]).df()
     cols = sorted(got.columns)
