@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.storage import materialize
+from quillspark.storage import materialize, release
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -> DataFrame:
@@ -22,7 +22,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
         large = both.join(least, "v").where("u > v").select(F.col("u").alias("v"), F.col("m").alias("u")).distinct()
         least = large.groupBy("v").agg(F.min("u").alias("m"))
         moved = large.join(least, "v").select(F.col("u").alias("v"), F.col("m").alias("u"))
-        now = materialize(moved.unionAll(least.select("v", F.col("m").alias("u"))).where("u < v").distinct())
+        before, now = now, materialize(moved.unionAll(least.select("v", F.col("m").alias("u"))).where("u < v").distinct())
+        release(before)
         new = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first()
         if new == sign:
             return now.select(F.col("v").alias("node"), F.col("u").alias("root")).unionAll(now.select(F.col("u").alias("node"), F.col("u").alias("root"))).distinct()

@@ -9,6 +9,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _written: list[tuple[SparkSession, str]] = []
+#: Tables by the identity of their DataFrame, which is kept so that the number isn't used again.
+_paths: dict[int, tuple[DataFrame, str]] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,18 +32,33 @@ def materialize(df: DataFrame) -> DataFrame:
     path = f"{scratch(spark)}/quill-{uuid.uuid4().hex}"
     df.write.parquet(path)
     _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _paths[id(out)] = (out, path)
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    try:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    except Exception:  # the session may be gone at exit
+        return
+
+
+def release(df: DataFrame) -> None:
+    """Deletes a table of materialize() that no later result reads."""
+    found = _paths.pop(id(df), None)
+    if found is None:
+        raise ValueError("not a table of materialize()")
+    _written.remove((df.sparkSession, found[1]))
+    _delete(df.sparkSession, found[1])
 
 
 def forget() -> None:
     """Deletes what materialize() wrote in this process."""
+    _paths.clear()
     while _written:
-        spark, path = _written.pop()
-        try:
-            p = spark._jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-        except Exception:  # the session may be gone at exit
-            continue
+        _delete(*_written.pop())
 
 
 atexit.register(forget)
