@@ -15,7 +15,7 @@ __all__ = ["BATCH_ROWS", "WORD", "bounded", "map_arrow", "materialize", "scratch
 WORD = r"[^\x20\x09-\x0D]+"
 
 #: Rows of text that Python handles at a time.
-BATCH_ROWS = 1024
+BATCH_ROWS = 256
 
 
 def bounded(spark: SparkSession) -> None:

@@ -29,7 +29,7 @@ SLOTS, K, SIZES = 1 << 19, 3, (3, 4)
 SAMPLE, SAMPLE_CHARS, PROFILE, SHARE = 3000, 1 << 20, 30_000, 0.25
 _PRIMES = np.array([0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63], np.uint64)
 #: Characters that are looked at together.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 
 
 def held_out(key):

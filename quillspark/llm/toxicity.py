@@ -31,6 +31,8 @@ from pyspark.sql import types as T
 from quillspark.llm.common import bounded
 
 DIM, PREFIX, SAMPLE, LEAST_DOCS, LIFT, LEAST_Z, RARE, SLACK = 1 << 20, 4, 20_000, 5, 8.0, 6.0, 0.01, 0.005
+#: Words whose weights a worker keeps.
+CACHE = 100_000
 _TOKEN = re.compile(r"[^\W\d_]+")
 
 
@@ -60,7 +62,7 @@ class Model:
             got = cache.get(w)
             if got is None:
                 got = float(self.weights[slot(w)] + self.weights[slot("^" + w[:PREFIX])])
-                if len(cache) < 500_000:
+                if len(cache) < CACHE:
                     cache[w] = got
             total += got
         return total
