@@ -12,7 +12,8 @@ visits the cells under its prefix, and only those. Equal vectors are one class w
 asked for: no group of copies grows a cell.
 
 Vectors that are null, zero or hold null or non-finite components take no part, nor those of another length than most,
-nor rows without vec_id. Repeated rows count once; a query's own row is whatever has its vec_id. Extra columns aren't read.
+nor rows without vec_id. Repeated rows count once; of several vectors under one vec_id the smallest counts. Extra columns
+aren't read.
 """
 
 from __future__ import annotations
@@ -170,9 +171,10 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, key: str = "vec_id"
     if not n:
         return spark.createDataFrame([], empty)
     v = F.col("v").cast("array<float>")
-    rows = ok.where(F.size("v") == d).select("vec_id", v.alias("v"), F.concat(F.hex(F.xxhash64("v")), F.hex(F.xxhash64(F.lit(1), F.col("v")))).alias("cid"))
-    classes = materialize(_classes(rows.dropDuplicates(["cid", "vec_id"]), k + 1))
-    asked = rows.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "cid").distinct()
+    rows = ok.where(F.size("v") == d).select("vec_id", v.alias("v")).groupBy("vec_id").agg(F.min("v").alias("v"))
+    rows = rows.withColumn("cid", F.concat(F.hex(F.xxhash64("v")), F.hex(F.xxhash64(F.lit(1), F.col("v")))))
+    classes = materialize(_classes(rows, k + 1))
+    asked = rows.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "cid")
     queries = classes.join(asked.select("cid").distinct(), "cid", "left_semi")
     total, biggest = classes.agg(F.count(F.lit(1)), F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))))).first()
     bits = min(MOST_BITS, max(0, math.ceil(math.log2(max(1, total) / CELL))))

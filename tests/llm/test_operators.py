@@ -201,6 +201,7 @@ def vectors(spark, n=400, d=16, odd=True):
 
 def test_ann_recall_and_order(spark):
     df, v = vectors(spark)
+    df = df.unionByName(spark.createDataFrame([(20, [99.0] * 16, 0), (21, [99.0] * 16, 0)], VEC))  # larger than what these ids have
     got = ann.search(df.withColumn("q", F.lit(1))).collect()
     by = {}
     for r in sorted(got, key=lambda r: (r.query_id, r.rank)):
