@@ -2,8 +2,9 @@
 
 A document's key is -ln(u) / w, with u a uniform number from its doc_id and text and w its quality weight; sorting a source by
 key samples it without replacement in proportion to w. A source whose target is e whole epochs and a fraction takes
-every document e times, and then the first documents by key up to the remaining budget, by prefix sums. The document
-that crosses the budget is taken if that comes nearer to it than leaving it.
+every document e times, and then the first documents by key whose prefix sum stays within the remaining budget. What is
+still missing then, less than the next document by key has, is made up for by one of the others: the one whose size is
+nearest to it, if that brings the source nearer to its target.
 
 Prefix sums don't put a source into one task: keys are cut into buckets of about BUCKET rows, buckets are summed, and a
 running sum over the few bucket totals is added to those inside the buckets.
@@ -81,9 +82,18 @@ def plan(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = S
     rows = rows.join(sums, F.col("source").eqNullSafe(F.col("__s")) & (F.col("b") == F.col("__b"))).drop("__s", "__b")
     inside = W.partitionBy("source", "b").orderBy("key", F.col("doc_id").asc_nulls_last(), "size", "__row").rowsBetween(W.unboundedPreceding, 0)
     rows = rows.withColumn("__end", F.col("__before") + F.sum("size").over(inside))
-    rest = F.col("target") - F.col("epochs") * F.col("source_size")
-    more = (F.col("__end") - F.col("size") / 2 <= rest) & (F.col("size") > 0) & (F.col("epochs") < most)
-    rows = rows.withColumn("copies", F.col("epochs") + F.when(more, 1).otherwise(0))
+    rows = materialize(rows.withColumn("__rest", F.col("target") - F.col("epochs") * F.col("source_size")))
+    fits = (F.col("__end") <= F.col("__rest")) & (F.col("size") > 0)
+    left = rows.groupBy("source").agg((F.max("__rest") - F.coalesce(F.max(F.when(fits, F.col("__end"))), F.lit(0))).alias("__left")).select(F.col("source").alias("__s"), "__left")
+    rows = rows.join(left, F.col("source").eqNullSafe(F.col("__s"))).drop("__s")
+    off = F.abs(F.col("size") - F.col("__left"))
+    better = ~fits & (F.col("size") > 0) & (off < F.col("__left"))
+    # __end tells equal rows apart.
+    one = rows.where(better).groupBy("source").agg(F.min(F.struct(off.alias("off"), "key", F.col("doc_id").isNull().alias("n"), "doc_id", "__end")).alias("m"))
+    one = one.select(F.col("source").alias("__s"), F.col("m.key").alias("__k"), F.col("m.doc_id").alias("__d"), F.col("m.__end").alias("__e"))
+    rows = rows.join(one, F.col("source").eqNullSafe(F.col("__s")), "left")
+    filler = F.coalesce((F.col("__e") == F.col("__end")) & (F.col("__k") == F.col("key")) & F.col("__d").eqNullSafe(F.col("doc_id")), F.lit(False))
+    rows = rows.withColumn("copies", F.col("epochs") + F.when(fits | filler, 1).otherwise(0))
     return rows.select("doc_id", "source", "__row", "size", "source_size", F.col("target").cast("double").alias("target"), F.col("copies").cast("long").alias("copies"), (F.col("copies") * F.col("size")).alias("taken"))
 
 

@@ -142,9 +142,14 @@ l AS (
 t AS (SELECT source, source_size, least(cap, w * (SELECT max(own) FROM l WHERE own <= cap / w)) AS target FROM l),
 e AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS epochs FROM t),
 r AS (
-  SELECT d.doc_id, d.size, e.source_size, e.target, e.epochs, sum(d.size) OVER (PARTITION BY d.source ORDER BY -ln(d.u) / d.quality, d.doc_id NULLS LAST, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
-  FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source)
-SELECT doc_id, size, source_size, target, (epochs + CASE WHEN upto - size / 2.0::DOUBLE <= target - epochs * source_size AND size > 0 AND epochs < 2 THEN 1 ELSE 0 END)::BIGINT * size AS taken FROM r"""
+  SELECT d.doc_id, d.size, d.source, -ln(d.u) / d.quality AS key, e.source_size, e.target, e.epochs, target - epochs * source_size AS rest,
+    sum(d.size) OVER (PARTITION BY d.source ORDER BY -ln(d.u) / d.quality, d.doc_id NULLS LAST, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
+  FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source),
+m AS (SELECT *, upto <= rest AND size > 0 AS fits, rest - coalesce(max(CASE WHEN upto <= rest AND size > 0 THEN upto END) OVER (PARTITION BY source), 0) AS missing FROM r),
+f AS (
+  SELECT *, NOT fits AND size > 0 AND abs(size - missing) < missing AS better,
+    row_number() OVER (PARTITION BY source, NOT fits AND size > 0 AND abs(size - missing) < missing ORDER BY abs(size - missing), key, doc_id NULLS LAST, upto) AS place FROM m)
+SELECT doc_id, size, source_size, target, (epochs + CASE WHEN fits OR (better AND place = 1) THEN 1 ELSE 0 END)::BIGINT * size AS taken FROM f"""
 
 
 def oracle_sql() -> dict[str, str]:
