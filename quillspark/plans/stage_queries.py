@@ -117,3 +117,34 @@ def audit_predicates(t: Tables) -> DataFrame:
         t.documents.where(F.col("source").isNull() | ~F.col("source").isin("src0", "src1")).agg(F.count(F.lit(1)).alias("n")).select(F.lit("odd_sources").alias("what"), "n"),
     ]
     return rows[0].unionAll(rows[1]).unionAll(rows[2])
+
+
+def _book_pages(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Documents as pages of their source; a long first line is a heading, two of three of them with a name."""
+    pages = t.documents.select(F.col("doc_id").alias("page_id"), F.col("source").alias("source_id"), F.lit("book").alias("book_id"), F.col("doc_id").alias("ordinal"), "text")
+    first = F.split("text", "\n")[0]
+    heads = t.documents.where(F.length(first) >= 40).select(F.col("doc_id").alias("entry_id"), F.col("doc_id").alias("page_id"), F.lit(0).alias("start_offset"), F.length(first).alias("end_offset"), F.when(F.col("doc_id") % 3 > 0, first).alias("name_label"))
+    return pages, heads, t.documents.limit(0).select(F.col("doc_id").alias("page_id"), F.lit(0).alias("start_offset"), F.lit(0).alias("end_offset"))
+
+
+@query("""
+WITH p AS (SELECT doc_id, source, length(text) AS n, length(string_split(text, chr(10))[1]) >= 40 AS head FROM documents),
+o AS (SELECT *, last_value(CASE WHEN head THEN CASE WHEN doc_id % 3 > 0 THEN doc_id ELSE -1 END END IGNORE NULLS) OVER (PARTITION BY source ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS owner FROM p)
+SELECT doc_id AS page_id, 0 AS start_offset, n::INT AS end_offset, nullif(owner, -1) AS biography_id, CASE WHEN owner IS NULL OR owner = -1 THEN 'unassigned' WHEN head THEN 'opening' ELSE 'continuation' END AS role FROM o WHERE n > 0""")
+def extraction_regions(t: Tables) -> DataFrame:
+    from quillspark.plans import extraction
+
+    pages, heads, _ = _book_pages(t)
+    return extraction.regions(pages, heads).drop("source_id")
+
+
+@query()
+def extraction_checks(t: Tables) -> DataFrame:
+    """Regions, statements and all of their audits over every page: each count must be zero."""
+    from quillspark.plans import extraction
+    from quillspark.storage import materialize
+
+    pages, heads, notes = _book_pages(t)
+    found = materialize(extraction.regions(pages, heads))
+    said = materialize(extraction.statements(pages, found, notes))
+    return extraction.checks(pages, heads, notes, found, said)
