@@ -193,8 +193,12 @@ def identify(docs: DataFrame) -> DataFrame:
     return predict(docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out")), f).drop("text")
 
 
-def keep(docs: DataFrame, least: float = 0.3) -> DataFrame:
-    """docs without those that have no language: `und`, or a best share under `least` (with four languages, chance is 0.25)."""
+def keep(docs: DataFrame, least: float = 1.2) -> DataFrame:
+    """docs without those that have no language: `und`, or a best share under `least` times chance, one over the languages.
+
+    At most half is asked for, which the better of two always has.
+    """
     columns = docs.columns
     f = learn(docs.select("doc_id", "text", "lang"))
-    return predict(docs, f).where((F.col("lang_pred") != "und") & (F.col("score") >= least)).select(*columns)
+    share = min(0.5, least / max(1, len(f.languages)))
+    return predict(docs, f).where((F.col("lang_pred") != "und") & (F.col("score") >= share)).select(*columns)
