@@ -121,10 +121,8 @@ def telling(slots: list[np.ndarray], toxic: np.ndarray) -> tuple[np.ndarray, np.
 def fit(slots: list[np.ndarray], grades: np.ndarray, k: int = 3, steps: int = 200, l2: float = 2e-5, rate: float = 0.1) -> Model:
     """Adam on the cumulative-link likelihood of the telling features."""
     n = len(slots)
-    row, cols = rows_of(slots)
     tells, marks = telling(slots, (grades > 0).astype(np.int64))
-    ok = tells[cols]
-    cols, row = cols[ok], row[ok]
+    row, cols = rows_of([s[tells[s]] for s in slots])  # few are left before rows are put together
     names, cols = np.unique(cols, return_inverse=True)
     w, base, gaps = np.zeros(len(names)), 0.0, np.zeros(k - 2)
     w_all, m, v = [w, np.array([base]), gaps], [0.0] * 3, [0.0] * 3
@@ -191,7 +189,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
     schema = T.StructType([T.StructField("k", docs.schema["doc_id"].dataType), T.StructField("toxic", labels.schema["toxic"].dataType), T.StructField("w", T.BinaryType())])
     got = rows.select("k", "text", "toxic").mapInArrow(words, schema).toArrow().sort_by("k")
-    slots, toxic = [np.frombuffer(w, np.int32) for w in got.column("w").to_pylist()], np.array([int(t > 0) for t in got.column("toxic").to_pylist()], np.int64)
+    slots, toxic = [np.frombuffer(w.as_buffer(), np.int32) for w in got.column("w")], np.array([int(t > 0) for t in got.column("toxic").to_pylist()], np.int64)
     one = unlike(slots)
     keys, slots, toxic = [got.column("k")[i].as_py() for i in one.tolist()], [slots[i] for i in one.tolist()], toxic[one]
     if not 0 < toxic.sum() < len(toxic):
