@@ -162,16 +162,16 @@ def _packed(f: Filter) -> tuple:
     return f.languages, f.table.shape, f.table.dtype.str, f.table.tobytes(), f.wrong.tolist()
 
 
-def predict(docs: DataFrame, f: Filter, text: str = "text") -> DataFrame:
-    """docs with lang_pred and score. The filter has a fixed size (SLOTS masks), which is what is broadcast."""
+def predict(docs: DataFrame, f: Filter, text: str = "text", names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """docs with the language and its score, under `names`. The filter has a fixed size (SLOTS masks), which is what is broadcast."""
     bounded(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(_packed(f))
-    rest = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    schema = T.StructType([docs.schema[c] for c in rest] + [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    rest = [c for c in docs.columns if c not in names]
+    schema = T.StructType([docs.schema[c] for c in rest] + [T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
 
     def run(batches):
-        names, shape, kind, raw, wrong = sent.value
-        own = Filter(names, np.frombuffer(raw, kind).reshape(shape), np.array(wrong))
+        known, shape, kind, raw, wrong = sent.value
+        own = Filter(known, np.frombuffer(raw, kind).reshape(shape), np.array(wrong))
         for b in batches:
             texts, lang, score, at = b.column(b.schema.get_field_index(text)).to_pylist(), [], [], 0
             while at < len(texts):
@@ -182,7 +182,7 @@ def predict(docs: DataFrame, f: Filter, text: str = "text") -> DataFrame:
                 for to, got in zip((lang, score), own.predict(texts[at:end]), strict=True):
                     to += got
                 at = end
-            yield pa.RecordBatch.from_arrays([*[b.column(b.schema.get_field_index(c)) for c in rest], pa.array(lang, pa.string()), pa.array(score, pa.float64())], [*rest, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*[b.column(b.schema.get_field_index(c)) for c in rest], pa.array(lang, pa.string()), pa.array(score, pa.float64())], [*rest, *names])
 
     return docs.mapInArrow(run, schema)
 
@@ -201,4 +201,5 @@ def keep(docs: DataFrame, least: float = 1.2) -> DataFrame:
     columns = docs.columns
     f = learn(docs.select("doc_id", "text", "lang"))
     share = min(0.5, least / max(1, len(f.languages)))
-    return predict(docs, f).where((F.col("lang_pred") != "und") & (F.col("score") >= share)).select(*columns)
+    got = predict(docs, f, names=("__lang", "__share"))  # a column of docs may have the usual names
+    return got.where((F.col("__lang") != "und") & (F.col("__share") >= share)).select(*columns)

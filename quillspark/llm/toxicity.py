@@ -205,14 +205,13 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     return model
 
 
-def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """docs with severity (0 to 2), grade (the likeliest) and toxic (severity above the model's cut)."""
+def score(docs: DataFrame, model: Model, text: str = "text", names: tuple[str, str, str] = ("severity", "grade", "toxic")) -> DataFrame:
+    """docs with severity (0 to 2), grade (the likeliest) and toxic (severity above the model's cut), under `names`."""
     bounded(docs.sparkSession)
     at = np.flatnonzero(model.weights)
     sent = docs.sparkSession.sparkContext.broadcast((at.astype(np.int32), model.weights[at], model.thresholds, model.cut))  # DIM weights at most
-    new = ["severity", "grade", "toxic"]
-    rest = [c for c in docs.columns if c not in new]
-    schema = T.StructType([docs.schema[c] for c in rest] + [T.StructField("severity", T.DoubleType()), T.StructField("grade", T.IntegerType()), T.StructField("toxic", T.BooleanType())])
+    rest = [c for c in docs.columns if c not in names]
+    schema = T.StructType([docs.schema[c] for c in rest] + [T.StructField(n, k) for n, k in zip(names, (T.DoubleType(), T.IntegerType(), T.BooleanType()), strict=True)])
 
     def run(batches):
         where, weights, thresholds, cut = sent.value
@@ -223,7 +222,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             raw = np.array([own.raw(tokens(t)) for t in b.column(b.schema.get_field_index(text)).to_pylist()])
             p, s = own.above(raw), own.severity(raw)
             mass = -np.diff(np.concatenate((np.ones((len(p), 1)), p, np.zeros((len(p), 1))), axis=1), axis=1)
-            yield pa.RecordBatch.from_arrays([*[b.column(b.schema.get_field_index(c)) for c in rest], pa.array(s), pa.array(mass.argmax(axis=1).astype(np.int32)), pa.array(s > cut)], [*rest, *new])
+            yield pa.RecordBatch.from_arrays([*[b.column(b.schema.get_field_index(c)) for c in rest], pa.array(s), pa.array(mass.argmax(axis=1).astype(np.int32)), pa.array(s > cut)], [*rest, *names])
 
     return docs.mapInArrow(run, schema)
 
@@ -235,4 +234,5 @@ def grade(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """docs without the toxic ones."""
-    return score(docs, learn(docs, labels)).where(~F.col("toxic")).select(*docs.columns)
+    got = score(docs, learn(docs, labels), names=("__severity", "__grade", "__toxic"))  # a column of docs may have the usual names
+    return got.where("NOT __toxic").select(*docs.columns)

@@ -324,7 +324,7 @@ def test_language_id(spark, odd):
     assert np.mean([got[k].lang_pred == langs[k] for k in held]) > 0.97
     assert {got[k].lang_pred for k in (300, 301, 302)} == {"und"} and {got[k].score for k in (300, 301, 302)} == {0.0}
     assert sorted(r.doc_id for r in langid.keep(df).collect()) == list(range(300))
-    assert langid.keep(odd).columns == odd.columns and langid.identify(odd).count() == 7 and langid.identify(odd.limit(0)).count() == 0
+    assert langid.keep(odd).columns == odd.columns and {r.score for r in langid.keep(odd).collect()} == {"x"} and langid.identify(odd).count() == 7 and langid.identify(odd.limit(0)).count() == 0
     assert {r.lang_pred for r in langid.predict(df, langid.build({})).collect()} == {"und"}
 
 
@@ -458,6 +458,8 @@ def test_toxicity_finds_marked_texts(spark, odd):
     kept = {r.doc_id for r in toxicity.keep(df, labels).collect()}
     assert kept == {k for k, r in got.items() if not r.toxic}
     assert {r.severity < 1e-9 for r in toxicity.grade(odd, labels.limit(0)).collect()} == {True}
+    named = odd.withColumn("toxic", F.lit("mine")).withColumn("grade", F.lit("mine"))
+    assert {(r.toxic, r.grade) for r in toxicity.keep(named, labels.limit(0)).collect()} == {("mine", "mine")}
     assert toxicity.keep(odd, labels.limit(0)).columns == odd.columns and toxicity.grade(odd.limit(0), labels).count() == 0
 
 
