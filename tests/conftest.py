@@ -1,11 +1,19 @@
+import os
+import sys
+
 import pytest
 from pyspark.sql import SparkSession
 
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from quillspark.shipping import ensure  # noqa: E402
+
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     conf = {"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.sql.session.timeZone": "UTC", "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))}
     s = SparkSession.builder.master("local[4]").config(map=conf).getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
+    ensure(s)
     yield s
     s.stop()
