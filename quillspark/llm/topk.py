@@ -10,7 +10,8 @@ the result is exact, ties included.
 Queries travel in packs of PACK to groups of block summaries, never all in one task; blocks meet packs under (block,
 pack). Null vectors and those that hold null or non-finite components take no part, nor those of another length than
 most, nor rows without vec_id. A zero vector does. Repeated rows count once; where one vec_id has several vectors, each is a
-candidate, and the query is the smallest of them. Components above 2 ** 20 are refused. Extra columns aren't read.
+candidate, and the query is the smallest of them. Vectors with an integer of 2 ** 31 or more take no part; scores beyond a
+long are cut to its range. Extra columns aren't read.
 """
 
 from __future__ import annotations
@@ -26,7 +27,11 @@ from pyspark.sql import functions as F
 from quillspark.llm.common import bounded, materialize
 from quillspark.llm.vectors import unpack, usual_length, valid
 
-BLOCK, FAN, PACK, SEEDS, SIGNS, SEED, MOST = 512, 128, 128, 2, 16, 8, 1 << 20
+BLOCK, FAN, PACK, SEEDS, SIGNS, SEED, MOST = 512, 128, 128, 2, 16, 8, 1 << 31
+
+
+#: Whole numbers up to here are exact in doubles.
+EXACT = float(1 << 53)
 
 
 def blocks(rows: DataFrame, d: int) -> DataFrame:
@@ -89,9 +94,18 @@ def packs(queries: DataFrame, d: int, groups: int) -> DataFrame:
 
 
 def bounds(q: np.ndarray, hi: np.ndarray, lo: np.ndarray) -> np.ndarray:
-    """By query and block: no vector of the block scores more."""
+    """By query and block: no vector of the block scores more. Doubles may round, so a little is added where they do."""
     q, hi, lo = (x.astype(np.float64) for x in (q, hi, lo))
-    return np.maximum(q, 0) @ hi.T + np.minimum(q, 0) @ lo.T
+    out, most = np.maximum(q, 0) @ hi.T + np.minimum(q, 0) @ lo.T, np.abs(q) @ np.maximum(np.abs(hi), np.abs(lo)).T
+    return out + np.where(most < EXACT, 0.0, 1e-9 * most)
+
+
+def inner(q: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """Exact integer inner products as longs: in doubles where all sums are below 2 ** 53, else in Python's integers."""
+    if not q.size or not m.size or float(np.abs(q.astype(np.float64)).max()) * float(np.abs(m.astype(np.float64)).max()) * q.shape[1] < EXACT:
+        return (q.astype(np.float64) @ m.T.astype(np.float64)).astype(np.int64)
+    top = np.iinfo(np.int64)
+    return np.clip(q.astype(object) @ m.T.astype(object), top.min + 1, top.max).astype(np.int64)
 
 
 def chosen(both: DataFrame, d: int, seeds: bool) -> DataFrame:
@@ -118,17 +132,17 @@ def scored(pairs: DataFrame, cut: DataFrame, d: int, k: int, salts: int) -> Data
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
         for r in right.to_pylist():
-            ids, m = np.frombuffer(r["ids"], "<i8"), np.frombuffer(r["m"], np.int32).reshape(-1, d).astype(np.float64)
+            ids, m = np.frombuffer(r["ids"], "<i8"), np.frombuffer(r["m"], np.int32).reshape(-1, d)
             for p in left.to_pylist():
-                qs, q = np.frombuffer(p["qs"], "<i8"), np.frombuffer(p["q"], np.int32).reshape(-1, d).astype(np.float64)
-                s = q @ m.T  # whole numbers below 2 ** 53: exact
-                s[qs[:, None] == ids[None, :]] = -np.inf
+                qs, q = np.frombuffer(p["qs"], "<i8"), np.frombuffer(p["q"], np.int32).reshape(-1, d)
+                s, none = inner(q, m), np.iinfo(np.int64).min
+                s[qs[:, None] == ids[None, :]] = none
                 least = np.partition(s, max(0, s.shape[1] - k), axis=1)[:, max(0, s.shape[1] - k)]
-                row, col = np.nonzero((s >= least[:, None]) & (s > -np.inf))
+                row, col = np.nonzero((s >= least[:, None]) & (s > none))
                 order = np.lexsort((ids[col], -s[row, col], row))
                 row, col = row[order], col[order]
                 ok = np.arange(len(row)) - np.searchsorted(row, row) < k
-                out.append((qs[row[ok]], ids[col[ok]], s[row[ok], col[ok]].astype(np.int64)))
+                out.append((qs[row[ok]], ids[col[ok]], s[row[ok], col[ok]]))
         got = zip(*out, strict=True) if out else [[np.zeros(0, np.int64)]] * 3
         return pa.table([pa.array(np.concatenate(x)) for x in got], names=["query_id", "vec_id", "score"])
 
@@ -142,13 +156,12 @@ def search(vectors: DataFrame, k: int = 5, every: int = 50, key: str = "vec_id",
     """query_id, rank, vec_id, score: the k highest scores of each row whose key is divisible by `every`."""
     spark = vectors.sparkSession
     bounded(spark)
-    ok = valid(vectors, key, vec, zero=True)
+    ok = valid(vectors, key, vec, zero=True).where(~F.exists("v", lambda x: F.abs(x.cast("double")) * abs(scale) >= float(MOST)))
     d, n = usual_length(ok)
     if not n:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     whole = F.transform("v", lambda x: F.floor(x.cast("double") * scale))
     rows = ok.where(F.size("v") == d).select("vec_id", whole.alias("v")).distinct()
-    rows = rows.select("vec_id", F.when(F.exists("v", lambda x: F.abs(x) > MOST), F.raise_error(F.lit("a component is too large for an exact score"))).otherwise(F.col("v")).alias("v"))
     cut = materialize(blocks(rows, d))
     n_blocks = cut.count()
     groups, salts = math.ceil(n_blocks / FAN), math.ceil(n / every / PACK / 16)

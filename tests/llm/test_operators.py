@@ -252,6 +252,19 @@ def test_topk_is_exact(spark):
     assert topk.search(df.limit(0)).count() == 0
 
 
+def test_topk_of_large_components(spark):
+    rng = np.random.default_rng(11)
+    v = (rng.standard_normal((120, 8)) * 2e6).astype(np.float32)
+    rows = [(i, x, 0) for i, x in enumerate(v.tolist())] + [(150, [3e38] * 8, 0), (200, [1e7] * 8, 0)]
+    got = sorted(tuple(r) for r in topk.search(spark.createDataFrame(rows, VEC)).collect())
+    w = {i: [int(np.floor(256.0 * float(x))) for x in r] for i, r in enumerate(v)}
+    want = []
+    for q in (0, 50, 100):
+        s = sorted((-sum(a * b for a, b in zip(w[q], x, strict=True)), i) for i, x in w.items() if i != q)[:5]
+        want += [(q, k + 1, i, -x) for k, (x, i) in enumerate(s)]
+    assert got == want
+
+
 def test_topk_prunes_blocks_below_the_kth(monkeypatch):
     q, hi, lo = np.array([[2, -1]]), np.array([[3, 5], [-1, 4]]), np.array([[1, 2], [-2, 0]])
     assert topk.bounds(q, hi, lo).tolist() == [[4.0, -2.0]]
