@@ -141,7 +141,7 @@ _OVER = f"{_PS}, o AS (SELECT k, a.e AS left_id, b.e AS right_id, list_sort(list
 
 
 def _overlaps(t: Tables) -> DataFrame:
-    got = pairs.overlap_pairs(_supplied(t), "k", "e", "s", least=3)
+    got = pairs.overlap_pairs(_supplied(t), "k", "e", "s")
     return got.withColumn("common", F.array_join(F.transform("common", lambda x: x.cast("string")), ","))
 
 
