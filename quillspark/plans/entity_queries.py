@@ -134,7 +134,7 @@ def _supplied(t: Tables) -> DataFrame:
 
 @query(f"WITH {_PS} SELECT left_id, right_id, shared FROM (SELECT a.e AS left_id, b.e AS right_id, count(DISTINCT s) AS shared FROM ps a JOIN ps b USING (sig, s) WHERE a.e < b.e AND a.k <> b.k GROUP BY 1, 2) WHERE shared >= 4")
 def variant_pairs_cross_key(t: Tables) -> DataFrame:
-    return pairs.shared_text_pairs(_supplied(t), "e", "s", within="sig", differ="k").where("shared >= 4")
+    return pairs.shared_text_pairs(_supplied(t), "e", "s", within="sig", differ="k")
 
 
 _OVER = f"{_PS}, o AS (SELECT k, a.e AS left_id, b.e AS right_id, list_sort(list(DISTINCT s)) AS common FROM ps a JOIN ps b USING (k, s) WHERE a.e < b.e GROUP BY 1, 2, 3), ov AS (SELECT k, left_id, right_id, array_to_string(common, ',') AS common, len(common) AS n_common FROM o WHERE len(common) >= 3)"

@@ -32,3 +32,10 @@ def test_observations_and_neighbors_of_weak_overlaps(spark, overlaps):
     assert sorted((r.entry_id, r.other_id) for r in got) == sorted([*PAIRS, *[(b, a) for a, b in PAIRS]])
     got = catalogue.queries()["graph_neighbors"](spark, overlaps).collect()
     assert [tuple(r) for r in got] == [("red tin", "B", 4, 10)]
+
+
+def test_variant_pairs_of_one_shared_supplier(spark, tmp_path):
+    """1 and 2 share four suppliers, 1 and 3 one; 4 has the name of 1, 5 another signature."""
+    sf = supplied(spark, tmp_path, [(1, "red tin", [1, 2, 3, 4]), (2, "blue tin", [1, 2, 3, 4]), (3, "green tin", [4]), (4, "red tin", [1]), (5, "red zinc", [1, 2])])
+    got = catalogue.queries()["variant_pairs_cross_key"](spark, sf).collect()
+    assert {(r.left_id, r.right_id): r.shared for r in got} == {(1, 2): 4, (1, 3): 1, (2, 3): 1, (2, 4): 1} and len(got) == 4
