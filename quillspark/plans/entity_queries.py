@@ -102,7 +102,7 @@ def literal_pairs(t: Tables) -> DataFrame:
 
 @query(f"WITH {_LINES}, k AS (SELECT t FROM l GROUP BY 1 HAVING count(DISTINCT doc_id) BETWEEN 2 AND 4) SELECT a.doc_id AS left_id, b.doc_id AS right_id, count(DISTINCT t) AS shared FROM l a JOIN l b USING (t) JOIN k USING (t) WHERE a.doc_id < b.doc_id GROUP BY 1, 2")
 def literal_pairs_capped(t: Tables) -> DataFrame:
-    return pairs.shared_text_pairs(_lines(t), "doc_id", "t", cap=4)
+    return pairs.shared_text_pairs(_lines(t), "doc_id", "t", cap=20)
 
 
 @query(f"WITH {_PAIRS} SELECT left_id, right_id, shared, CASE WHEN a.quality IS NULL OR b.quality IS NULL THEN 'incomplete_dates' WHEN a.quality = b.quality THEN 'matching_dates' ELSE 'conflicting_dates' END AS date_relation FROM pairs LEFT JOIN labels a ON a.doc_id = left_id LEFT JOIN labels b ON b.doc_id = right_id")

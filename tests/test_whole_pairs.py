@@ -39,3 +39,11 @@ def test_variant_pairs_of_one_shared_supplier(spark, tmp_path):
     sf = supplied(spark, tmp_path, [(1, "red tin", [1, 2, 3, 4]), (2, "blue tin", [1, 2, 3, 4]), (3, "green tin", [4]), (4, "red tin", [1]), (5, "red zinc", [1, 2])])
     got = catalogue.queries()["variant_pairs_cross_key"](spark, sf).collect()
     assert {(r.left_id, r.right_id): r.shared for r in got} == {(1, 2): 4, (1, 3): 1, (2, 3): 1, (2, 4): 1} and len(got) == 4
+
+
+def test_lines_of_up_to_twenty_documents_give_pairs(spark, tmp_path):
+    """One line in 5 documents, one in 20, one in 21, which is above the reference's cap."""
+    texts = [(i, "en", c * 70) for c, ids in (("a", range(5)), ("b", range(100, 120)), ("c", range(200, 221))) for i in ids]
+    spark.createDataFrame(texts, "doc_id long, lang string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r.left_id, r.right_id) for r in catalogue.queries()["literal_pairs_capped"](spark, str(tmp_path)).collect()}
+    assert got == {(a, b) for ids in (range(5), range(100, 120)) for a in ids for b in ids if a < b}
