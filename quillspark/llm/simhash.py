@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quillspark.llm.common import bounded, map_arrow, materialize
 from quillspark.operators.components import components
@@ -183,10 +184,20 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of docs that lead their component: those with its smallest key, of repeated rows just one."""
-    from pyspark.sql import Window as W
+    """One row of docs for each component: the one with its smallest key, nulls last, of equal keys by a hash of the row.
 
-    leads = near_duplicates(docs, key, text).where(F.col(key).eqNullSafe(F.col("component_id"))).select(F.col(key).alias("__k")).distinct()
-    kept = docs.join(leads, docs[key].eqNullSafe(leads["__k"]), "left_semi")
-    order = [F.xxhash64(*[F.col(c) for c in docs.columns])] + [F.col(c) for c in docs.columns if c != key]
-    return kept.withColumn("__n", F.row_number().over(W.partitionBy(key).orderBy(*order))).where("__n = 1").drop("__n")
+    Components are of fingerprints, so that unlike texts under one key, or under none, are told apart.
+    """
+    columns = docs.columns
+    schema = T.StructType([*docs.schema.fields, T.StructField("__fp", T.LongType())])
+
+    def one(b: pa.RecordBatch) -> pa.RecordBatch:
+        fp = np.array([fingerprint(shingle_hashes(t)) for t in b.column(b.schema.get_field_index(text)).to_pylist()], np.uint64).view(np.int64)
+        return pa.RecordBatch.from_arrays([*b.columns, pa.array(fp)], [*columns, "__fp"])
+
+    rows = materialize(map_arrow(docs, one, schema).withColumn("__row", F.monotonically_increasing_id()))
+    order = F.struct(F.col(key).isNull(), F.col(key), F.xxhash64(*columns), F.xxhash64(F.lit(1), *columns), "__row")
+    classes = materialize(rows.groupBy(F.col("__fp").alias("fp")).agg(F.min(order).alias("lead")))
+    roots = components(links(classes.select("fp")))
+    leads = classes.join(roots, classes.fp == roots.node, "left").groupBy(F.coalesce("root", "fp")).agg(F.min("lead").alias("lead"))
+    return rows.join(leads.select(F.col("lead.__row").alias("__row")), "__row", "left_semi").select(*columns)

@@ -151,6 +151,17 @@ def test_near_duplicates_equal_brute_force(spark, odd):
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [0, 2, 3, 4] and kept.columns == odd.columns
 
 
+def test_keep_one_tells_unlike_texts_of_equal_or_no_key_apart(spark):
+    rnd = random.Random(12)
+    a, b, c, d = (" ".join(rnd.choice("abcdefghij") * rnd.randint(1, 4) for _ in range(60)) for _ in range(4))
+    rows = [(1, a), (None, a), (None, b), (None, c), (None, c), (2, a), (2, d), (2, d)]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOC)
+    want = [(1, a), (2, d), (None, b), (None, c)]
+    for given in (df, df.repartition(3, "text")):
+        got = [(r.doc_id, r.text) for r in simhash.keep_one(given).collect()]
+        assert sorted(got, key=str) == sorted(want, key=str)
+
+
 def test_links_connect_what_all_pairs_connect(spark):
     rnd = random.Random(7)
     fps = [rnd.getrandbits(64) for _ in range(60)]
