@@ -26,10 +26,10 @@ from pyspark.sql import types as T
 from quillspark.llm.common import bounded
 
 SLOTS, K, SIZES = 1 << 19, 3, (3, 4)
-SAMPLE, SAMPLE_CHARS, PROFILE, SHARE = 3000, 1 << 20, 30_000, 0.25
+SAMPLE, PROFILE, SHARE = 3000, 30_000, 0.25
 _PRIMES = np.array([0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63], np.uint64)
-#: Characters that are looked at together.
-CHUNK = 1 << 18
+#: Characters that are looked at together, in prediction and in learning.
+CHUNK, PIECE = 1 << 18, 1 << 20
 
 
 def held_out(key):
@@ -37,17 +37,22 @@ def held_out(key):
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
+def letters(low: str) -> np.ndarray:
+    """Code points of the letters, all else 0."""
+    points = np.frombuffer(low.encode("utf-32-le", "surrogatepass"), "<u4")
+    known = np.unique(points)
+    letter = known[np.array([chr(c).isalpha() for c in known.tolist()], bool)] if len(known) else known
+    table = np.zeros(int(known[-1]) + 1, bool)
+    table[letter] = True
+    return np.where(table[points], points, 0).astype(np.uint64)
+
+
 def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Lower-case letters, all else 0, with a 0 before and after each text; where each text starts."""
     low = [t.lower() for t in texts]
-    points = np.frombuffer("\n".join(["", *low, ""]).encode("utf-32-le", "surrogatepass"), "<u4")
     lengths = np.fromiter(map(len, low), np.int64, len(low))
     starts = np.concatenate(([1], 1 + np.cumsum(lengths + 1)))[:-1]
-    known = np.unique(points)
-    letter = known[np.array([chr(c).isalpha() for c in known.tolist()], bool)] if len(known) else known
-    table = np.zeros(int(known[-1]) + 1, bool)
-    table[letter] = True
-    return np.where(table[points], points, 0).astype(np.uint64), starts
+    return letters("\n".join(["", *low, ""])), starts
 
 
 def gram_hashes(points: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -127,7 +132,7 @@ def build(grams: dict[str, np.ndarray], n_slots: int = SLOTS) -> Filter:
 def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE, profile: int = PROFILE) -> Filter:
     """A filter from rows with a lang; about `sample` rows of each language, by the hash of their key.
 
-    A row gives at most SAMPLE_CHARS characters. n-grams are counted on the executors; the driver gets `profile` a language.
+    Whole texts are read, PIECE characters at a time. n-grams are counted on the executors; the driver gets `profile` a language.
     """
     bounded(docs.sparkSession)
     rows = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
@@ -136,18 +141,20 @@ def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
         return build({})
     rate = F.create_map(*[x for r in sizes for x in (F.lit(r["l"]), F.lit(min(1.0, sample / r["count"])))])
     unit = F.shiftrightunsigned(F.xxhash64(F.lit(11), F.col(key)), 11) / float(1 << 53)
-    taken = rows.where(unit < F.element_at(rate, F.col(lang))).select(F.col(lang).alias("l"), F.substring(text, 1, SAMPLE_CHARS).alias("t"))
+    taken = rows.where(unit < F.element_at(rate, F.col(lang))).select(F.col(lang).alias("l"), F.col(text).alias("t"))
 
     def count(batches):
         for b in batches:
             names = np.array(b.column(0).to_pylist(), object)
             texts = np.array(b.column(1).to_pylist(), object)
             for name in sorted(set(names.tolist())):
-                points, _ = code_points(texts[names == name].tolist())
-                for size in SIZES:
-                    h, ok = gram_hashes(points, size)
-                    g, c = np.unique(h[ok], return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(g), pa.string()), pa.array(g.view(np.int64)), pa.array(c.astype(np.int64))], ["l", "g", "c"])
+                low = "\n".join(["", *[t.lower() for t in texts[names == name]], ""])
+                for at in range(0, len(low), PIECE):
+                    points = letters(low[at : at + PIECE + max(SIZES) - 1])
+                    for size in SIZES:
+                        h, ok = gram_hashes(points[: PIECE + size - 1], size)  # those that start in the piece
+                        g, c = np.unique(h[ok], return_counts=True)
+                        yield pa.RecordBatch.from_arrays([pa.array([name] * len(g), pa.string()), pa.array(g.view(np.int64)), pa.array(c.astype(np.int64))], ["l", "g", "c"])
 
     from pyspark.sql import Window as W
 

@@ -352,6 +352,20 @@ def test_language_id(spark, odd):
     assert {r.lang_pred for r in langid.predict(df, langid.build({})).collect()} == {"und"}
 
 
+def test_learning_reads_whole_texts(spark):
+    tail = spoken(random.Random(13), "fr", 400)
+    f = langid.learn(docs(spark, [spoken(random.Random(14), "en", 400), "1 " * (1 << 19) + tail], langs=["en", "fr"]))
+    assert f.languages == ["en", "fr"] and f.predict([tail])[0] == ["fr"]
+
+
+def test_pieces_give_the_grams_of_the_whole():
+    text = "\n" + spoken(random.Random(15), "de", 500) + " \u0130x\n"
+    for size in langid.SIZES:
+        h, ok = langid.gram_hashes(langid.letters(text), size)
+        got = [langid.gram_hashes(langid.letters(text[at : at + 100 + max(langid.SIZES) - 1])[: 100 + size - 1], size) for at in range(0, len(text), 100)]
+        assert np.array_equal(np.concatenate([x[y] for x, y in got]), h[ok])
+
+
 def test_lang_id_never_uses_ids_or_labels(spark):
     rnd = random.Random(10)
     df = docs(spark, [spoken(rnd, x) for x in ["en", "fr", "de"] * 40], langs=["en", "fr", "de"] * 40)
