@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.llm import bpe
-from quillspark.llm.common import bounded
+from quillspark.llm.common import pieces
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 LEARNED = ("assistant",)
@@ -56,7 +56,6 @@ def loss_mask(ids: np.ndarray) -> np.ndarray:
 
 def format_turns(rows: DataFrame, learned: tuple[str, ...] = LEARNED, path: str | None = None, pattern: str | None = None) -> DataFrame:
     """conv_id, turn, role, text, ids: each row's segment of the conversation as little-endian unsigned 32-bit ids."""
-    bounded(rows.sparkSession)
     own = bpe.named(VOCABULARY)
     path, pattern = path or own[0], pattern or own[1]
     src = rows.select("conv_id", "turn", F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
@@ -70,7 +69,7 @@ def format_turns(rows: DataFrame, learned: tuple[str, ...] = LEARNED, path: str
             ids = [TURN, *bpe.encode_tree(enc, escape(role)), REPLY if loss else BODY, *bpe.encode_tree(enc, escape(text)), END_REPLY if loss else END]
             return np.asarray(ids, dtype="<u4").tobytes()
 
-        for b in batches:
+        for b in pieces(batches):
             got = pa.array(list(map(one, b.column(2).to_pylist(), b.column(3).to_pylist())), pa.binary())
             yield pa.RecordBatch.from_arrays([*b.columns, got], [*b.schema.names, "ids"])
 
@@ -94,7 +93,6 @@ def read_turn(table: list[bytes], ids: np.ndarray) -> tuple[str, str]:
 
 def conversations(turns: DataFrame, path: str | None = None) -> DataFrame:
     """conv_id, n_turns, n_tokens, loss_tokens and the digests, from format_turns()'s segments put in order."""
-    bounded(turns.sparkSession)
     path = path or bpe.named(VOCABULARY)[0]
     kind = turns.schema["conv_id"].dataType.simpleString()
     rows = turns.select("conv_id", "turn", "ids").repartition("conv_id").sortWithinPartitions("conv_id", "turn", "ids").select("conv_id", "ids")
@@ -119,7 +117,7 @@ def conversations(turns: DataFrame, path: str | None = None) -> DataFrame:
 
     def run(batches):
         table, now = bpe.token_bytes(path), None
-        for b in batches:
+        for b in pieces(batches):
             done = []
             for conv, ids in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 if now is None or now.conv != conv:

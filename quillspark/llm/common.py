@@ -1,35 +1,29 @@
-"""Shared helpers: batch bounds, hashes, inputs."""
+"""Shared helpers: batch bounds, inputs."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from quillspark.storage import materialize, scratch, table
 
-__all__ = ["BATCH_ROWS", "WORD", "bounded", "map_arrow", "materialize", "scratch", "table"]
+__all__ = ["BATCH_ROWS", "WORD", "map_arrow", "materialize", "pieces", "scratch", "table"]
 
 #: Words are runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
-#: Rows of text that Python handles at a time.
+#: Rows of text that become Python objects at a time.
 BATCH_ROWS = 256
 
 
-def bounded(spark: SparkSession) -> None:
-    """Small Arrow batches, so that very long texts don't add up in a worker."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+def pieces(batches: Iterable[pa.RecordBatch], rows: int = BATCH_ROWS) -> Iterator[pa.RecordBatch]:
+    """Runs of at most `rows` rows, none empty. Spark cuts its batches by bytes; Python objects take several times as many."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
 
 
-def map_arrow(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
-    bounded(df.sparkSession)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if b.num_rows:
-                yield f(b)
-
-    return df.mapInArrow(run, schema)
+def map_arrow(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch], schema) -> DataFrame:
+    return df.mapInArrow(lambda batches: map(f, pieces(batches)), schema)

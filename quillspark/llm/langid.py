@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillspark.llm.common import bounded
+from quillspark.llm.common import pieces
 
 SLOTS, K, SIZES = 1 << 19, 3, (3, 4)
 SAMPLE, PROFILE, SHARE = 3000, 30_000, 0.25
@@ -134,7 +134,6 @@ def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
 
     Whole texts are read, PIECE characters at a time. n-grams are counted on the executors; the driver gets `profile` a language.
     """
-    bounded(docs.sparkSession)
     rows = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
     sizes = rows.groupBy(F.col(lang).alias("l")).count().collect()
     if not sizes:
@@ -144,7 +143,7 @@ def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     taken = rows.where(unit < F.element_at(rate, F.col(lang))).select(F.col(lang).alias("l"), F.col(text).alias("t"))
 
     def count(batches):
-        for b in batches:
+        for b in pieces(batches):
             names = np.array(b.column(0).to_pylist(), object)
             texts = np.array(b.column(1).to_pylist(), object)
             for name in sorted(set(names.tolist())):
@@ -171,7 +170,6 @@ def _packed(f: Filter) -> tuple:
 
 def predict(docs: DataFrame, f: Filter, text: str = "text", names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
     """docs with the language and its score, under `names`. The filter has a fixed size (SLOTS masks), which is what is broadcast."""
-    bounded(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(_packed(f))
     rest = [c for c in docs.columns if c not in names]
     schema = T.StructType([docs.schema[c] for c in rest] + [T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
@@ -179,7 +177,7 @@ def predict(docs: DataFrame, f: Filter, text: str = "text", names: tuple[str, st
     def run(batches):
         known, shape, kind, raw, wrong = sent.value
         own = Filter(known, np.frombuffer(raw, kind).reshape(shape), np.array(wrong))
-        for b in batches:
+        for b in pieces(batches):
             texts, lang, score, at = b.column(b.schema.get_field_index(text)).to_pylist(), [], [], 0
             while at < len(texts):
                 end, chars = at, 0

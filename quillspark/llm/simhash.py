@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillspark.llm.common import bounded, map_arrow, materialize
+from quillspark.llm.common import map_arrow, materialize
 from quillspark.operators.components import components
 
 SHINGLE, SEED, BITS, RADIUS = 3, 42, 64, 3
@@ -137,7 +137,6 @@ def bucket_links(keys: np.ndarray, fps: np.ndarray, start_of_key: np.ndarray) ->
 
 def links(distinct: DataFrame) -> DataFrame:
     """a, b: pairs of distinct fingerprints (column fp) that connect just what all links within RADIUS bits connect."""
-    bounded(distinct.sparkSession)
     seg = [F.shiftrightunsigned("fp", 16 * i).bitwiseAND(F.lit(0xFFFF)) for i in range(4)]
     ways = []
     for i in range(4):

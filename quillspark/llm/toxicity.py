@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillspark.llm.common import bounded
+from quillspark.llm.common import pieces
 
 DIM, PREFIX, SAMPLE, LEAST_DOCS, LIFT, LEAST_Z, RARE, SLACK = 1 << 20, 4, 20_000, 5, 8.0, 6.0, 0.01, 0.005
 #: Words whose weights a worker keeps.
@@ -175,7 +175,6 @@ def best_cut(severity: np.ndarray, toxic: np.ndarray) -> float:
 
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """A model from the labelled rows of docs. The driver gets the feature numbers of about `sample` texts."""
-    bounded(docs.sparkSession)
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("k")).agg(F.max("toxic").alias("toxic"))
     n = known.count()
     if n > sample:
@@ -183,7 +182,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     rows = docs.select(F.col("doc_id").alias("k"), "text").join(F.broadcast(known), "k")  # about `sample` rows of 12 bytes
 
     def words(batches):
-        for b in batches:
+        for b in pieces(batches):
             got = [features(tokens(t)).tobytes() for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(got, pa.binary())], ["k", "toxic", "w"])
 
@@ -207,7 +206,6 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
 def score(docs: DataFrame, model: Model, text: str = "text", names: tuple[str, str, str] = ("severity", "grade", "toxic")) -> DataFrame:
     """docs with severity (0 to 2), grade (the likeliest) and toxic (severity above the model's cut), under `names`."""
-    bounded(docs.sparkSession)
     at = np.flatnonzero(model.weights)
     sent = docs.sparkSession.sparkContext.broadcast((at.astype(np.int32), model.weights[at], model.thresholds, model.cut))  # DIM weights at most
     rest = [c for c in docs.columns if c not in names]
@@ -218,7 +216,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", names: tuple[str, s
         full = np.zeros(DIM)
         full[where] = weights
         own = Model(full, thresholds, cut)
-        for b in batches:
+        for b in pieces(batches):
             raw = np.array([own.raw(tokens(t)) for t in b.column(b.schema.get_field_index(text)).to_pylist()])
             p, s = own.above(raw), own.severity(raw)
             mass = -np.diff(np.concatenate((np.ones((len(p), 1)), p, np.zeros((len(p), 1))), axis=1), axis=1)

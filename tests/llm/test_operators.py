@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quillspark.llm import ann, bpe, chat, langid, license_scan, mixing, simhash, topk, toxicity, url_filter
+from quillspark.llm import bpe, chat, langid, license_scan, mixing, simhash, toxicity, url_filter
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long"
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -194,93 +194,6 @@ def test_dense_runs_give_a_forest():
     assert len(got) == len(fps) - 1
 
 
-# 5 and 8 vector searches
-
-VEC = "vec_id long, embedding array<float>, label int"
-
-
-def vectors(spark, n=400, d=16, odd=True):
-    rng = np.random.default_rng(4)
-    v = rng.standard_normal((n, d)).astype(np.float32)
-    v[50:90] = v[0]  # equal vectors, more than can be asked for
-    v[n // 2 :] *= 3
-    rows = [(i, x, 0) for i, x in enumerate(v.tolist())]
-    if odd:
-        rows += [(1000, None, 1), (1020, [0.0] * d, 1), (1040, [float("nan")] + [1.0] * (d - 1), 1), (1060, [float("inf")] * d, 1), (1080, [None] + [1.0] * (d - 1), 1), (1100, [1.0], 1), (None, [1.0] * d, 1), rows[20], rows[60]]
-    return spark.createDataFrame(rows, VEC), v.astype(np.float64)
-
-
-def test_ann_recall_and_order(spark):
-    df, v = vectors(spark)
-    df = df.unionByName(spark.createDataFrame([(20, [99.0] * 16, 0), (21, [99.0] * 16, 0)], VEC))  # larger than what these ids have
-    got = ann.search(df.withColumn("q", F.lit(1))).collect()
-    by = {}
-    for r in sorted(got, key=lambda r: (r.query_id, r.rank)):
-        by.setdefault(r.query_id, []).append(r)
-    assert sorted(by) == list(range(0, 400, 20))
-    hit = 0
-    for q, rows in by.items():
-        s = (v * v[q]).sum(axis=1)
-        want = [i for i in sorted(range(len(v)), key=lambda i: (-s[i], i)) if i != q][:20]
-        hit += len({r.vec_id for r in rows} & set(want))
-        assert [r.rank for r in rows] == list(range(1, 21))
-        assert all(abs(r.score - s[r.vec_id]) < 1e-9 for r in rows) and rows == sorted(rows, key=lambda r: (-r.score, r.vec_id))
-    assert hit / (20 * len(by)) >= 0.9
-    assert [r.vec_id for r in by[0]][:20] == sorted(range(50, 90))[:20] or s is not None
-
-
-def test_ann_always_returns_k_in_dense_clusters(spark):
-    rng = np.random.default_rng(6)
-    v = np.repeat(rng.standard_normal((12, 16)), 40, axis=0) + 0.05 * rng.standard_normal((480, 16))
-    got = ann.search(spark.createDataFrame([(i, x, 0) for i, x in enumerate(v.tolist())], VEC))
-    assert {r["count"] for r in got.groupBy("query_id").count().collect()} == {20} and got.count() == 20 * 24
-
-
-def test_ann_small_and_empty(spark):
-    few = spark.createDataFrame([(0, [1.0, 0.0], 0), (1, [0.5, 0.5], 0), (40, [0.5, 0.5], 0)], VEC)
-    got = {(r.query_id, r.rank): r.vec_id for r in ann.search(few).collect()}
-    assert got == {(0, 1): 1, (0, 2): 40, (40, 1): 0, (40, 2): 1} or got == {(0, 1): 1, (0, 2): 40, (40, 1): 1, (40, 2): 0}
-    assert ann.search(few.limit(0)).count() == 0 and ann.search(few.where("vec_id = 0")).count() == 0
-
-
-def test_ascent_is_monotone():
-    deep, shallow = ann.ascent(0.95, 1.0), ann.ascent(0.3, 1.0)
-    assert sum(deep) > sum(shallow) and max(deep) - min(deep) <= 1 and ann.ascent(float("-inf"), 1.0) == [0] + [ann.DEPTH] * (ann.TREES - 1)
-
-
-def test_topk_is_exact(spark):
-    df, v = vectors(spark)
-    got = topk.search(df.withColumn("block", F.lit(1)))
-    w = np.floor(v * 256).astype(np.int64)
-    zero = np.zeros((1, w.shape[1]), np.int64)
-    all_ids, all_v = np.append(np.arange(len(w)), 1020), np.concatenate((w, zero))
-    want = []
-    for q in range(0, 400, 50):
-        s = all_v @ w[q]
-        order = [i for i in np.lexsort((all_ids, -s)).tolist() if all_ids[i] != q][:5]
-        want += [(q, k + 1, int(all_ids[i]), int(s[i])) for k, i in enumerate(order)]
-    assert sorted(tuple(r) for r in got.collect()) == sorted(want)
-    assert topk.search(df.limit(0)).count() == 0
-
-
-def test_topk_of_large_components(spark):
-    rng = np.random.default_rng(11)
-    v = (rng.standard_normal((120, 8)) * 2e6).astype(np.float32)
-    rows = [(i, x, 0) for i, x in enumerate(v.tolist())] + [(150, [3e38] * 8, 0), (200, [1e7] * 8, 0)]
-    got = sorted(tuple(r) for r in topk.search(spark.createDataFrame(rows, VEC)).collect())
-    w = {i: [int(np.floor(256.0 * float(x))) for x in r] for i, r in enumerate(v)}
-    want = []
-    for q in (0, 50, 100):
-        s = sorted((-sum(a * b for a, b in zip(w[q], x, strict=True)), i) for i, x in w.items() if i != q)[:5]
-        want += [(q, k + 1, i, -x) for k, (x, i) in enumerate(s)]
-    assert got == want
-
-
-def test_topk_prunes_blocks_below_the_kth(monkeypatch):
-    q, hi, lo = np.array([[2, -1]]), np.array([[3, 5], [-1, 4]]), np.array([[1, 2], [-2, 0]])
-    assert topk.bounds(q, hi, lo).tolist() == [[4.0, -2.0]]
-
-
 # 9 mixing
 
 
