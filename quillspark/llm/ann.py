@@ -285,19 +285,22 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, key: str = "vec_id"
         dealt = dealt.withColumn("lot", F.explode(F.sequence(F.lit(0).cast("long"), (F.col("lots") - 1).cast("long")))).select("part", "lot", "codes", "reps", "scales", "z")
         return _searched(_visits(asking, d, bits, chunks, lots, norm), dealt, d, k + 1)
 
-    def best(found: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Each (q, rep) once, and each q's floor: the k + 1st lower bound, where there are so many."""
-        once = found.groupBy("q", "rep").agg(F.max("low").alias("low"), F.min("high").alias("high"))
+    def merged(found: DataFrame) -> DataFrame:
+        """Each (q, rep) once, as a table."""
+        return materialize(found.groupBy("q", "rep").agg(F.max("low").alias("low"), F.min("high").alias("high")))
+
+    def floors(once: DataFrame) -> DataFrame:
+        """Each q's floor: the k + 1st lower bound, where there are so many."""
         top = once.withColumn("n", F.row_number().over(W.partitionBy("q").orderBy(F.desc("low"), "rep"))).where(F.col("n") <= k + 1)
         floor = top.groupBy("q").agg(F.min("low").alias("floor"), F.count(F.lit(1)).alias("m"))
-        return once, floor.select("q", F.when(F.col("m") > k, F.col("floor")).otherwise(float("-inf")).alias("floor"))
+        return floor.select("q", F.when(F.col("m") > k, F.col("floor")).otherwise(float("-inf")).alias("floor"))
 
-    first = materialize(round_(queries.withColumn("floor", F.lit(None).cast("double"))))
-    second = materialize(queries.join(best(first)[1], queries.rep == F.col("q"), "left").select("rep", "v", F.coalesce("floor", F.lit(float("-inf"))).alias("floor")))
-    more = materialize(round_(second))
+    first = merged(round_(queries.withColumn("floor", F.lit(None).cast("double"))))
+    second = materialize(queries.join(floors(first), queries.rep == F.col("q"), "left").select("rep", "v", F.coalesce("floor", F.lit(float("-inf"))).alias("floor")))
+    once = merged(first.unionByName(round_(second)))
     release(index)
-    once, floor = best(first.unionByName(more))
-    pairs = once.join(floor, "q").where("high >= floor").select("q", "rep")
+    release(first)
+    pairs = once.join(floors(once), "q").where("high >= floor").select("q", "rep")
     scored = pairs.join(queries.select(F.col("rep").alias("q"), F.col("v").alias("qv")), "q").join(classes, "rep").select("q", "c1", "c2", inner("qv", "v").alias("score"))
     spread = scored.join(members, ["c1", "c2"]).select("q", "score", F.explode("ids").alias("vec_id")).groupBy("q", "vec_id").agg(F.coalesce(F.max(F.when(~F.isnan("score"), F.col("score"))), F.lit(float("nan"))).alias("score"))
     order = [F.isnan("score"), F.desc("score"), F.col("vec_id")]
