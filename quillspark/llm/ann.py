@@ -39,6 +39,8 @@ from quillspark.storage import release
 TREES, DEPTH, CELL, MOST_BITS, TARGET, ROUND, SEED = 8, 32, 1 << 17, 10, 0.95, 96, 20
 #: Queries that share a copy of a cell; vectors that a task packs together; sides of a block of inner products.
 MOST_QUERIES, PACK, ROWS, LOT = 1 << 14, 1 << 15, 128, 1 << 14
+#: Scales from here on are kept by 4 bytes each; the bounds allow for it.
+TINY = 1e-30
 
 
 def planes(d: int) -> np.ndarray:
@@ -116,7 +118,7 @@ def _forest(classes: DataFrame, d: int, bits: int, chunks: np.ndarray, most: flo
                 order = np.lexsort((codes[t], part))
                 cuts = np.flatnonzero(np.concatenate(([True], np.diff(part[order]) != 0, [True]))).tolist()
                 rows = [order[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-                made = ([x[i].tobytes() for i in rows] for x in (codes[t].astype("<u4"), reps.astype("<i8"), scales, z))
+                made = ([x[i].tobytes() for i in rows] for x in (codes[t].astype("<u4"), reps.astype("<i8"), scales if scales.min() < TINY else scales.astype("<f4"), z))
                 yield pa.RecordBatch.from_arrays([pa.array([int(part[i[0]]) for i in rows], pa.int64()), *[pa.array(x, pa.binary()) for x in made]], names)
 
         for b in pieces(batches, max(1, CELLS // d)):
@@ -195,7 +197,7 @@ def within(u: np.ndarray, z: np.ndarray, scales: np.ndarray, least: np.ndarray,
     """Query, vector, lower and upper bound of the inner products that may be among a query's k best and reach `least`."""
     n, d = z.shape
     size = np.linalg.norm(u.astype(np.float64), axis=1)
-    err = 0.5 * np.abs(u.astype(np.float64)).sum(axis=1) + (d + 16) * 1.2e-7 * size * 127 * math.sqrt(d)
+    err = 0.5 * np.abs(u.astype(np.float64)).sum(axis=1) + (d + 20) * 1.2e-7 * size * 127 * math.sqrt(d)
     raw = (u @ z.astype(np.float32).T).astype(np.float64)
     low, high = (raw - err[:, None]) * scales, (raw + err[:, None]) * scales
     least = np.maximum(least, np.partition(low, n - k, axis=1)[:, n - k]) if n >= k else least
@@ -220,7 +222,8 @@ def _searched(visits: DataFrame, index: DataFrame, d: int, k: int) -> DataFrame:
         none = pa.table([pa.array([], t) for t in (pa.int64(), pa.int64(), pa.float64(), pa.float64())], names=names)
         if not left.num_rows or not right.num_rows:
             return none
-        code, reps, scales = (np.frombuffer(b"".join(right.column(c).to_pylist()), t) for c, t in (("codes", "<u4"), ("reps", "<i8"), ("scales", "<f8")))
+        code, reps = (np.frombuffer(b"".join(right.column(c).to_pylist()), t) for c, t in (("codes", "<u4"), ("reps", "<i8")))
+        scales = np.concatenate([np.frombuffer(x, "<f4" if len(x) == len(c) else "<f8").astype(np.float64) for x, c in zip(right.column("scales").to_pylist(), right.column("codes").to_pylist(), strict=True)])
         z, code = unpack(right.column("z"), d, np.int8), code.astype(np.int64)
         order = np.lexsort((reps, code))
         code, reps, scales, z = code[order], reps[order], scales[order], z[order]  # the tree's sorted array
