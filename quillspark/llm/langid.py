@@ -1,13 +1,15 @@
 """Language identification by language-bitmask n-gram filters.
 
-One bit-sliced Bloom filter serves all languages: slot i of the table is a mask with a bit for each language, and an
-n-gram sets its language's bit in K slots. The AND of an n-gram's K slots is the set of all languages that contain it,
-found at once for every n-gram of a batch. A language's hits over a text are its popcount; the share that false
-positives are expected to have, known from how full the language's slice is, is taken off. The highest corrected count
-decides; the score is its share among all languages' counts.
+One bit-sliced Bloom filter serves all languages: slot i of the table is a mask with PLANES bits for each language, and an
+n-gram sets its languages' bits in K slots. The AND of an n-gram's K slots gives all languages that contain it (the first
+plane) and, as a weight, those where it is at least SHARE as frequent as where it is most frequent (the second), for every
+n-gram of a batch at once. Each bit's hits over a text are its popcount; the hits that false positives are expected to
+have, known from how full the bit's slice is, are taken off. The highest sum of a language's corrected counts, by the
+planes' WEIGHTS, decides; the score is its share among all languages' sums.
 
-Learning takes about SAMPLE documents of each language by a hash of doc_id, a documented bound; an n-gram belongs to a
-language if it is among the PROFILE most frequent there and at least SHARE as frequent as where it is most frequent.
+Learning takes about SAMPLE documents of each language by a hash of doc_id, a documented bound, and every n-gram of them,
+whole. n-grams are counted and turned into masks on the executors; the driver gets the filter's slots, whose number follows
+the largest language's n-grams from LEAST_SLOTS to MOST_SLOTS: a larger one gets fuller, and more is taken off.
 
 Text that is null or has no letter is `und` with score 0. Of equal counts the language that is first by code point wins.
 An empty table learns nothing; then every text is `und`. Extra columns aren't read. Repeated rows give repeated results.
@@ -23,10 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillspark.llm.common import pieces
+from quillspark.llm.common import materialize, pieces
+from quillspark.storage import release
 
-SLOTS, K, SIZES = 1 << 19, 3, (3, 4)
-SAMPLE, PROFILE, SHARE = 3000, 30_000, 0.25
+K, SIZES, PLANES, LEAST_SLOTS, MOST_SLOTS = 3, (3, 4), 2, 1 << 16, 1 << 22
+#: What a hit of each plane counts.
+WEIGHTS = (0.125, 1.0)
+SAMPLE, SHARE = 3000, 0.25
 _PRIMES = np.array([0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63], np.uint64)
 #: Characters that are looked at together, in prediction and in learning.
 CHUNK, PIECE = 1 << 18, 1 << 20
@@ -56,7 +61,7 @@ def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def gram_hashes(points: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of the n-gram at each position; whether it is one: its inner characters are letters, one of its ends may not be."""
+    """Hash of the n-gram at each position; whether it is one: its inner characters are letters, its ends may not be."""
     m = len(points) - n + 1
     if m <= 0:
         return np.zeros(0, np.uint64), np.zeros(0, bool)
@@ -67,7 +72,7 @@ def gram_hashes(points: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
         h ^= h >> np.uint64(29)
         if 0 < i < n - 1:
             whole &= part != 0
-    return h * _PRIMES[0], whole & ((points[:m] != 0) | (points[n - 1 :] != 0))
+    return h * _PRIMES[0], whole
 
 
 def slots(h: np.ndarray, i: int, n: int) -> np.ndarray:
@@ -78,13 +83,15 @@ def slots(h: np.ndarray, i: int, n: int) -> np.ndarray:
 @dataclass
 class Filter:
     languages: list[str]
-    table: np.ndarray  # a row of 64-bit words for each slot, one bit a language
-    wrong: np.ndarray  # a false positive's probability, by language
+    table: np.ndarray  # a row of 64-bit words (of 8-bit ones for few languages) for each slot, PLANES bits a language
+    wrong: np.ndarray  # a false positive's probability, by bit
 
     def popcounts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """n-grams of each text; hits by text and language."""
+        """n-grams of each text; hits by text and bit."""
         points, starts = code_points(texts)
-        n, hits = np.zeros(len(texts), np.int64), np.zeros((len(texts), len(self.languages)), np.int64)
+        bits = PLANES * len(self.languages)
+        n, hits = np.zeros(len(texts), np.int64), np.zeros((len(texts), bits), np.int64)
+        width, one = 8 * self.table.dtype.itemsize, self.table.dtype.type(1)
         for size in SIZES:
             h, ok = gram_hashes(points, size)
             for at in range(0, len(h), CHUNK):
@@ -96,48 +103,57 @@ class Filter:
                     found &= self.table[slots(part[keep], i, len(self.table))]
                 bounds = np.searchsorted(keep + at, np.append(starts[1:] - 1, len(points)))
                 n += np.diff(np.concatenate(([0], bounds)))
-                for j in range(len(self.languages)):
-                    run = np.concatenate(([0], np.cumsum((found[:, j // 64] >> self.table.dtype.type(j % 64)) & self.table.dtype.type(1), dtype=np.int64)))
+                for j in range(bits):
+                    run = np.concatenate(([0], np.cumsum((found[:, j // width] >> self.table.dtype.type(j % width)) & one, dtype=np.int64)))
                     hits[:, j] += np.diff(np.concatenate(([0], run[bounds])))
         return n, hits
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        lang, score = ["und"] * len(texts), [0.0] * len(texts)
+    def counts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """n-grams of each text; counts by text, language and plane, without the expected false positives."""
+        n, hits = self.popcounts(texts)
+        right = np.clip((hits - n[:, None] * self.wrong) / (1 - self.wrong), 0, None)
+        return n, right.reshape(len(texts), len(self.languages), PLANES)
+
+    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float], list[float]]:
+        """Language, score, and the share of the text's n-grams that the language contains."""
+        lang, score, known = ["und"] * len(texts), [0.0] * len(texts), [0.0] * len(texts)
         at = [i for i, t in enumerate(texts) if t and any(map(str.isalpha, t))]
         if not at or not self.languages:
-            return lang, score
-        n, hits = self.popcounts([texts[i] for i in at])
-        right = np.clip((hits - n[:, None] * self.wrong) / (1 - self.wrong), 0, None)
-        best, total = right.argmax(axis=1), right.sum(axis=1)
-        for i, j, x, s in zip(at, best.tolist(), right.max(axis=1).tolist(), total.tolist(), strict=True):
-            lang[i], score[i] = self.languages[j], x / s if s else 0.0
-        return lang, score
-
-
-def build(grams: dict[str, np.ndarray], n_slots: int = SLOTS) -> Filter:
-    """Filter of each language's n-gram hashes."""
-    languages = sorted(grams)
-    kind = np.dtype(np.uint8 if len(languages) <= 8 else np.uint64)
-    table = np.zeros((n_slots, 1 if len(languages) <= 8 else (len(languages) + 63) // 64), kind)
-    full = []
-    for j, name in enumerate(languages):
-        hashes, own = grams[name].astype(np.uint64), np.zeros(n_slots, bool)
-        for i in range(K):
-            own[slots(hashes, i, n_slots)] = True
-        table[own, j // 64] |= kind.type(1 << (j % 64))
-        full.append(min(0.999, float(own.mean()) ** K))
-    return Filter(languages, table, np.array(full))
-
-
-def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE, profile: int = PROFILE) -> Filter:
+            return lang, score, known
+        n, right = self.counts([texts[i] for i in at])
+        sums = right @ np.array(WEIGHTS)
+        for i, j, row, m in zip(at, sums.argmax(axis=1).tolist(), range(len(at)), n.tolist(), strict=True):
+            total = float(sums[row].sum())
+            lang[i], score[i], known[i] = self.languages[j], float(sums[row, j]) / total if total else 0.0, min(1.0, float(right[row, j, 0]) / m) if m else 0.0
+        return lang, score, known
+
+
+def shape(languages: int, n_slots: int) -> tuple[tuple[int, int], np.dtype]:
+    bits = PLANES * languages
+    return (n_slots, 1 if bits <= 8 else (bits + 63) // 64), np.dtype(np.uint8 if bits <= 8 else np.uint64)
+
+
+def filled(languages: list[str], table: np.ndarray) -> Filter:
+    """A filter, with its bits' rates of false positives from how full they are."""
+    width, one = 8 * table.dtype.itemsize, table.dtype.type(1)
+    full = [float(((table[:, j // width] >> table.dtype.type(j % width)) & one).mean()) for j in range(PLANES * len(languages))]
+    return Filter(languages, table, np.array([min(0.999, x**K) for x in full]))
+
+
+def size_for(grams: int) -> int:
+    """Slots for a language of so many n-grams: under a tenth of them set, up to MOST_SLOTS."""
+    return min(MOST_SLOTS, max(LEAST_SLOTS, 1 << (10 * K * max(1, grams) - 1).bit_length()))
+
+
+def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> Filter:
     """A filter from rows with a lang; about `sample` rows of each language, by the hash of their key.
 
-    Whole texts are read, PIECE characters at a time. n-grams are counted on the executors; the driver gets `profile` a language.
+    Whole texts are read, PIECE characters at a time.
     """
     rows = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
     sizes = rows.groupBy(F.col(lang).alias("l")).count().collect()
     if not sizes:
-        return build({})
+        return filled([], np.zeros((1, 1), np.uint8))
     rate = F.create_map(*[x for r in sizes for x in (F.lit(r["l"]), F.lit(min(1.0, sample / r["count"])))])
     unit = F.shiftrightunsigned(F.xxhash64(F.lit(11), F.col(key)), 11) / float(1 << 53)
     taken = rows.where(unit < F.element_at(rate, F.col(lang))).select(F.col(lang).alias("l"), F.col(text).alias("t"))
@@ -155,39 +171,52 @@ def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
                         g, c = np.unique(h[ok], return_counts=True)
                         yield pa.RecordBatch.from_arrays([pa.array([name] * len(g), pa.string()), pa.array(g.view(np.int64)), pa.array(c.astype(np.int64))], ["l", "g", "c"])
 
-    from pyspark.sql import Window as W
-
-    counts = taken.mapInArrow(count, "l string, g long, c long").groupBy("l", "g").agg(F.sum("c").alias("c")).where("c > 1")
-    top = counts.withColumn("n", F.row_number().over(W.partitionBy("l").orderBy(F.desc("c"), "g"))).where(F.col("n") <= profile).select("l", "g", "c").toPandas()
-    top["f"] = top.c / top.groupby("l").c.transform("sum")
-    top = top[top.f >= SHARE * top.groupby("g").f.transform("max")]
-    return build({name: np.sort(g.g.to_numpy().astype(np.int64).view(np.uint64)) for name, g in top.groupby("l")})
-
-
-def _packed(f: Filter) -> tuple:
-    return f.languages, f.table.shape, f.table.dtype.str, f.table.tobytes(), f.wrong.tolist()
-
-
-def predict(docs: DataFrame, f: Filter, text: str = "text", names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
-    """docs with the language and its score, under `names`. The filter has a fixed size (SLOTS masks), which is what is broadcast."""
-    sent = docs.sparkSession.sparkContext.broadcast(_packed(f))
+    counts = materialize(taken.mapInArrow(count, "l string, g long, c long").groupBy("l", "g").agg(F.sum("c").alias("c")))
+    totals = sorted((r["l"], r["n"], r["c"]) for r in counts.groupBy("l").agg(F.count(F.lit(1)).alias("n"), F.sum("c").alias("c")).collect())
+    languages = [x[0] for x in totals]
+    (n_slots, words), kind = shape(len(languages), size_for(max([x[1] for x in totals], default=1)))
+    table = np.zeros((n_slots, words), kind)
+    if not languages:
+        release(counts)
+        return filled([], table)
+    place = F.create_map(*[x for i, (name, _, c) in enumerate(totals) for x in (F.lit(name), F.struct(F.lit(i).alias("i"), F.lit(float(c)).alias("all")))])
+    of = counts.withColumn("p", F.element_at(place, F.col("l"))).select("g", F.col("p.i").alias("i"), (F.col("c") / F.col("p.all")).alias("f"))
+    known = of.groupBy("g").agg(F.collect_list(F.struct("i", "f")).alias("of"), F.max("f").alias("most"))  # as many as there are languages
+    first = F.transform("of", lambda x: x["i"] * PLANES)
+    second = F.transform(F.filter("of", lambda x: x["f"] >= F.col("most") * SHARE), lambda x: x["i"] * PLANES + 1)
+    bits = known.select("g", F.explode(F.concat(first, second)).alias("bit"))
+    at = [(F.shiftrightunsigned("g", 32) + F.lit(i) * F.col("g").bitwiseAND(F.lit(0xFFFFFFFF)).bitwiseOR(F.lit(1))).bitwiseAND(F.lit(n_slots - 1)) for i in range(K)]
+    set_ = bits.select(F.explode(F.array(*at)).alias("slot"), F.floor(F.col("bit") / 64).cast("int").alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("bit") % 64).cast("int")).alias("mask"))
+    got = set_.groupBy("slot", "word").agg(F.bit_or("mask").alias("mask")).toArrow()
+    table[got.column("slot").to_numpy(), got.column("word").to_numpy()] = got.column("mask").to_numpy().view(np.uint64).astype(kind)
+    release(counts)
+    return filled(languages, table)
+
+
+def predict(docs: DataFrame, f: Filter, text: str = "text", names: tuple[str, ...] = ("lang_pred", "score")) -> DataFrame:
+    """docs with the language and its score, and the share of n-grams it contains if three `names` are given.
+
+    The filter has a bounded size (MOST_SLOTS masks), which is what is broadcast.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast((f.languages, f.table.shape, f.table.dtype.str, f.table.tobytes(), f.wrong.tolist()))
     rest = [c for c in docs.columns if c not in names]
-    schema = T.StructType([docs.schema[c] for c in rest] + [T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
+    kinds = (T.StringType(), T.DoubleType(), T.DoubleType())
+    schema = T.StructType([docs.schema[c] for c in rest] + [T.StructField(n, k) for n, k in zip(names, kinds)])
 
     def run(batches):
-        known, shape, kind, raw, wrong = sent.value
-        own = Filter(known, np.frombuffer(raw, kind).reshape(shape), np.array(wrong))
+        known, of, kind, raw, wrong = sent.value
+        own = Filter(known, np.frombuffer(raw, kind).reshape(of), np.array(wrong))
         for b in pieces(batches):
-            texts, lang, score, at = b.column(b.schema.get_field_index(text)).to_pylist(), [], [], 0
+            texts, made, at = b.column(b.schema.get_field_index(text)).to_pylist(), ([], [], []), 0
             while at < len(texts):
                 end, chars = at, 0
                 while end < len(texts) and (end == at or chars < CHUNK):
                     chars += len(texts[end] or "")
                     end += 1
-                for to, got in zip((lang, score), own.predict(texts[at:end]), strict=True):
+                for to, got in zip(made, own.predict(texts[at:end]), strict=True):
                     to += got
                 at = end
-            yield pa.RecordBatch.from_arrays([*[b.column(b.schema.get_field_index(c)) for c in rest], pa.array(lang, pa.string()), pa.array(score, pa.float64())], [*rest, *names])
+            yield pa.RecordBatch.from_arrays([*[b.column(b.schema.get_field_index(c)) for c in rest], *[pa.array(x, t) for x, t, _ in zip(made, (pa.string(), pa.float64(), pa.float64()), names)]], [*rest, *names])
 
     return docs.mapInArrow(run, schema)
 
@@ -198,13 +227,14 @@ def identify(docs: DataFrame) -> DataFrame:
     return predict(docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out")), f).drop("text")
 
 
-def keep(docs: DataFrame, least: float = 1.2) -> DataFrame:
-    """docs without those that have no language: `und`, or a best share under `least` times chance, one over the languages.
+def keep(docs: DataFrame, least: float = 1.2, known: float = 0.5) -> DataFrame:
+    """docs without those that have no language: `und`, a best share under `least` times chance, one over the languages, or
+    a best language that contains under `known` of the text's n-grams.
 
-    At most half is asked for, which the better of two always has.
+    Of the share at most half is asked for, which the better of two always has.
     """
     columns = docs.columns
     f = learn(docs.select("doc_id", "text", "lang"))
     share = min(0.5, least / max(1, len(f.languages)))
-    got = predict(docs, f, names=("__lang", "__share"))  # a column of docs may have the usual names
-    return got.where((F.col("__lang") != "und") & (F.col("__share") >= share)).select(*columns)
+    got = predict(docs, f, names=("__lang", "__share", "__known"))  # a column of docs may have the usual names
+    return got.where((F.col("__lang") != "und") & (F.col("__share") >= share) & (F.col("__known") >= known)).select(*columns)

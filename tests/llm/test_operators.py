@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -262,7 +263,7 @@ def test_language_id(spark, odd):
     assert {got[k].lang_pred for k in (300, 301, 302)} == {"und"} and {got[k].score for k in (300, 301, 302)} == {0.0}
     assert sorted(r.doc_id for r in langid.keep(df).collect()) == list(range(300))
     assert langid.keep(odd).columns == odd.columns and {r.score for r in langid.keep(odd).collect()} == {"x"} and langid.identify(odd).count() == 7 and langid.identify(odd.limit(0)).count() == 0
-    assert {r.lang_pred for r in langid.predict(df, langid.build({})).collect()} == {"und"}
+    assert {r.lang_pred for r in langid.predict(df, langid.learn(df.limit(0))).collect()} == {"und"}
 
 
 def test_learning_reads_whole_texts(spark):
@@ -288,25 +289,63 @@ def test_lang_id_never_uses_ids_or_labels(spark):
     assert a == b
 
 
-def test_bloom_popcounts_are_corrected():
+def plain_grams(text):
+    """n-grams as strings, by definition: letters inside; all else is a blank."""
+    low = "".join(c if c.isalpha() else " " for c in f" {text.lower()} ")
+    return [low[i : i + n] for n in langid.SIZES for i in range(len(low) - n + 1) if " " not in low[i + 1 : i + n - 1]]
+
+
+def test_popcounts_equal_sets_of_strings(spark):
+    """The filter, built on executors, gives the languages that plain sets give, and counts that differ by false positives only."""
+    rnd = random.Random(16)
+    langs = [rnd.choice(list(LANGS)) for _ in range(90)]
+    texts = [spoken(rnd, x, 40) + rnd.choice(["", " the die les", " 42 x\u00df"]) for x in langs]
+    f = langid.learn(docs(spark, texts, langs=langs))
+    own = {x: [g for t, y in zip(texts, langs) if y == x for g in plain_grams(t)] for x in LANGS}
+    sets = {x: set(g) for x, g in own.items()}
+    rate = {x: {g: own[x].count(g) / len(own[x]) for g in sets[x]} for x in LANGS}
+    assert f.languages == sorted(LANGS)
+    probes = [spoken(rnd, x, 25) + " zzzq wxyz" for x in LANGS] + ["\u00e9t\u00e9 die", "q"]
+    n, counts = f.counts(probes)
+    for i, t in enumerate(probes):
+        grams = plain_grams(t)
+        assert n[i] == len(grams)
+        for j, x in enumerate(f.languages):
+            first = sum(g in sets[x] for g in grams)
+            second = sum(g in sets[x] and rate[x][g] >= langid.SHARE * max(r.get(g, 0) for r in rate.values()) for g in grams)
+            for want, got, wrong in zip((first, second), counts[i, j], f.wrong[2 * j : 2 * j + 2]):
+                assert abs(got - want) <= 1 + 5 * math.sqrt(n[i] * wrong)
+
+
+def test_false_positives_are_taken_off():
     rng = np.random.default_rng(0)
-    grams = {x: rng.integers(0, 2**63, 4000).astype(np.uint64) for x in "ab"}
-    f = langid.build(grams, n_slots=1 << 13)
+    table = np.zeros((1 << 13, 1), np.uint8)
+    own = rng.integers(0, 2**63, 4000).astype(np.uint64)
+    for i in range(langid.K):
+        table[langid.slots(own, i, 1 << 13), 0] |= 1
+    f = langid.filled(["a"], table)
     other = rng.integers(0, 2**63, 20000).astype(np.uint64)
-    mask = f.table[langid.slots(other, 0, 1 << 13)]
-    for i in range(1, langid.K):
-        mask &= f.table[langid.slots(other, i, 1 << 13)]
-    assert abs((mask[:, 0] & 1).mean() - f.wrong[0]) < 0.02
-    own = f.table[langid.slots(grams["b"], 0, 1 << 13)]
-    for i in range(1, langid.K):
-        own &= f.table[langid.slots(grams["b"], i, 1 << 13)]
-    assert (own[:, 0] >> 1 & 1).all()
-
-
-def test_many_languages_use_wide_masks():
-    grams = {f"l{i:02d}": np.arange(i * 1000, i * 1000 + 50, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) for i in range(70)}
-    f = langid.build(grams, n_slots=1 << 16)
-    assert f.table.shape == (1 << 16, 2) and f.predict(["abc"])[0][0] in grams
+    hit = np.ones(20000, bool)
+    for i in range(langid.K):
+        hit &= table[langid.slots(other, i, 1 << 13), 0] & 1 == 1
+    assert 0.2 < f.wrong[0] and abs(hit.mean() - f.wrong[0]) < 0.02 and f.wrong[1] == 0
+
+
+def test_many_languages_use_wide_masks(spark):
+    rnd = random.Random(17)
+    words = {f"l{i:02d}": ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(6)] for i in range(70)}
+    texts, langs = zip(*[(" ".join(rnd.choice(w) for _ in range(20)), x) for x, w in words.items() for _ in range(3)])
+    f = langid.learn(docs(spark, list(texts), langs=list(langs)))
+    assert f.table.dtype == np.uint64 and f.table.shape[1] == 3
+    assert f.predict([" ".join(w) for w in words.values()])[0] == list(words)
+
+
+def test_keep_rejects_unknown_writing(spark):
+    rnd = random.Random(18)
+    langs = [rnd.choice(list(LANGS)) for _ in range(200)]
+    strange = ["".join(rnd.choice("qxzjvwkygb") for _ in range(300)), "слово дело " * 30, "12 34", None]
+    df = docs(spark, [spoken(rnd, x) for x in langs] + strange, langs=langs + [None] * 4)
+    assert sorted(r.doc_id for r in langid.keep(df).collect()) == list(range(200))
 
 
 # 2 URL filters
