@@ -460,3 +460,52 @@ def test_thresholds_are_ordered_and_severity_rises():
     assert (np.diff(m.thresholds) > 0).all()
     raw = np.array([m.weights[s].sum() for s in slots[:3]])
     assert (np.diff(m.severity(raw)) >= 0).all()
+
+
+def test_fit_equals_a_dense_reference():
+    """The same likelihood written over a dense matrix, minimised by numeric gradients with a line search."""
+    rng = np.random.default_rng(19)
+    x = (rng.random((240, 5)) < 0.4).astype(float)
+    grades = np.digitize(x @ np.array([2.0, 1.0, 0.5, -1.0, 0.0]) + rng.logistic(size=240), [1.0, 2.5])
+    weight = np.where(grades > 0, 120 / (grades > 0).sum(), 120 / (grades == 0).sum())
+    l2 = 0.01
+
+    def loss(u):
+        t = np.array([u[5], u[5] + np.exp(u[6])])
+        above = np.column_stack([np.ones(240), 1 / (1 + np.exp(-(x @ u[:5])[:, None] + t)), np.zeros(240)])
+        mass = above[np.arange(240), grades] - above[np.arange(240), grades + 1]
+        return -(weight * np.log(mass)).mean() + l2 / 2 * (u[:5] ** 2).sum()
+
+    u, step = np.zeros(7), 1.0
+    for _ in range(3000):
+        g = np.array([(loss(u + d) - loss(u - d)) / 2e-5 for d in np.eye(7) * 1e-5])
+        while loss(u - step * g) > loss(u) - 0.25 * step * (g @ g) and step > 1e-9:
+            step /= 2
+        u, step = u - step * g, min(1.0, step * 2)
+    slots = [np.flatnonzero(r).astype(np.int32) + 7 for r in x]
+    m = toxicity.fit(slots, grades, l2=l2, steps=3000, rate=0.02)
+    assert np.allclose(m.weights[7:12], u[:5], atol=0.01) and np.allclose(m.thresholds, [u[5], u[5] + np.exp(u[6])], atol=0.01)
+
+
+def test_cut_of_ties():
+    """Rows of one severity are accepted or rejected together."""
+    s, t = np.array([0.5] * 6 + [1.0] * 4), np.array([0, 0, 0, 0, 0, 1, 1, 1, 1, 1])
+    assert 0.5 < toxicity.best_cut(s, t) < 1.0
+    assert toxicity.best_cut(np.array([0.5] * 4), np.array([0, 0, 0, 1])) >= 0.5
+
+
+def test_a_row_weighs_what_its_features_weigh():
+    rng = np.random.default_rng(21)
+    m = toxicity.Model(rng.standard_normal(toxicity.DIM), np.array([0.0, 1.0]), 1.0)
+    for text in ("", "abcde abcdf abcdg abcd abc", "Eins eins zwei zweites zweiter dreizehn"):
+        words = toxicity.tokens(text)
+        assert abs(m.raw(words) - m.weights[toxicity.features(words)].sum()) < 1e-9 and abs(m.raw(words) - m.raw(words)) < 1e-12
+
+
+def test_near_copies_count_once():
+    rng = np.random.default_rng(20)
+    rows = [np.sort(rng.choice(5000, 60, replace=False)).astype(np.int32) for _ in range(20)]
+    copies = [np.append(r[:-2], [6000 + i, 6100 + i]).astype(np.int32) for i, r in enumerate(rows)]
+    none = np.zeros(toxicity.DIM, bool)
+    kept = toxicity.unlike([toxicity.sketch(s, none) for s in rows + copies])
+    assert set(range(20)) <= set(kept.tolist()) and len(kept) <= 22
