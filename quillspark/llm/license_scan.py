@@ -1,40 +1,38 @@
 """License scans, native: MinHash bands over overlapping text windows, then exact shingle containment.
 
 Text and templates are lower-cased (A-Z) and cut into words of letters and ASCII digits; five words make a shingle. A
-template of more than LONG shingles is looked for by windows of WINDOW shingles, one from each offset, a shorter one by
-windows of one shingle. The template is indexed with all its full windows: so a text that holds the passage, whole or a
-window of it, holds a window equal to one of them, of which all bands agree. For a copy with changed words the bands
-(one MinHash each) meet with probability 1 - (1 - J) ** BANDS for each window of Jaccard similarity J: 0.992 where J is
-0.8, for every window separately.
+window is a run of shingles, one begins at each shingle. Each template is looked for by windows of one width: the largest
+of WIDTHS that it has shingles for. It is indexed with all its full windows, by BANDS bands of one MinHash each (a window
+of one shingle has but one), and every window of that width in a text is looked up. A text that holds the template, or a
+window of it unchanged, holds a window of which all bands agree; an altered window meets with probability
+1 - (1 - J) ** BANDS for its Jaccard similarity J, 0.992 where J is 0.8, and each window of the text is one more chance.
 
-What is retrieved is verified: the share of the template's distinct shingles that the whole text contains, exactly,
-must be LEAST or more. Templates with fewer than five words give no shingle and are refused. Templates are a bounded
-parameter (MOST_WINDOWS band values), so a row is decided where it lies, without a join or shuffle.
+What is retrieved is verified: the share of the template's distinct shingles that the whole text contains, exactly, must
+be LEAST or more. A copy of which that is so, with its order kept, has an unchanged window of eight shingles or of all it
+has: a changed word costs five shingles, and where a fifth of them is lost some run between two changes is that long.
+
+Templates with fewer than five words give no shingle and are refused. Band values of up to MOST_VALUES windows are part of
+the expression, so that a row is decided where it lies, without a join or shuffle; rows that share no shingle with any
+template have no MinHash computed. More are a stored table that the texts' windows are joined with.
 
 Null, empty and shorter texts have no shingles and no licenses. Repeated rows give repeated results, extra columns pass.
+Columns that begin with two underscores are used inside and may not be among them.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SHINGLE, WINDOW, BANDS, LEAST, LONG, MOST_WINDOWS = 5, 8, 3, 0.8, 12, 20_000
+from quillspark.llm.common import materialize
+from quillspark.llm.license_texts import TEMPLATES
+
+SHINGLE, WIDTHS, BANDS, LEAST, MOST_VALUES = 5, (1, 2, 4, 8), 3, 0.8, 20_000
 #: A band's MinHash is the least of the hashes XOR its salt.
 SALTS = (0x243F6A8885A308D3, 0x13198A2E03707344, -0x5BF7C6B2D1E0A943)
 
-#: Wording of public licenses and notices, by name.
-TEMPLATES = {
-    "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
-    "Apache-2.0-header": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at",
-    "BSD": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "GPL-header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
-    "MIT": "Released under the MIT License.",
-    "MIT-text": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction",
-}
-
 
 def _after(column: str, k: int) -> Column:
     """The array without its first k elements."""
@@ -55,62 +53,97 @@ def with_shingles(df: DataFrame, text: str, to: str) -> DataFrame:
     return df.withColumn(to, F.slice(five, 1, F.greatest(F.size("__1") - (SHINGLE - 1), F.lit(0)))).drop("__1", "__2", "__4")
 
 
-def with_minima(df: DataFrame, shingles: str, band: int, to: str) -> DataFrame:
-    """df with the MinHash of the window of WINDOW shingles from each offset on (shorter at the end), by doubling."""
-    df = df.withColumn("__m1", F.transform(shingles, lambda h: h.bitwiseXOR(F.lit(SALTS[band]))))
-    for w in (1, 2, 4):
-        df = df.withColumn(f"__m{2 * w}", F.zip_with(f"__m{w}", _after(f"__m{w}", w), lambda a, b: F.least(a, b)))
-    return df.withColumn(to, F.col("__m8")).drop("__m1", "__m2", "__m4", "__m8")
+def with_minima(df: DataFrame, band: int, widths: list[int], when: Column) -> DataFrame:
+    """df with columns `__m{band}_{width}`, empty where not `when`."""
+    none = F.array().cast("array<bigint>")
+    df = df.withColumn(f"__m{band}_1", F.when(when, F.transform("__s", lambda h: h.bitwiseXOR(F.lit(SALTS[band])))).otherwise(none))
+    for w in WIDTHS[:-1]:
+        if 2 * w <= max(widths):
+            df = df.withColumn(f"__m{band}_{2 * w}", F.zip_with(f"__m{band}_{w}", _after(f"__m{band}_{w}", w), lambda a, b: F.least(a, b)))
+    return df
 
 
 def _literal(values: list[int]) -> Column:
     return F.array(*[F.lit(v).cast("bigint") for v in values]).cast("array<bigint>")
 
 
+def bands_of(width: int) -> int:
+    return 1 if width == 1 else BANDS
+
+
 def index(spark: SparkSession, templates: dict[str, str]) -> dict[str, dict]:
-    """Each template's distinct shingles and band values."""
-    rows = with_shingles(spark.createDataFrame(sorted(templates.items()), "name string, t string"), "t", "s").drop("t")
+    """Each template's distinct shingles, its width, and its windows' values by band."""
+    rows = with_shingles(spark.createDataFrame(sorted(templates.items()), "name string, t string"), "t", "__s").drop("t")
     for b in range(BANDS):
-        rows = with_minima(rows, "s", b, f"b{b}")
+        rows = with_minima(rows, b, list(WIDTHS), F.lit(True))
     out = {}
     for r in rows.collect():
-        if not r["s"]:
+        n = len(r["__s"])
+        if not n:
             raise ValueError(f"template {r['name']} has fewer than {SHINGLE} words")
-        long, full = len(r["s"]) > LONG, len(r["s"]) - WINDOW + 1
-        out[r["name"]] = {"shingles": sorted(set(r["s"])), "long": long, "bands": [sorted(set(r[f"b{b}"][:full])) for b in range(BANDS)] if long else [sorted(set(r["s"]))]}
-    if sum(len(x) for t in out.values() for x in t["bands"]) > MOST_WINDOWS:
-        raise ValueError("too many templates for one pass; scan in several")
+        w = max(x for x in WIDTHS if x <= n)
+        out[r["name"]] = {"shingles": sorted(set(r["__s"])), "width": w, "bands": [sorted(set(r[f"__m{b}_{w}"][: n - w + 1])) for b in range(bands_of(w))]}
     return out
 
 
-def scan(docs: DataFrame, templates: dict[str, str] | None = None, text: str = "text", least: float = LEAST) -> DataFrame:
-    """docs with `licenses` (array of struct(name, containment) by name) and `retrieved` (templates the bands brought up)."""
-    found = index(docs.sparkSession, TEMPLATES if templates is None else templates)
-    names = sorted(found)
-    longs, shorts = [n for n in names if found[n]["long"]], [n for n in names if not found[n]["long"]]
+def _kept(found: Column, least: float) -> tuple[Column, Column]:
+    """Names of what was retrieved, and of what has enough containment."""
+    return F.array_sort(F.transform(found, lambda c: c["name"])), F.array_sort(F.filter(found, lambda c: c["containment"] >= least))
+
+
+def _scan_in_place(docs: DataFrame, found: dict[str, dict], text: str, least: float) -> DataFrame:
     s = F.col("__s")
     rows = with_shingles(docs, text, "__s")
-    hits: list[Column] = []
-    if shorts:  # windows of one shingle: the MinHash is the shingle's
-        rows = rows.withColumn("__one", F.array_intersect(s, _literal(sorted({x for n in shorts for x in found[n]["bands"][0]}))))
-        hits += [F.when(F.size("__one") > 0, F.arrays_overlap("__one", _literal(found[n]["bands"][0]))).otherwise(False).alias(n) for n in shorts]
-    for b in range(BANDS if longs else 0):
-        every = _literal(sorted({x for n in longs for x in found[n]["bands"][b]}))
-        rows = with_minima(rows, "__s", b, "__w").withColumn(f"__b{b}", F.array_intersect("__w", every)).drop("__w")
-    for n in longs:
-        any_band = F.lit(False)
-        for b in range(BANDS):
-            any_band = any_band | F.when(F.size(f"__b{b}") > 0, F.arrays_overlap(f"__b{b}", _literal(found[n]["bands"][b]))).otherwise(False)
-        hits.append(any_band.alias(n))
+    some = F.arrays_overlap(s, _literal(sorted({x for t in found.values() for x in t["shingles"]})))
+    rows = rows.withColumn("__any", F.coalesce(some, F.lit(False)))
+    widths = sorted({t["width"] for t in found.values()})
+    for b in range(BANDS):
+        rows = with_minima(rows, b, widths, F.col("__any"))
+        for w in widths:
+            if b < bands_of(w):
+                every = _literal(sorted({x for t in found.values() if t["width"] == w for x in t["bands"][b]}))
+                rows = rows.withColumn(f"__b{b}_{w}", F.array_intersect(f"__m{b}_{w}", every))
+        rows = rows.drop(*[c for c in rows.columns if c.startswith(f"__m{b}_")])
     checks = []
-    for n, hit in zip(shorts + longs, hits, strict=True):
-        own = found[n]["shingles"]
-        share = F.when(hit, F.size(F.array_intersect(s, _literal(own))) / len(own))
-        checks.append(F.struct(F.lit(n).alias("name"), share.alias("containment")))
+    for name, t in sorted(found.items()):
+        hits = [F.when(F.size(c := F.col(f"__b{b}_{t['width']}")) > 0, F.arrays_overlap(c, _literal(x))).otherwise(False) for b, x in enumerate(t["bands"])]
+        share = F.when(reduce(lambda a, b: a | b, hits), F.size(F.array_intersect(s, _literal(t["shingles"]))) / len(t["shingles"]))
+        checks.append(F.struct(F.lit(name).alias("name"), share.alias("containment")))
     got = F.array(*checks) if checks else F.array().cast("array<struct<name:string,containment:double>>")
     rows = rows.withColumn("__c", F.filter(got, lambda c: c["containment"].isNotNull()))
-    rows = rows.withColumn("retrieved", F.array_sort(F.transform("__c", lambda c: c["name"]))).withColumn("licenses", F.array_sort(F.filter("__c", lambda c: c["containment"] >= least)))
-    return rows.drop(*[c for c in rows.columns if c.startswith("__")])
+    retrieved, licenses = _kept(F.col("__c"), least)
+    return rows.withColumn("retrieved", retrieved).withColumn("licenses", licenses).drop(*[c for c in rows.columns if c.startswith("__")])
+
+
+def _scan_joined(docs: DataFrame, found: dict[str, dict], text: str, least: float) -> DataFrame:
+    """The same by equi-joins: windows with a stored band table, candidates with the templates' shingles."""
+    spark = docs.sparkSession
+    values = materialize(spark.createDataFrame([(b, t["width"], x, n) for n, t in found.items() for b, v in enumerate(t["bands"]) for x in v], "band int, width int, value long, name string"))
+    own = materialize(spark.createDataFrame([(n, t["shingles"]) for n, t in found.items()], "name string, __own array<bigint>"))
+    widths = sorted({t["width"] for t in found.values()})
+    rows = materialize(with_shingles(docs, text, "__s").withColumn("__row", F.monotonically_increasing_id()))
+    parts = rows.select("__row", "__s")
+    for b in range(BANDS):
+        parts = with_minima(parts, b, widths, F.lit(True))
+
+    def marked(b: int, w: int) -> Column:
+        return F.transform(F.array_distinct(f"__m{b}_{w}"), lambda x: F.struct(F.lit(b).alias("band"), F.lit(w).alias("width"), x.alias("value")))
+
+    windows = F.concat(*[marked(b, w) for w in widths for b in range(bands_of(w))])
+    met = parts.select("__row", F.explode(windows).alias("w")).select("__row", "w.*").join(values, ["band", "width", "value"]).select("__row", "name").distinct()
+    share = F.size(F.array_intersect("__s", "__own")) / F.size("__own")
+    hits = met.join(own, "name").join(rows.select("__row", "__s"), "__row").groupBy("__row").agg(F.collect_list(F.struct("name", share.alias("containment"))).alias("__c"))
+    none = F.array().cast("array<struct<name:string,containment:double>>")
+    out = rows.drop("__s").join(hits, "__row", "left").withColumn("__c", F.coalesce("__c", none))
+    retrieved, licenses = _kept(F.col("__c"), least)
+    return out.withColumn("retrieved", retrieved).withColumn("licenses", licenses).drop("__row", "__c")
+
+
+def scan(docs: DataFrame, templates: dict[str, str] | None = None, text: str = "text", least: float = LEAST) -> DataFrame:
+    """docs with `licenses` (array of struct(name, containment) by name) and `retrieved` (templates the bands brought up)."""
+    found = index(docs.sparkSession, TEMPLATES if templates is None else templates)
+    few = sum(len(x) for t in found.values() for x in t["bands"]) <= MOST_VALUES
+    return (_scan_in_place if few else _scan_joined)(docs, found, text, least)
 
 
 def report(docs: DataFrame) -> DataFrame:

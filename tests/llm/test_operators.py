@@ -404,28 +404,67 @@ def plain_licenses(text, templates=license_scan.TEMPLATES):
     return {n: len(g & grams(t)) / len(grams(t)) for n, t in templates.items() if len(g & grams(t)) / len(grams(t)) >= license_scan.LEAST}
 
 
-def test_license_scan_equals_brute_force(spark, odd):
-    rnd, fill = random.Random(6), "lorem ipsum dolor sit amet consectetur adipiscing elit sed do".split()
-    texts = []
-    for _ in range(150):
+def license_texts(rnd, n):
+    fill, texts = "lorem ipsum dolor sit amet consectetur adipiscing elit sed do".split(), []
+    for _ in range(n):
         t = rnd.choice(list(license_scan.TEMPLATES.values())).split()
-        for _ in range(rnd.choice([0, 0, 1, 1, 2])):
+        for _ in range(rnd.choice([0, 0, 1, 1, 2, 3])):
             t[rnd.randrange(len(t))] = "changed"
         cut = rnd.choice([0, 0, 2])
         around = [rnd.choice(fill) for _ in range(rnd.randint(0, 40))]
         at = rnd.randint(0, len(around))
         texts.append(rnd.choice([" ", "\n", " -- "]).join(around[:at] + t[cut:] + around[at:]).swapcase())
+    return texts
+
+
+def test_license_scan_equals_brute_force(spark, odd, monkeypatch):
+    texts = license_texts(random.Random(6), 200)
     df = docs(spark, texts)
-    got = {r.doc_id: {c.name: c.containment for c in r.licenses} for r in license_scan.scan(df).collect()}
-    assert got == {i: plain_licenses(t) for i, t in enumerate(texts)}
-    assert {r.n_licenses for r in license_scan.report(odd).collect()} == {0} and license_scan.report(odd).count() == 7
-    assert license_scan.report(odd.limit(0)).count() == 0
-    plan = license_scan.report(df)._jdf.queryExecution().toString()
-    assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+    want = {i: plain_licenses(t) for i, t in enumerate(texts)}
+    assert len({n for x in want.values() for n in x}) == len(license_scan.TEMPLATES)
+    for most in (license_scan.MOST_VALUES, 10):  # in place, and joined with a stored band table
+        monkeypatch.setattr(license_scan, "MOST_VALUES", most)
+        rows = license_scan.scan(df).collect()
+        assert {r.doc_id: {c.name: c.containment for c in r.licenses} for r in rows} == want
+        assert all({c.name for c in r.licenses} <= set(r.retrieved) for r in rows)
+        assert {r.n_licenses for r in license_scan.report(odd).collect()} == {0} and license_scan.report(odd).count() == 7
+        assert license_scan.report(odd.limit(0)).count() == 0
+        plan = license_scan.report(df)._jdf.queryExecution().toString()
+        assert "Python" not in plan and "Arrow" not in plan and (most == 10 or "Exchange" not in plan)
     with pytest.raises(ValueError):
         license_scan.scan(df, {"short": "only four words here"})
 
 
+def test_bands_alone_bring_up_every_template(spark):
+    """Every template, short ones too, is retrieved through band values of its own windows."""
+    found = license_scan.index(spark, license_scan.TEMPLATES)
+    assert {t["width"] for t in found.values()} == set(license_scan.WIDTHS)
+    for t in found.values():
+        assert len(t["bands"]) == license_scan.bands_of(t["width"]) and all(t["bands"])
+    got = license_scan.scan(docs(spark, list(license_scan.TEMPLATES.values()) + ["the " * 50, "released under the mit"])).collect()
+    for name, r in zip(license_scan.TEMPLATES, got):
+        assert name in r.retrieved and (name, 1.0) in {(c.name, c.containment) for c in r.licenses}
+    assert got[-1].retrieved == [] and got[-2].retrieved == []
+
+
+def test_copies_with_enough_containment_are_retrieved(spark):
+    """Copies of the long templates with words changed, added and removed, of which four fifths of the shingles are left."""
+    rnd, texts = random.Random(22), []
+    for name, t in license_scan.TEMPLATES.items():
+        for _ in range(12):
+            words = t.split()
+            while True:
+                more = list(words)
+                at = rnd.randrange(len(more))
+                more[at : at + rnd.randint(0, 2)] = rnd.choice([[], ["other"], ["quite", "other"]])
+                if plain_licenses(" ".join(more)).get(name, 0) < license_scan.LEAST:
+                    break
+                words = more
+            texts.append((name, " ".join(words)))
+    got = license_scan.scan(docs(spark, [t for _, t in texts])).collect()
+    assert all(name in r.retrieved for (name, _), r in zip(texts, got))
+
+
 # 6 toxicity
 
 
