@@ -1,6 +1,7 @@
 """Chat formatting by token-level assembly.
 
-Every role and text is encoded separately and reserved ids, which no text can produce, are spliced between them:
+Every role and text is encoded separately and reserved ids, which no text can produce as they come after the vocabulary's
+largest rank, are spliced between them:
 
     TURN role BODY text END         for a turn that isn't learned
     TURN role REPLY text END_REPLY  for a turn under the loss mask
@@ -29,10 +30,9 @@ from quillspark.llm.common import pieces
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 LEARNED = ("assistant",)
-#: The template's own control strings, in the order of their ids from FIRST_ID.
+#: The template's own control strings, in the order of their ids from first_id() on.
 CONTROL = ("<|turn|>", "<|body|>", "<|reply|>", "<|end|>", "<|end_reply|>")
-FIRST_ID = 50257
-TURN, BODY, REPLY, END, END_REPLY = range(FIRST_ID, FIRST_ID + len(CONTROL))
+TURN, BODY, REPLY, END, END_REPLY = range(len(CONTROL))
 #: Control strings of well-known templates, escaped in roles and texts as well.
 FOREIGN = ("<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "<|", "|>", "<bos>", "<eos>", "<start_of_turn>", "<end_of_turn>")
 ESC = "␛"
@@ -48,10 +48,15 @@ def unescape(s: str) -> str:
     return _FROM.sub(lambda m: ESC if m[1] == ESC else "", s)
 
 
-def loss_mask(ids: np.ndarray) -> np.ndarray:
+def first_id(path: str) -> int:
+    """The first reserved id of a vocabulary: after all of its ranks, however many there are."""
+    return max(bpe.ranks(path).values()) + 1
+
+
+def loss_mask(ids: np.ndarray, first: int) -> np.ndarray:
     """True for the tokens between REPLY and END_REPLY: a difference of prefix sums."""
-    opened, closed = np.cumsum(ids == REPLY), np.cumsum(ids == END_REPLY)
-    return (opened - closed > 0) & (ids != REPLY)
+    opened, closed = np.cumsum(ids == first + REPLY), np.cumsum(ids == first + END_REPLY)
+    return (opened - closed > 0) & (ids != first + REPLY)
 
 
 def format_turns(rows: DataFrame, learned: tuple[str, ...] = LEARNED, path: str | None = None, pattern: str | None = None) -> DataFrame:
@@ -62,11 +67,11 @@ def format_turns(rows: DataFrame, learned: tuple[str, ...] = LEARNED, path: str
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in src.schema)
 
     def run(batches):
-        enc = bpe.tokenizer(path, pattern).encode_ordinary
+        enc, first = bpe.tokenizer(path, pattern).encode_ordinary, first_id(path)
 
         def one(role: str, text: str) -> bytes:
             loss = role in learned
-            ids = [TURN, *bpe.encode_tree(enc, escape(role)), REPLY if loss else BODY, *bpe.encode_tree(enc, escape(text)), END_REPLY if loss else END]
+            ids = [first + TURN, *bpe.encode_tree(enc, escape(role)), first + (REPLY if loss else BODY), *bpe.encode_tree(enc, escape(text)), first + (END_REPLY if loss else END)]
             return np.asarray(ids, dtype="<u4").tobytes()
 
         for b in pieces(batches):
@@ -77,17 +82,17 @@ def format_turns(rows: DataFrame, learned: tuple[str, ...] = LEARNED, path: str
 
 
 def render(table: list[bytes], ids: np.ndarray) -> str:
-    """The text that a run of ids stands for."""
+    """The text that a run of ids stands for. table: the vocabulary's tokens, which the reserved ids come after."""
     out, at = [], 0
-    for i in np.flatnonzero(ids >= FIRST_ID).tolist():
-        out += [bpe.decode_tree(table, ids[at:i]), CONTROL[ids[i] - FIRST_ID].encode()]
+    for i in np.flatnonzero(ids >= len(table)).tolist():
+        out += [bpe.decode_tree(table, ids[at:i]), CONTROL[ids[i] - len(table)].encode()]
         at = i + 1
     return b"".join([*out, bpe.decode_tree(table, ids[at:])]).decode()
 
 
 def read_turn(table: list[bytes], ids: np.ndarray) -> tuple[str, str]:
     """Role and text of a segment, read back from its ids."""
-    body = int(np.flatnonzero((ids == BODY) | (ids == REPLY))[0])
+    body = int(np.flatnonzero((ids == len(table) + BODY) | (ids == len(table) + REPLY))[0])
     return tuple(unescape(bpe.decode_tree(table, x).decode()) for x in (ids[1:body], ids[body + 1 : -1]))
 
 
@@ -105,7 +110,7 @@ def conversations(turns: DataFrame, path: str | None = None) -> DataFrame:
             self.turns, self.loss = hashlib.sha256(), hashlib.sha256()
 
         def add(self, table, ids: np.ndarray):
-            mask = loss_mask(ids)
+            mask = loss_mask(ids, len(table))
             role, text = read_turn(table, ids)
             self.turns.update(f"{role}\n{text}\n".encode())
             learned = unescape(bpe.decode_tree(table, ids[mask]).decode())

@@ -19,8 +19,7 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages")
-    return url_filter.judge(pages, url_filter.spam_list(pages))
+    return url_filter.judge(table(spark, sf_dir, "pages"), url_filter.generated_list(spark))
 
 
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,13 +74,15 @@ _PATH = r"regexp_extract(substr(url, strpos(url, '://') + 3), '^[^/?#]*([^?#]*)'
 def _url_sql() -> str:
     """Rules as a joined table, the list as an IN: no filter."""
     rules = ", ".join(f"('{h}{p}', '{h}', '{p}', '{v}')" for v, h, p in url_filter.RULES)
-    labels = ", ".join(f"'{x}'" for x in url_filter.SPAM_LABELS)
+    hosts = ", ".join(f"('{h}', {i})" for i, h in enumerate(url_filter.list_hosts()))
+    languages = ", ".join(f"('{x}')" for x in url_filter.LIST_LANGUAGES)
     return rf"""
 WITH parts AS (
   SELECT page_id, CASE WHEN contains(url, '://') THEN {_HOST} ELSE '' END AS host, CASE WHEN contains(url, '://') THEN {_PATH} ELSE '' END AS path FROM pages),
 named AS (
   SELECT *, CASE WHEN host <> '' THEN regexp_replace(host, '^(www|m)\.', '') || regexp_replace(regexp_replace(path, '(/index)?\.html?$', ''), '/+$', '') END AS c FROM parts),
-listed AS (SELECT DISTINCT c FROM named WHERE len(list_intersect(string_split(host, '.'), [{labels}])) > 0),
+listed AS (
+  SELECT h || '/' || l || '/' || n AS c FROM (VALUES {hosts}) AS x(h, i), (VALUES {languages}) AS y(l), (SELECT unnest(range({url_filter.LIST_NUMBERS})) AS n) WHERE (n * 7 + i) % 4 <> 0),
 rules(rule, h, p, verdict) AS (VALUES {rules}),
 fits AS (
   SELECT n.page_id, r.rule, r.verdict, row_number() OVER (PARTITION BY n.page_id ORDER BY length(r.rule) DESC, r.rule) AS k
@@ -117,7 +118,7 @@ def _chat_sql() -> str:
     starts = [x for x in chat.FOREIGN if not any(x != y and x.startswith(y) for y in chat.FOREIGN)]  # none begins where another does
     grown = lambda c: " + ".join([f"length({c})", f"length({c}) - length(replace({c}, '{chat.ESC}', ''))", *[f"2 * (length({c}) - length(replace({c}, '{x}', ''))) // {len(x)}" for x in starts]])
     role = "CASE WHEN role = 'assistant' THEN {} ELSE {} END"
-    marks = role.format(*(sum(len(chat.CONTROL[i - chat.FIRST_ID]) for i in ids) for ids in ((chat.TURN, chat.REPLY, chat.END_REPLY), (chat.TURN, chat.BODY, chat.END))))
+    marks = role.format(*(sum(len(chat.CONTROL[i]) for i in ids) for ids in ((chat.TURN, chat.REPLY, chat.END_REPLY), (chat.TURN, chat.BODY, chat.END))))
     said = "string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn NULLS FIRST)"
     return f"""
 WITH c AS (

@@ -103,8 +103,20 @@ def test_escaping_is_reversible_and_leaves_no_control_string():
 
 
 def test_loss_mask_by_prefix_sums():
-    ids = np.array([chat.TURN, 5, chat.BODY, 6, chat.END, chat.TURN, 5, chat.REPLY, 7, 8, chat.END_REPLY, chat.TURN, 5, chat.REPLY, chat.END_REPLY])
-    assert ids[chat.loss_mask(ids)].tolist() == [7, 8]
+    turn, body, reply, end, end_reply = range(100, 105)
+    ids = np.array([turn, 5, body, 6, end, turn, 5, reply, 7, 8, end_reply, turn, 5, reply, end_reply])
+    assert ids[chat.loss_mask(ids, 100)].tolist() == [7, 8]
+
+
+def test_reserved_ids_come_after_any_vocabulary(spark):
+    df = spark.createDataFrame([(1, 0, "user", "hi " * 40_000), (1, 1, "assistant", "ok")], CONV)
+    for name in (chat.VOCABULARY, bpe.VOCABULARY):
+        path, pattern = bpe.named(name)
+        assert chat.first_id(path) == len(bpe.token_bytes(path)) > max(bpe.ranks(path).values())
+        turns = chat.format_turns(df, path=path, pattern=pattern)
+        assert all(np.frombuffer(r.ids, "<u4").max() < chat.first_id(path) + len(chat.CONTROL) for r in turns.collect())
+        (r,) = chat.conversations(turns, path=path).collect()
+        assert r.turns_sha256 == hashlib.sha256(("user\n" + "hi " * 40_000 + "\nassistant\nok\n").encode()).hexdigest() and r.loss_chars == 2
 
 
 # 4 SimHash
@@ -366,20 +378,32 @@ def plain_verdict(url, listed, rules=url_filter.RULES):
     return host, path, None, "block" if host and re.sub(r"^(www|m)\.", "", host) + p in listed else "allow"
 
 
-def test_url_filter_equals_brute_force(spark):
+def test_url_filter_equals_brute_force(spark, monkeypatch):
     rnd = random.Random(4)
     hosts = ["example.com", "WWW.Example.com", "a.net", "net", "notnet", "example.net", "m.example.org", "x.de", "É.com", "user@h.com:80"]
     urls = [rnd.choice(["http", "https"]) + "://" + rnd.choice(hosts) + rnd.choice(["", "/", "/en/", "/en/7", "/en/77.html", "/de/8", "/de/9/index.html", "/es/", "/EN/7"]) + rnd.choice(["", "?q=/en/", "#top", "/", "?"]) for _ in range(500)]
     urls += [None, "", "no scheme/en/", "http://", "://", "a://b://c/en/x", "http://example.com\nx/en/7", "http:///en/7"] + urls[:20]
     listed = {"x.de", "x.de/de/9", "example.org/de/9", "user@h.com:80/EN/7"}
-    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").withColumn("block", F.lit(1))
+    urls += ["https://example.com/en/7" + "y" * 200_000, "http://" + "x" * 100_000 + ".org/es/"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").withColumn("block", F.lit(1)).withColumn("mask", F.lit("m")).withColumn("listed", F.lit("l"))
     names = spark.createDataFrame([(x,) for x in sorted(listed)] + [(None,), ("x.de",)], "canonical string")
-    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in url_filter.judge(pages, names).collect()}
-    assert got == {i: plain_verdict(u, listed) for i, u in enumerate(urls)}
-    plan = url_filter.judge(pages, names)._jdf.queryExecution().toString()
-    assert "Python" not in plan and "Arrow" not in plan
-    assert url_filter.judge(pages.limit(0), names).count() == 0
-    assert {r.listed for r in url_filter.judge(pages, names.limit(0)).collect()} == {False}
+    for most in (url_filter.BROADCAST_BYTES, -1):  # the list is broadcast, or joined with the possible hits
+        monkeypatch.setattr(url_filter, "BROADCAST_BYTES", most)
+        got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in url_filter.judge(pages, names).collect()}
+        assert got == {i: plain_verdict(u, listed) for i, u in enumerate(urls)}
+        plan = url_filter.judge(pages, names)._jdf.queryExecution().toString()
+        assert "Python" not in plan and "Arrow" not in plan
+        assert url_filter.judge(pages.limit(0), names).count() == 0
+        assert {r.listed for r in url_filter.judge(pages, names.limit(0)).collect()} == {False}
+        mine = pages.select("page_id", "block", "mask", "listed", F.lit("x.de").alias("bits"), F.lit("k").alias("__u"))
+        assert url_filter.listed_urls(mine.drop("__u"), names, "bits").where("listed AND block = 1 AND mask = 'm'").count() == len(urls)
+
+
+def test_list_files_and_the_generated_list(spark, tmp_path):
+    (tmp_path / "list.txt").write_text("# a comment\n\nhttps://www.A.com/b/index.html?x=1\nc.org/d/\n")
+    assert sorted(r.canonical for r in url_filter.read_list(spark, str(tmp_path / "list.txt")).collect()) == ["a.com/b", "c.org/d"]
+    got = {r.canonical for r in url_filter.generated_list(spark).collect()}
+    assert got == {f"{h}/{x}/{n}" for i, h in enumerate(url_filter.list_hosts()) for x in url_filter.LIST_LANGUAGES for n in range(1000) if (n * 7 + i) % 4}
 
 
 def test_bloom_has_no_false_negative_and_few_false_positives(spark):
