@@ -6,7 +6,8 @@ three, 3 in all (pigeonring principle). Candidates meet under a key of the chain
 of one half of the second, since of its two halves one is equal if it differs in 1 bit at most: 24 bits in 8 ways, each
 way on a table of its own. Inside a key the chain's budgets are tested, and then the full distance. Of the links that
 are found there, a spanning forest is kept: it connects the same fingerprints, and large groups give no list of pairs.
-A worker holds the distinct fingerprints of one key, 16 bytes each, beside a block of fixed size.
+A key of more than HOT distinct fingerprints is split: of four parts of the bits that its key leaves open one is equal, so
+that they meet under a key and a part, and so on for DEEPEST rounds. A worker holds the distinct fingerprints of one key.
 
 Rows with equal fingerprints form one class. Null and empty texts have fingerprint zero and are linked like any other.
 A null doc_id counts as larger than all others; a component of such rows only has a null component_id. Repeated rows
@@ -29,6 +30,8 @@ from quillspark.operators.components import components
 SHINGLE, SEED, BITS, RADIUS = 3, 42, 64, 3
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _BLOCK, _FEW = 1 << 16, 8
+#: Fingerprints of a key from which on it is split, and how often.
+HOT, DEEPEST = 1 << 14, 2
 
 
 def shingle_hashes(text: str | None, width: int = SHINGLE) -> np.ndarray:
@@ -135,37 +138,81 @@ def bucket_links(keys: np.ndarray, fps: np.ndarray, start_of_key: np.ndarray) ->
     return out
 
 
-def links(distinct: DataFrame) -> DataFrame:
-    """a, b: pairs of distinct fingerprints (column fp) that connect just what all links within RADIUS bits connect."""
-    seg = [F.shiftrightunsigned("fp", 16 * i).bitwiseAND(F.lit(0xFFFF)) for i in range(4)]
-    ways = []
+def _ways() -> list[tuple[int, int]]:
+    """Start and mask of each way: a segment, and one half of the next."""
+    out = []
     for i in range(4):
-        after = seg[(i + 1) % 4]
         for half in range(2):
-            part = F.shiftrightunsigned(after, 8 * half).bitwiseAND(F.lit(0xFF))
-            ways.append((F.lit((2 * i + half) << 24) + F.shiftleft(seg[i], 8) + part).cast("long"))
-    rows = distinct.select("fp", F.explode(F.array(*ways)).alias("key")).repartition("key").sortWithinPartitions("key")
+            out.append((i, 0xFFFF << 16 * i | 0xFF << (16 * ((i + 1) % 4) + 8 * half)))
+    return out
+
+
+def _parts(mask: int) -> list[int]:
+    """mask with one of four parts of the bits that it leaves open."""
+    open_ = [b for b in range(BITS) if not mask >> b & 1]
+    cuts = [round(len(open_) * i / 4) for i in range(5)]
+    return [mask | sum(1 << b for b in open_[x:y]) for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
+
+
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
+
+
+def _keyed(rows: DataFrame, ways: list[tuple[int, int]], of: dict[int, list[int]]) -> DataFrame:
+    """fp, way, key: each fingerprint under its bits in the masks of the ways that `of` gives for its way. Keys are hashes:
+    two that meet by chance are tested and not linked."""
+    masks = F.array(*[F.lit(_signed(m)).cast("long") for _, m in ways])
+    pick = F.create_map(*[x for w, to in of.items() for x in (F.lit(w), F.array(*map(F.lit, to)))])
+    got = rows.select("fp", F.explode(F.element_at(pick, F.col("way"))).alias("way"))
+    return got.select("fp", "way", F.xxhash64("way", F.col("fp").bitwiseAND(F.element_at(masks, F.col("way") + 1))).alias("key"))
+
+
+def links(distinct: DataFrame) -> DataFrame:
+    """a, b: pairs of distinct fingerprints (column fp) that connect just what all links within RADIUS bits connect."""
+    ways = _ways()
+    first = list(range(len(ways)))
+    rows = _keyed(distinct.select("fp", F.lit(-1).alias("way")), ways, {-1: first})
+    done = None
+    for _ in range(DEEPEST):
+        hot = rows.groupBy("way", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT).drop("n")
+        hot = materialize(hot)
+        if not hot.limit(1).count():
+            break
+        cold = rows.join(hot, ["way", "key"], "left_anti").select("fp", "way", "key")
+        done = cold if done is None else done.unionByName(cold)
+        of, more = {}, []
+        for w in first:
+            of[w] = list(range(len(ways) + len(more), len(ways) + len(more) + 4))
+            more += [(ways[w][0], m) for m in _parts(ways[w][1])]
+        first, ways = list(range(len(ways), len(ways) + len(more))), ways + more
+        rows = _keyed(rows.join(hot, ["way", "key"], "left_semi").select("fp", "way"), ways, of)
+    rows = rows if done is None else done.unionByName(rows)
+    starts = np.array([s for s, _ in ways], np.int64)
+    dealt = rows.repartition("key").sortWithinPartitions("key", "way").select("fp", "way", "key")
 
     def run(batches):
-        keys, fps = np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        held, n, limit = [], 0, _BLOCK
 
-        def emit(k, f):
-            got = np.array(bucket_links(k, f, (k >> 25).astype(np.int64)), np.uint64).reshape(-1, 2).view(np.int64)
+        def emit(keys, ways_, fps):
+            got = np.array(bucket_links(keys, fps, starts[ways_]), np.uint64).reshape(-1, 2).view(np.int64)
             return pa.RecordBatch.from_arrays([pa.array(got[:, 0]), pa.array(got[:, 1])], ["a", "b"])
 
         for b in batches:
-            keys = np.concatenate((keys, b.column(1).to_numpy(zero_copy_only=False)))
-            fps = np.concatenate((fps, b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)))
-            if len(keys) < _BLOCK:
+            fps, ways_, keys = (c.to_numpy(zero_copy_only=False) for c in b.columns)
+            held.append((keys, ways_, fps.view(np.uint64)))
+            n += len(keys)
+            if n < limit:
                 continue
+            keys, ways_, fps = map(np.concatenate, zip(*held, strict=True))
             cut = int(np.searchsorted(keys, keys[-1]))  # the last key's rows may go on
             if cut:
-                yield emit(keys[:cut], fps[:cut])
-                keys, fps = keys[cut:], fps[cut:]
-        if len(keys):
-            yield emit(keys, fps)
+                yield emit(keys[:cut], ways_[:cut], fps[:cut])
+            held, n = [(keys[cut:], ways_[cut:], fps[cut:])], len(keys) - cut
+            limit = max(_BLOCK, 2 * n)
+        if n:
+            yield emit(*map(np.concatenate, zip(*held, strict=True)))
 
-    return rows.mapInArrow(run, "a long, b long")
+    return dealt.mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -185,7 +232,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of docs for each component: the one with its smallest key, nulls last, of equal keys by a hash of the row.
 
-    Components are of fingerprints, so that unlike texts under one key, or under none, are told apart.
+    Components are of fingerprints, so that unlike texts under one key, or under none, are told apart. Which rows stay is
+    decided on numbers; whole texts are written once and shuffled once. Columns `__fp` and `__row` are used inside.
     """
     columns = docs.columns
     schema = T.StructType([*docs.schema.fields, T.StructField("__fp", T.LongType())])

@@ -201,6 +201,35 @@ def test_links_connect_what_all_pairs_connect(spark):
     assert ours == [want[i] for i in range(len(fps))]
 
 
+def test_hot_keys_are_split(spark, monkeypatch):
+    """Fingerprints that all share a key, split twice: what is connected stays so, and nothing else."""
+    monkeypatch.setattr(simhash, "HOT", 20)
+    rnd = random.Random(23)
+    base = rnd.getrandbits(64)
+    fps = {base}
+    while len(fps) < 300:
+        x = rnd.choice(sorted(fps)) if rnd.random() < 0.6 else base
+        for _ in range(rnd.choice([1, 2, 3, 3, 4, 9])):
+            x ^= 1 << rnd.randrange(20, 64)
+        fps.add(x)
+    fps = sorted(fps)
+    got = simhash.links(spark.createDataFrame([(simhash._signed(x),) for x in fps], "fp long")).collect()
+    up = {x: x for x in fps}
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for r in got:
+        a, b = r.a % (1 << 64), r.b % (1 << 64)
+        assert 0 < (a ^ b).bit_count() <= 3
+        a, b = root(a), root(b)
+        up[max(a, b)] = min(a, b)
+    want = plain_components(fps, fps)
+    assert [root(x) for x in fps] == [want[i] for i in range(len(fps))]
+
+
 def test_dense_runs_give_a_forest():
     fps = np.array(sorted({0xFFFF0000 ^ (1 << i) ^ (1 << j) for i in range(40, 60) for j in range(40, 60)}), np.uint64)
     got = simhash._run_links(fps, 0)
