@@ -5,6 +5,8 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,12 +19,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_own: dict[str, str] = {}
+
+
 def scratch(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; a temporary one where the session has none (tests)."""
+    """The shared folder of spark.checkpoint.dir. Without one, a local master gets a temporary folder, as in tests, and a
+    cluster is refused: each of its executors would write to a disk of its own."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
-        where = tempfile.mkdtemp(prefix="quill-")
-        spark.conf.set("spark.checkpoint.dir", where)
+        app, master = spark.sparkContext.applicationId, spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        if app not in _own:
+            _own[app] = tempfile.mkdtemp(prefix="quill-")
+        where = _own[app]
     return where.rstrip("/")
 
 
@@ -54,6 +64,23 @@ def release(df: DataFrame) -> None:
     _delete(df.sparkSession, found[1])
 
 
+@contextmanager
+def scope() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """On leaving, deletes the tables that were written inside, but those that were given to keep()."""
+    before, kept = {p for _, p in _written}, set()
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.add(_paths[id(df)][1])
+        return df
+
+    yield keep
+    for spark, path in [x for x in _written if x[1] not in before | kept]:
+        _written.remove((spark, path))
+        _delete(spark, path)
+    for key in [k for k, (_, p) in _paths.items() if p not in before | kept]:
+        del _paths[key]
+
+
 def forget() -> None:
     """Deletes what materialize() wrote in this process."""
     _paths.clear()
