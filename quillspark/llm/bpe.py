@@ -1,10 +1,16 @@
 """Byte-level BPE encoding and decoding as a monoid over text.
 
 An element is (text, ids). Leaves are encoded by the tokenizer; two neighbours are joined by encoding a window round
-their seam again. The window grows on either side up to a position at which the splitting pattern ends a match whatever
-the text around it is. Matches are encoded separately, and matching has no memory: so the tokens outside the window are
-those of the whole text, which is proof that they have stabilised. Where a side has no such position, the window takes
-the whole side. Decoding concatenates the tokens' bytes up the same tree.
+their seam again, which grows until the tokens outside it are proved to be those of the whole text. There are two proofs:
+
+- The window ends on either side at a position at which the splitting pattern ends a match whatever the text around it is.
+  Matches are encoded separately, and matching has no memory.
+- The window lies inside a long run of letters, digits or marks, which is one match as a whole. A sequence of tokens is
+  the encoding of a match if each two neighbours are the encoding of their own bytes; so it is enough that the window's
+  first and last token each are such neighbours with the token outside.
+
+Near a seam the first is tried, then the second with windows of RUNS characters, and else the first over the whole side.
+Decoding concatenates the tokens' bytes up the same tree.
 
 Null text counts as empty; an empty text has no ids. Other columns pass through; `ids` (little-endian unsigned 32-bit
 integers, one binary value a row) replaces a column of that name. Repeated rows give repeated results.
@@ -13,6 +19,7 @@ integers, one binary value a row) replaces a column of that name. Repeated rows
 from __future__ import annotations
 
 import base64
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -72,31 +79,71 @@ def certain(a: str, b: str) -> bool:
     return a.isascii() and b.isascii() and _kind(a) != _kind(b) and not (a == "'" and b.isalpha())
 
 
-def join(encode, left: tuple[str, list[int]], right: tuple[str, list[int]]) -> tuple[str, list[int]]:
+#: Characters that are of one class in every version of Unicode, for certain: letters, digits, ASCII marks.
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff\u0391-\u03a1\u03b1-\u03c9\u0410-\u044f\u05d0-\u05ea\u0621-\u063a\u0641-\u064a\u3041-\u3094\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3"
+_CLASSES = [re.compile(f"[{x}]*") for x in (_LETTERS, "0-9", r"!-/:-@\[-`{-~")]
+#: Characters of a side that are looked at for a certain end of a match, and sizes of windows inside a run.
+NEAR, RUNS = 64, (64, 512, 4096)
+
+
+def _inside(enc, left: tuple[str, list[int]], right: tuple[str, list[int]]) -> list[int] | None:
+    """The ids of both, by a window inside a run that goes on on both sides; None where there is no proof."""
+    (lt, li), (rt, ri) = left, right
+    for size in RUNS:
+        if len(lt) < size + 4 or len(rt) < size + 4:
+            return None
+        # Three characters more on the left: a run's first letters may belong to a contraction before it.
+        own = next((c for c in _CLASSES if c.fullmatch(lt[-size - 4 :]) and c.fullmatch(rt[: size + 4])), None)
+        if own is None:
+            return None
+        ends = []
+        for ids, room, step in ((li, len(lt[-size:].encode()), -1), (ri, len(rt[:size].encode()), 1)):
+            n, used = 0, 0
+            while n < len(ids) and used + len(t := enc.decode_single_token_bytes(ids[-1 - n if step < 0 else n])) <= room:
+                n, used = n + 1, used + len(t)
+            ends.append(n - 1)  # the last one that is sure to lie in the run is the neighbour outside
+        i, j = ends
+        if i < 1 or j < 1:
+            continue
+        middle = enc._encode_single_piece(enc.decode_bytes(li[-i:] + ri[:j]))
+        outside = ((li[-i - 1], middle[0]), (middle[-1], ri[j]))
+        if all(enc._encode_single_piece(enc.decode_bytes(list(x))) == list(x) for x in outside):
+            return li[:-i] + middle + ri[j:]
+    return None
+
+
+def _ends(text: str, step: int, most: int) -> int | None:
+    """Characters from a side's seam to the nearest certain end of a match, at most `most`; None if there is none."""
+    for n in range(1, min(most, len(text) - 1) + 1):
+        at = len(text) - n if step < 0 else n
+        if certain(text[at - 1], text[at]):
+            return n
+    return None
+
+
+def join(enc, left: tuple[str, list[int]], right: tuple[str, list[int]]) -> tuple[str, list[int]]:
     (lt, li), (rt, ri) = left, right
     if not lt or not rt:
         return (lt, li) if not rt else (rt, ri)
-    p, q = len(lt), 0
-    if not certain(lt[-1], rt[0]):
-        p -= 1
-        while p and not certain(lt[p - 1], lt[p]):
-            p -= 1
-        q += 1
-        while q < len(rt) and not certain(rt[q - 1], rt[q]):
-            q += 1
-    tail, head = lt[p:], rt[:q]
-    keep, skip = len(li) - len(encode(tail)) if tail else len(li), len(encode(head)) if head else 0
-    return lt + rt, li[:keep] + encode(tail + head) + ri[skip:]
-
-
-def encode_tree(encode, text: str, leaf: int = LEAF) -> list[int]:
-    """Halves, recursively, down to leaves; depth is the logarithm of the length."""
+    if certain(lt[-1], rt[0]):
+        return lt + rt, li + ri
+    p, q = _ends(lt, -1, NEAR), _ends(rt, 1, NEAR)
+    if p is None and q is None and (ids := _inside(enc, left, right)) is not None:
+        return lt + rt, ids
+    p = p or _ends(lt, -1, len(lt)) or len(lt)
+    q = q or _ends(rt, 1, len(rt)) or len(rt)
+    encode, tail, head = enc.encode_ordinary, lt[len(lt) - p :], rt[:q]
+    return lt + rt, li[: len(li) - len(encode(tail))] + encode(tail + head) + ri[len(encode(head)) :]
+
+
+def encode_tree(enc, text: str, leaf: int = LEAF) -> list[int]:
+    """Halves, recursively, down to leaves; depth is the logarithm of the length. enc: a tokenizer()."""
 
     def node(a: int, b: int) -> tuple[str, list[int]]:
         if b - a <= leaf:
-            return text[a:b], encode(text[a:b])
+            return text[a:b], enc.encode_ordinary(text[a:b])
         m = (a + b) // 2
-        return join(encode, node(a, m), node(m, b))
+        return join(enc, node(a, m), node(m, b))
 
     return node(0, len(text))[1] if text else []
 
@@ -128,7 +175,7 @@ def encode(df: DataFrame, text: str = "text", ids: str = "ids", path: str | None
     path, pattern = path or own[0], pattern or own[1]
 
     def make():
-        enc = tokenizer(path, pattern).encode_ordinary
+        enc = tokenizer(path, pattern)
         return lambda x: np.asarray(encode_tree(enc, x or "", leaf), dtype="<u4").tobytes()
 
     return _mapped(df, text, ids, make)

@@ -67,7 +67,7 @@ def format_turns(rows: DataFrame, learned: tuple[str, ...] = LEARNED, path: str
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in src.schema)
 
     def run(batches):
-        enc, first = bpe.tokenizer(path, pattern).encode_ordinary, first_id(path)
+        enc, first = bpe.tokenizer(path, pattern), first_id(path)
 
         def one(role: str, text: str) -> bytes:
             loss = role in learned

@@ -46,13 +46,48 @@ def test_tree_encoding_equals_the_whole(spark):
     for _ in range(1500):
         s = "".join(rnd.choice(parts) for _ in range(rnd.randint(0, 60)))
         for leaf in (1, 2, 5, 17):
-            assert bpe.encode_tree(enc.encode_ordinary, s, leaf) == enc.encode_ordinary(s), (s, leaf)
+            assert bpe.encode_tree(enc, s, leaf) == enc.encode_ordinary(s), (s, leaf)
 
 
 def test_tree_encoding_of_runs_without_a_boundary():
     enc = plain_tokenizer(bpe.VOCABULARY)
     for s in ("a" * 9000, "漢字" * 3000, " " * 6000, "\n" * 5000 + "x", "!" * 5000 + "a"):
-        assert bpe.encode_tree(enc.encode_ordinary, s, 512) == enc.encode_ordinary(s)
+        assert bpe.encode_tree(enc, s, 512) == enc.encode_ordinary(s)
+
+
+@pytest.mark.parametrize("letters", ["ab", "the", "abcdefghijklmnop", "漢字日本語文章", "ñéüßaei", "0123456789", "-=", "!?.,;", "aA", "a'st", "ابن محمد"])
+def test_tree_encoding_inside_long_runs(letters, monkeypatch):
+    """Windows inside one match, small ones so that they often have to grow: tokens outside are those of the whole."""
+    used = []
+    plain = bpe._inside
+    monkeypatch.setattr(bpe, "RUNS", (6, 24, 96))
+    monkeypatch.setattr(bpe, "NEAR", 4)
+    monkeypatch.setattr(bpe, "_inside", lambda *a: used.append(plain(*a)) or used[-1])
+    rnd = random.Random(len(letters))
+    for name in (bpe.VOCABULARY, chat.VOCABULARY):
+        enc = plain_tokenizer(name)
+        for _ in range(60):
+            s = rnd.choice(["", " ", "x'", "'", "\n"]) + "".join(rnd.choice(letters) for _ in range(rnd.randint(200, 1500))) + rnd.choice(["", " end", "\n\n", "'s"])
+            for leaf in (37, 128):
+                assert bpe.encode_tree(enc, s, leaf) == enc.encode_ordinary(s), s
+    assert any(x is not None for x in used) or letters in ("a'st", "ابن محمد", "-=")
+
+
+def test_seams_of_long_runs_take_small_windows(monkeypatch):
+    """In a long text without a boundary the work at a seam doesn't grow with the sides."""
+    enc, seen = plain_tokenizer(bpe.VOCABULARY), []
+    rnd = random.Random(24)
+    s = "".join(rnd.choice("漢字日本語文章一二三大小中国人") for _ in range(60_000))
+
+    class Watched:
+        def __getattr__(self, name):
+            return getattr(enc, name)
+
+        def encode_ordinary(self, text):
+            seen.append(len(text))
+            return enc.encode_ordinary(text)
+
+    assert bpe.encode_tree(Watched(), s, 2048) == enc.encode_ordinary(s) and max(seen) <= 2048
 
 
 def test_round_trip_and_digests(spark, odd):
