@@ -46,6 +46,13 @@ def signature(text: Column) -> Column:
     return F.trim(F.regexp_replace(t, SPACES, " "))
 
 
+def tolerant(term: str) -> str:
+    """A pattern for a term in source text: any marks between its letters, any form of alef, any white space."""
+    marks = r"[\p{Mn}\u200b\u200c]*"
+    out = [rf"{SPACES[:-1]}(?:{SPACES[:-1]}|[\p{{Mn}}\u200b\u200c])*" if c == " " else ("[اأإآٱ]" if c == "ا" else re.escape(c)) for c in term]
+    return "".join(x if i + 1 == len(out) or term[i] == " " else x + marks for i, x in enumerate(out))
+
+
 _MARKS, _FOLD = re.compile(MARKS), str.maketrans(FOLD_FROM, FOLD_TO)
 _SON = re.compile(r"(?<!\w)ابن(?!\w)")
 _NAME_MARKS, _NAME_FOLD, _NOT_NAME = re.compile(NAME_MARKS), str.maketrans(NAME_FROM, NAME_TO), re.compile("[^ء-ي ]")

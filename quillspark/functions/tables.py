@@ -1,6 +1,6 @@
-"""Table functions and UDFs over the text functions, for DataFrames and for SQL.
+"""Text functions that need offsets of several patterns at once, as UDFs over a page, and as table functions for SQL.
 
-They run in Arrow batches. Texts repeat across pages: callers deduplicate by text before and join back after.
+One call reads one page with all of its regions or entries, in Arrow batches.
 """
 
 from __future__ import annotations
@@ -8,17 +8,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.functions import lists, statements, years
+from quillspark.functions import statements, years
 from quillspark.sources import html_pages
 
-NOTES = "array<struct<start:int,end:int>>"
-TRIGGER = "struct<kind:string,start:int,end:int,quote:string>"
-STATEMENT = f"struct<start:int,end:int,quote:string,origin:string,subject_status:string,quote_scope:string,attribution_text:string,attribution_start:int,attribution_end:int,triggers:array<{TRIGGER}>>"
-YEAR = "struct<year:int,status:string,length:int>"
+SPANS = "array<struct<start:int,end:int>>"
 
 
-def _notes(x) -> list[tuple[int, int]]:
-    return [(n["start"], n["end"]) for n in (x if x is not None else [])]
+def _pairs(x) -> list[tuple[int, int]]:
+    return [(int(n["start"]), int(n["end"])) for n in (x if x is not None else [])]
 
 
 class _Function:
@@ -27,40 +24,20 @@ class _Function:
     def __init__(self, f, returns: str):
         self.f, self.returns = f, returns
 
-    def udf(self):
-        return F.udf(self.f, self.returns, useArrow=True)
-
     def __call__(self, *columns):
-        return self.udf()(*columns)
-
-
-def _parse_year(text):
-    return None if text is None else tuple(years.parse_year(text))
-
-
-def _name_label(heading):
-    return None if heading is None else years.name_label(heading)
-
-
-def _relationships(text):
-    got = lists.relationships(text or "")
-    return sorted(got["teachers"]), sorted(got["students"])
-
+        return F.udf(self.f, self.returns, useArrow=True)(*columns)
 
-def _chain(text):
-    return lists.chain(text or "")
 
+def _detect(text, regions, notes):
+    return [] if text is None else statements.detect(text, _pairs(regions), _pairs(notes))
 
-def _detect(text, start, end, notes):
-    return [] if text is None else statements.detect(text, int(start), int(end), _notes(notes))
 
+def _evidence(text, entries, notes):
+    return [] if text is None else years.evidence(text, [(int(e["start"]), int(e["head"]), int(e["end"])) for e in entries], _pairs(notes))
 
-def _classify(text, start, end, heading_end):
-    return None if text is None else statements.classify(text, int(start), int(end), int(heading_end))
 
-
-def _grade(text, number_starts, notes):
-    return None if text is None else lists.grade(text, list(number_starts) if number_starts is not None else [], _notes(notes))
+def _parse_year(text):
+    return None if text is None else tuple(years.parse_year(text))
 
 
 def _page(html):
@@ -70,26 +47,54 @@ def _page(html):
     return got["pages"][0]["text"], got["metadata"]["_html_title"], got["fallback"], len(got["pages"])
 
 
-GRADE = "struct<number:string,status:string,claims:array<struct<status:string,origin:string,scope:string,quote:string>>>"
-
-parse_year = _Function(_parse_year, YEAR)
-name_label = _Function(_name_label, "string")
-relationships = _Function(_relationships, "struct<teachers:array<string>,students:array<string>>")
-chain = _Function(_chain, "array<string>")
-detect = _Function(_detect, f"array<{STATEMENT}>")
-classify = _Function(_classify, "string")
-grade = _Function(_grade, GRADE)
+#: text, array<struct<start,end>> of regions, footnotes
+detect = _Function(_detect, f"array<{statements.STATEMENT}>")
+#: text, array<struct<start,head,end>> of entries, footnotes
+evidence = _Function(_evidence, f"array<{years.ITEM}>")
+parse_year = _Function(_parse_year, years.YEAR)
 page = _Function(_page, "struct<text:string,title:string,fallback:boolean,pages:int>")
 
 
-def register(spark: SparkSession) -> None:
-    """SQL names of the functions."""
-    for name, f in (("parse_year", parse_year), ("name_label", name_label), ("relationships", relationships), ("chain", chain), ("detect_statements", detect), ("classify_entry", classify), ("grade_page", grade)):
-        spark.udf.register(f"quill_{name}", f.udf())
+class _Statements:
+    def eval(self, text: str):
+        for s in _detect(text, [{"start": 0, "end": len(text or "")}], None):
+            yield s[1:10]
 
 
-def statements_of(regions: DataFrame, text: str = "text", start: str = "start_offset", end: str = "end_offset", notes: str = "footnotes") -> DataFrame:
-    """regions' other columns and one row for each statement (T5)."""
-    rest = [c for c in regions.columns if c not in (text, start, end, notes)]
-    got = regions.select(*rest, F.explode(detect(text, start, end, notes)).alias("s"))
-    return got.select(*rest, "s.*")
+class _Years:
+    def eval(self, text: str):
+        for _, year, status, kind, a, b in _evidence(text, [{"start": 0, "head": 0, "end": len(text or "")}], None):
+            yield year, status, kind, a, b, text[a:b]
+
+
+class _Pages:
+    def eval(self, html: str):
+        if html is not None:
+            for p in html_pages.parse(html.encode())["pages"]:
+                yield p["ordinal"], p["text"], p["part"], p["label"], p["raw_start"], p["raw_end"]
+
+
+def register(spark: SparkSession) -> None:
+    """SQL table functions, for LATERAL joins: quill_statements(text), quill_death_years(text), quill_pages(html); and the
+    scalar quill_parse_year(fragment)."""
+    said = "start int, end int, quote string, origin string, subject_status string, quote_scope string, attribution_text string, attribution_start int, attribution_end int"
+    for name, made, schema in (
+        ("quill_statements", _Statements, said),
+        ("quill_death_years", _Years, "year int, status string, kind string, start int, end int, quote string"),
+        ("quill_pages", _Pages, "ordinal int, text string, part string, label string, raw_start long, raw_end long"),
+    ):
+        spark.udtf.register(name, F.udtf(made, returnType=schema))
+    spark.udf.register("quill_parse_year", F.udf(_parse_year, years.YEAR, useArrow=True))
+
+
+def statements_of(pages: DataFrame, regions: str, notes: str, text: str = "text") -> DataFrame:
+    """One row for each statement of a page's regions (T5): the page's other columns, the region's, and the statement's.
+
+    regions: array<struct<start,end,...>>; their further fields come out as columns.
+    """
+    rest = [c for c in pages.columns if c not in (text, regions, notes)]
+    more = [f.name for f in pages.schema[regions].dataType.elementType.fields if f.name not in ("start", "end")]
+    spans = F.transform(regions, lambda r: F.struct(r["start"].cast("int").alias("start"), r["end"].cast("int").alias("end")))
+    found = pages.select(*rest, regions, F.explode(detect(text, spans, notes)).alias("__s"))
+    own = F.get(F.col(regions), F.col("__s.region"))
+    return found.select(*rest, *[own[c].alias(c) for c in more], "__s.*").drop("region")

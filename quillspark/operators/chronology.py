@@ -62,8 +62,3 @@ def date_relation(left: Column, right: Column) -> Column:
     """conflicting, matching or incomplete for two years that may be null."""
     return F.when(left.isNull() | right.isNull(), "incomplete_dates").when(left == right, "matching_dates").otherwise("conflicting_dates")
 
-
-def carry_year_window(rows: DataFrame, name: str, year: str) -> DataFrame:
-    """Least and greatest year of a name beside each of its rows."""
-    w = W.partitionBy(name)
-    return rows.withColumn("first_year", F.min(year).over(w)).withColumn("last_year", F.max(year).over(w))

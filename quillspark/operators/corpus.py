@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from quillspark.functions.native import running
+
 #: Shortest passage, after stripping.
 PASSAGE = 80
 
@@ -29,13 +31,11 @@ def passages(pages: DataFrame, key: str, text: str, least: int = PASSAGE) -> Dat
     """key, start_offset, end_offset, sha256, passage of every line that is `least` characters or longer.
 
     Offsets are code points, the end exclusive. A page is cut where it lies, and nothing is shuffled: where lines end is a
-    running sum over the array of its lines, which copies as many numbers as the square of the lines (a millisecond for
-    a page of a thousand).
+    running sum over the array of its lines, in chunks, so that a page of a million lines ends, too.
     """
     lines = pages.select(key, F.split(F.col(text), "\n", -1).alias("__l"))
-    ends = F.aggregate("__l", F.array(F.lit(0).cast("long")), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + F.length(x) + 1)))
-    rows = lines.withColumn("__e", ends)
-    found = rows.select(key, F.explode(F.arrays_zip("__l", F.slice("__e", 2, F.size("__l")).alias("__e"))).alias("x")).select(key, F.col("x.__l").alias("passage"), (F.col("x.__e") - 1).alias("end_offset"))
+    rows = lines.withColumn("__e", running(F.transform("__l", lambda x: (F.length(x) + 1).cast("long"))))
+    found = rows.select(key, F.explode(F.arrays_zip("__l", "__e")).alias("x")).select(key, F.col("x.__l").alias("passage"), (F.col("x.__e") - 1).alias("end_offset"))
     found = found.where(F.length("passage") >= least)  # cheap, before the exact test
     kept = found.where(F.length(F.regexp_replace("passage", r"^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")) >= least)
     return kept.select(key, (F.col("end_offset") - F.length("passage")).alias("start_offset"), "end_offset", F.sha2("passage", 256).alias("sha256"), "passage")

@@ -24,7 +24,22 @@ def shared_text_pairs(rows: DataFrame, member: str, text: str, cap: int | None =
     if differ:
         on = on & (F.col(f"l.{differ}") != F.col(f"r.{differ}"))
     found = left.join(right, on).select(F.col(f"l.{member}").alias("left_id"), F.col(f"r.{member}").alias("right_id"), F.col(f"l.{text}").alias("__t"))
-    return found.groupBy("left_id", "right_id").agg(F.countDistinct("__t").alias("shared"))
+    # (member, text) is distinct, unless a member comes with two values of `differ`.
+    return found.groupBy("left_id", "right_id").agg((F.countDistinct("__t") if differ else F.count(F.lit(1))).alias("shared"))
+
+
+def representative_edges(rows: DataFrame, member: str, text: str, within: str | None = None) -> DataFrame:
+    """left_id, right_id: each member of a text with the least one (A26). They connect what all of the text's pairs connect:
+    a text of n members gives n - 1 edges, and one that everybody holds isn't a square of them."""
+    keys = [text] + ([within] if within else [])
+    rows = rows.select(member, *keys).where(F.col(text).isNotNull()).distinct()
+    least = rows.groupBy(*keys).agg(F.min(member).alias("left_id"), F.count(F.lit(1)).alias("__n")).where("__n > 1")
+    return rows.join(least, keys).where(F.col("left_id") != F.col(member)).select("left_id", F.col(member).alias("right_id")).distinct()
+
+
+def members_of(pairs: DataFrame) -> DataFrame:
+    """Each entry that is in a pair, once."""
+    return pairs.select(F.explode(F.array("left_id", "right_id")).alias("entry_id")).distinct()
 
 
 def overlap_pairs(rows: DataFrame, group: str, member: str, item: str, least: int = 1, most_group: int | None = None) -> DataFrame:
@@ -40,7 +55,7 @@ def overlap_pairs(rows: DataFrame, group: str, member: str, item: str, least: in
     left, right = rows.alias("l"), rows.alias("r")
     on = (F.col(f"l.{group}") == F.col(f"r.{group}")) & (F.col(f"l.{item}") == F.col(f"r.{item}")) & (F.col(f"l.{member}") < F.col(f"r.{member}"))
     got = left.join(right, on).groupBy(F.col(f"l.{group}").alias(group), F.col(f"l.{member}").alias("left_id"), F.col(f"r.{member}").alias("right_id"))
-    return got.agg(F.array_sort(F.collect_set(F.col(f"l.{item}"))).alias("common"), F.countDistinct(F.col(f"l.{item}")).alias("n_common")).where(F.col("n_common") >= least)
+    return got.agg(F.array_sort(F.collect_list(F.col(f"l.{item}"))).alias("common")).withColumn("n_common", F.size("common").cast("long")).where(F.col("n_common") >= least)
 
 
 def literal_priority(shared: Column) -> Column:

@@ -4,9 +4,15 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
+from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from quillspark.storage import materialize
 
 EDGE = r"[\p{L}\p{N}\p{Co}]"
 TOKEN = EDGE + "+"
@@ -66,6 +72,7 @@ def bm25(docs: DataFrame, key: str, text: Column, words: list[str]) -> DataFrame
     of the query's words, is all that the driver sees.
     """
     counted = docs.select(key, F.regexp_count(text, F.lit(TOKEN)).alias("dl"), *[F.when(F.contains(text, F.lit(w)), F.regexp_count(text, F.lit(f"(?<!{EDGE}){re.escape(w)}(?!{EDGE})"))).otherwise(0).alias(f"tf{i}") for i, w in enumerate(words)])
+    counted = materialize(counted)  # a few numbers a row, so that texts are read once
     stats = counted.where("dl > 0").agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("mean"), *[F.count_if(F.col(f"tf{i}") > 0).alias(f"df{i}") for i in range(len(words))]).first()
     score, any_ = F.lit(0.0), F.lit(False)
     for i in range(len(words)):
@@ -76,19 +83,41 @@ def bm25(docs: DataFrame, key: str, text: Column, words: list[str]) -> DataFrame
 
 
 def postings(docs: DataFrame, key: str, text: Column) -> DataFrame:
-    """token, key, positions of normalized texts (Q1)."""
-    rows = docs.select(key, F.posexplode(tokens(text)).alias("position", "token"))
-    return rows.groupBy("token", key).agg(F.array_sort(F.collect_list("position")).alias("positions"))
+    """token, key, positions of normalized texts (Q1): a text's positions are put together where it lies, without a shuffle."""
+    schema = T.StructType([T.StructField("token", T.StringType()), docs.schema[key], T.StructField("positions", T.ArrayType(T.IntegerType()))])
+
+    def run(batches):
+        for b in batches:
+            for at in range(0, b.num_rows, 256):
+                words, keys, places = [], [], []
+                for k, found in zip(b.column(0).slice(at, 256).to_pylist(), b.column(1).slice(at, 256).to_pylist(), strict=True):
+                    own: dict[str, list[int]] = {}
+                    for i, w in enumerate(found or ()):
+                        own.setdefault(w, []).append(i)
+                    words += own
+                    keys += [k] * len(own)
+                    places += own.values()
+                yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(keys, b.schema.field(0).type), pa.array(places, pa.list_(pa.int32()))], ["token", key, "positions"])
+
+    return docs.select(key, tokens(text).alias("w")).mapInArrow(run, schema)
+
 
+def _part(token: Column, buckets: int) -> Column:
+    return (F.crc32(token.cast("binary")) % buckets).cast("int")
 
-def store(docs: DataFrame, key: str, text: Column, path: str, buckets: int = BUCKETS) -> None:
-    """An inverted index: postings partitioned by token hash and sorted by token, and each document's length."""
-    post = postings(docs, key, text).withColumn("part", F.pmod(F.hash("token"), F.lit(buckets)).cast("int"))
-    post.repartition(buckets, "part").sortWithinPartitions("part", "token").write.partitionBy("part").parquet(f"{path}/postings")
+
+def store(docs: DataFrame, key: str, text: Column, path: str, buckets: int = BUCKETS, salts: int = 4) -> None:
+    """An inverted index: postings partitioned by token hash and sorted by token, and each document's length.
+
+    One shuffle, by token hash and one of `salts` parts of the keys: a word that every text has is dealt to several tasks.
+    """
+    post = postings(docs, key, text).withColumn("part", _part(F.col("token"), buckets))
+    salt = F.pmod(F.xxhash64(key), F.lit(salts))
+    post.repartition(buckets * salts, "part", salt).sortWithinPartitions("part", "token").write.partitionBy("part").parquet(f"{path}/postings")
     docs.select(key, F.regexp_count(text, F.lit(TOKEN)).alias("dl")).write.parquet(f"{path}/lengths")
 
 
-def _moved(positions: str, by: int) -> Column:
+def _moved(positions: Column, by: int) -> Column:
     return F.transform(positions, lambda p: p - by)
 
 
@@ -101,23 +130,28 @@ class Index:
         self.n, self.mean = self.lengths.where("dl > 0").agg(F.count(F.lit(1)), F.avg("dl")).first()
 
     def _of(self, words: list[str]) -> DataFrame:
-        parts = self.spark.createDataFrame([(w,) for w in words], "w string").select(F.pmod(F.hash("w"), F.lit(self.buckets)).cast("int").alias("p")).distinct().collect()
-        return self.post.where(F.col("part").isin([r["p"] for r in parts]) & F.col("token").isin(words))
+        return self.post.where(F.col("part").isin(sorted({zlib.crc32(w.encode()) % self.buckets for w in words})) & F.col("token").isin(sorted(set(words))))
 
     def find(self, query: str, mode: str = "words", fold=str.lower) -> DataFrame:
         """Keys that match; of `exact`, the candidates that the source text is then asked for."""
         words = parse(query, mode, fold)
-        if mode == "phrase":
-            places = F.array(*[F.when(F.col("token") == w, _moved("positions", i)) for i, w in enumerate(words)])
-            own = self._of(words).select(self.key, F.posexplode(places).alias("i", "at")).where("at IS NOT NULL")
-            hits = own.select(self.key, "i", F.explode("at").alias("start")).groupBy(self.key, "start").agg(F.countDistinct("i").alias("n"))
-            return hits.where(F.col("n") == len(words)).select(self.key).distinct()
         whole = words[:-1] if mode == "prefix" else words
-        rows = self._of(whole).select(self.key, F.col("token").alias("w")) if whole else None
         if mode == "prefix":
-            tail = self.post.where(F.col("token").startswith(words[-1])).select(self.key, F.lit("\u0000").alias("w"))
-            rows = tail if rows is None else rows.unionByName(tail)
-        return rows.groupBy(self.key).agg(F.countDistinct("w").alias("n")).where(F.col("n") == len(set(whole)) + (mode == "prefix")).select(self.key)
+            tail = self.post.where(F.col("token").startswith(words[-1])).select(self.key).distinct()
+            return tail.join(self._all(whole).select(self.key), self.key, "left_semi") if whole else tail
+        rows = self._all(words)
+        if mode == "phrase" and len(words) > 1:
+            starts = [_moved(F.element_at("places", w), i) for i, w in enumerate(words)]
+            rows = rows.where(F.size(reduce(F.array_intersect, starts)) > 0)
+        return rows.select(self.key)
+
+    def _all(self, words: list[str]) -> DataFrame:
+        """Keys that hold all of the words, with their places by word. A word has one posting for a key."""
+        few = sorted(set(words))
+        if len(few) == 1:
+            return self._of(few).select(self.key, F.create_map("token", "positions").alias("places"))
+        got = self._of(few).groupBy(self.key).agg(F.collect_list(F.struct("token", "positions")).alias("p"))
+        return got.where(F.size("p") == len(few)).select(self.key, F.map_from_entries("p").alias("places"))
 
     def ranked(self, query: str, fold=str.lower) -> DataFrame:
         """key, score of documents with any of the words."""

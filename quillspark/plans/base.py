@@ -31,6 +31,7 @@ class Registry:
             self.queries[f.__name__] = lambda spark, sf_dir: f(Tables(spark, sf_dir))
             if sql:
                 self.sql[f.__name__] = sql
+            f.of = f  # the query of tables, for others to build on
             return f
 
         return keep

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from quillspark.plans import corpus_queries, entity_queries, search_queries, stage_queries, text_queries
+from quillspark.plans import corpus_queries, entity_queries, generated, search_queries, stage_queries, text_queries
 from quillspark.plans.base import Query
 
-_PARTS = [m.query for m in (corpus_queries, entity_queries, search_queries, stage_queries, text_queries)]
+_PARTS = [m.query for m in (corpus_queries, entity_queries, generated, search_queries, stage_queries, text_queries)]
 
 
 def queries() -> dict[str, Query]:

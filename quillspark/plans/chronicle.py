@@ -2,47 +2,43 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.functions import years
+from quillspark.functions import tables, years
 from quillspark.functions.arabic import normalize
 from quillspark.operators import audit, chronology
 from quillspark.operators.corpus import content_id
-from quillspark.operators.sequence import spans_to_next
 
-RECORD = "entry_id string, page_id string, name_label string, death_year int, date_status string, evidence_start int, evidence_end int, evidence_quote string, evidence_kind string"
 
+def note_arrays(footnotes: DataFrame, name: str = "footnotes") -> DataFrame:
+    """page_id and its footnotes as array<struct<start,end>>."""
+    span = F.struct(F.col("start_offset").cast("int").alias("start"), F.col("end_offset").cast("int").alias("end"))
+    return footnotes.groupBy("page_id").agg(F.sort_array(F.collect_list(span)).alias(name))
 
-def _records(batches):
-    names = [c.split()[0] for c in RECORD.split(", ")]
-    for pdf in batches:
-        out = []
-        for r in pdf.itertuples(index=False):
-            label = years.name_label(r.title)
-            if label is None:
-                continue
-            notes = [(n["start"], n["end"]) for n in (r.footnotes if r.footnotes is not None else [])]
-            year, status, e = years.decide(years.death_evidence(r.text, int(r.start_offset), int(r.end), int(r.end_offset), notes))
-            e = e or {}
-            out.append((r.entry_id, r.page_id, label, year, status, e.get("start"), e.get("end"), e.get("quote"), e.get("kind")))
-        df = pd.DataFrame(out, columns=names)
-        for c in ("death_year", "evidence_start", "evidence_end"):
-            df[c] = df[c].astype("Int32")
-        yield df
+
+def with_notes(pages: DataFrame, footnotes: DataFrame) -> DataFrame:
+    return pages.join(note_arrays(footnotes), "page_id", "left").withColumn("footnotes", F.coalesce("footnotes", F.array().cast(tables.SPANS)))
 
 
 def records(pages: DataFrame, entries: DataFrame, footnotes: DataFrame) -> DataFrame:
     """One row for each entry whose heading holds a name; names with two years or more lose theirs.
 
-    An entry's text ends with the next heading on its page. Only pages with entries are read, and only the entry's own
-    stretch of text goes to Python, with offsets counted from the page's start.
+    An entry's text ends with the next heading on its page (W1). A page's entries are one array: its text moves once, to meet
+    them, and is read once, and only pages that have a named entry are read.
     """
-    notes = footnotes.groupBy("page_id").agg(F.sort_array(F.collect_list(F.struct(F.col("start_offset").cast("int").alias("start"), F.col("end_offset").cast("int").alias("end")))).alias("footnotes"))
-    placed = entries.select("entry_id", "page_id", "start_offset", F.col("end_offset").alias("heading_end"), "title").join(pages.select("page_id", "text"), "page_id")
-    own = spans_to_next(placed, "page_id", "start_offset", F.length("text")).withColumnRenamed("end_offset", "end").withColumnRenamed("heading_end", "end_offset").join(notes, "page_id", "left")
-    got = own.select("entry_id", "page_id", "title", "start_offset", "end_offset", "end", "text", "footnotes").mapInPandas(_records, RECORD)
+    head = F.struct(F.col("start_offset").cast("int").alias("start"), F.col("end_offset").cast("int").alias("head"), "entry_id", years.name_label(F.col("title")).alias("label"))
+    own = entries.select("page_id", head.alias("e")).groupBy("page_id").agg(F.array_sort(F.collect_list("e")).alias("es"))
+    own = own.where(F.exists("es", lambda e: e["label"].isNotNull()))
+    rows = with_notes(pages.select("page_id", "text").join(own, "page_id"), footnotes)
+    ended = F.transform("es", lambda e, i: e.withField("end", F.coalesce(F.get(F.col("es"), i + 1)["start"], F.length("text"))))
+    rows = rows.withColumn("es", F.filter(ended, lambda e: e["label"].isNotNull()))
+    spans = F.transform("es", lambda e: F.struct(e["start"].alias("start"), e["head"].alias("head"), e["end"].alias("end")))
+    rows = rows.withColumn("items", tables.evidence("text", spans, "footnotes"))
+    judged = F.transform("es", lambda e, i: e.withField("d", years.decide(F.filter("items", lambda x: x["entry"] == i))))
+    told = F.transform(judged, lambda e: e.withField("quote", years.quoted(F.col("text"), e["d"])))
+    got = rows.select("page_id", F.explode(told).alias("e"))
+    got = got.select("e.entry_id", "page_id", F.col("e.label").alias("name_label"), F.col("e.d.year").alias("death_year"), F.col("e.d.status").alias("date_status"), F.col("e.d.start").alias("evidence_start"), F.col("e.d.end").alias("evidence_end"), F.col("e.quote").alias("evidence_quote"), F.col("e.d.kind").alias("evidence_kind"))
     return chronology.null_conflicts(got.withColumn("name_key", normalize(F.col("name_label"))), "name_key", "death_year", "date_status")
 
 

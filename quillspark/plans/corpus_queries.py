@@ -42,8 +42,11 @@ def normalized_variant_groups(t: Tables) -> DataFrame:
     from quillspark.functions.arabic import normalize
 
     w = t.documents.select(F.explode(F.split("text", r"\.", -1)).alias("w")).where(F.length("w") >= 8)
-    p = w.select(F.sha2("w", 256).alias("sha256"), F.sha2(normalize(F.col("w")), 256).alias("normalized_sha256"))
-    return p.groupBy("normalized_sha256").agg(F.countDistinct("sha256").alias("variants"), F.count(F.lit(1)).alias("occurrences")).where("variants > 1")
+    # Keys of 32 and 16 bytes; equal sentences are counted before they travel.
+    p = w.select(F.unhex(F.md5("w")).alias("w"), F.unhex(F.sha2(normalize(F.col("w")), 256)).alias("n"))
+    once = p.groupBy("n", "w").agg(F.count(F.lit(1)).alias("c"))
+    got = once.groupBy("n").agg(F.count(F.lit(1)).alias("variants"), F.sum("c").alias("occurrences")).where("variants > 1")
+    return got.select(F.lower(F.hex("n")).alias("normalized_sha256"), "variants", "occurrences")
 
 
 @query("SELECT count(*) AS occurrences, count(DISTINCT sha256(text)) AS distinct_texts, count(*) - count(DISTINCT sha256(text)) AS reused, sum(octet_length(encode(text)))::BIGINT AS bytes FROM documents")

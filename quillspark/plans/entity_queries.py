@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from quillspark.operators import audit, chronology, pairs, sequence
 from quillspark.operators.components import components
+from quillspark.plans import identity
 from quillspark.plans.base import Registry, Tables
+from quillspark.storage import materialize
 
 query = Registry()
 
@@ -62,15 +64,19 @@ def common_decimal_bucket(t: Tables) -> DataFrame:
 
 @query("SELECT p_name AS name_key, count(*) AS entries, count(DISTINCT p_brand) AS books FROM part WHERE length(p_name) >= 8 AND length(p_name) - length(replace(p_name, ' ', '')) >= 1 GROUP BY 1 HAVING count(*) BETWEEN 2 AND 32 AND count(DISTINCT p_brand) >= 2")
 def name_inventory_having(t: Tables) -> DataFrame:
-    rows = t.part.where((F.length("p_name") >= 8) & (F.size(F.split("p_name", " ")) >= 2))
-    return rows.groupBy(F.col("p_name").alias("name_key")).agg(F.count(F.lit(1)).alias("entries"), F.countDistinct("p_brand").alias("books")).where(F.col("entries").between(2, 32) & (F.col("books") >= 2))
+    rows = t.part.select(F.col("p_name").alias("name_key"), F.col("p_brand").alias("book_id"), F.lit("biography_candidate").alias("classification"))
+    return identity.inventory(rows, least=8, words=2, low=2, high=32).groupBy("name_key").agg(F.count(F.lit(1)).alias("entries"), F.countDistinct("book_id").alias("books"))
 
 
-@query("SELECT name_key, entries, indexed, CASE WHEN entries = indexed THEN 'index_only' WHEN entries = 1 THEN 'single_entry' WHEN length(name_key) < 10 THEN 'short_name_review' ELSE 'multiple_entries' END AS status FROM (SELECT p_name AS name_key, count(*) AS entries, count(*) FILTER (p_type = 'ECONOMY') AS indexed FROM part GROUP BY 1)")
+def _entries(t: Tables) -> DataFrame:
+    """Parts as entries: one name, a book, and biographies but for one type."""
+    kind = F.when(F.col("p_type") == "ECONOMY", "short_index_candidate").otherwise("biography_candidate")
+    return t.part.select(F.col("p_partkey").cast("string").alias("entry_id"), F.col("p_name").alias("name_key"), F.col("p_name").alias("name_label"), kind.alias("classification"), F.col("p_brand").alias("book_id"), F.col("p_type").alias("opening_page_id"))
+
+
+@query("SELECT p_name AS name_key, count(*) AS entry_count, CASE WHEN count(*) FILTER (p_type <> 'ECONOMY') = 0 THEN 'index_only' WHEN count(*) = 1 THEN 'single_entry' WHEN len(string_split(p_name, ' ')) < 2 THEN 'short_name_review' ELSE 'multiple_entries' END AS status FROM part GROUP BY 1")
 def name_bucket_status(t: Tables) -> DataFrame:
-    g = t.part.groupBy(F.col("p_name").alias("name_key")).agg(F.count(F.lit(1)).alias("entries"), F.count_if(F.col("p_type") == "ECONOMY").alias("indexed"))
-    status = F.when(F.col("entries") == F.col("indexed"), "index_only").when(F.col("entries") == 1, "single_entry").when(F.length("name_key") < 10, "short_name_review").otherwise("multiple_entries")
-    return g.withColumn("status", status)
+    return identity.name_groups(_entries(t), short=2).select("name_key", "entry_count", "status")
 
 
 _LINES = "l AS (SELECT DISTINCT doc_id, lang, sha256(line) AS t FROM (SELECT doc_id, lang, unnest(string_split(text, chr(10))) AS line FROM documents) WHERE length(line) >= 60)"
@@ -88,6 +94,11 @@ def _pairs(t: Tables) -> DataFrame:
     return pairs.shared_text_pairs(_lines(t), "doc_id", "t", within="lang")
 
 
+def _edges(t: Tables) -> DataFrame:
+    """What connects the same documents as all pairs do."""
+    return pairs.representative_edges(_lines(t), "doc_id", "t", within="lang")
+
+
 def _review(t: Tables, p: DataFrame) -> DataFrame:
     a = t.labels.select(F.col("doc_id").alias("left_id"), F.col("quality").alias("lq"), F.col("toxic").alias("lt"))
     b = t.labels.select(F.col("doc_id").alias("right_id"), F.col("quality").alias("rq"), F.col("toxic").alias("rt"))
@@ -100,7 +111,7 @@ def literal_pairs(t: Tables) -> DataFrame:
     return _pairs(t).withColumn("priority", pairs.literal_priority(F.col("shared")))
 
 
-@query(f"WITH {_LINES}, k AS (SELECT t FROM l GROUP BY 1 HAVING count(DISTINCT doc_id) BETWEEN 2 AND 4) SELECT a.doc_id AS left_id, b.doc_id AS right_id, count(DISTINCT t) AS shared FROM l a JOIN l b USING (t) JOIN k USING (t) WHERE a.doc_id < b.doc_id GROUP BY 1, 2")
+@query(f"WITH {_LINES}, k AS (SELECT t FROM l GROUP BY 1 HAVING count(DISTINCT doc_id) BETWEEN 2 AND 20) SELECT a.doc_id AS left_id, b.doc_id AS right_id, count(DISTINCT t) AS shared FROM l a JOIN l b USING (t) JOIN k USING (t) WHERE a.doc_id < b.doc_id GROUP BY 1, 2")
 def literal_pairs_capped(t: Tables) -> DataFrame:
     return pairs.shared_text_pairs(_lines(t), "doc_id", "t", cap=20)
 
@@ -116,13 +127,6 @@ def pairs_with_dates(t: Tables) -> DataFrame:
 _SIGN = "regexp_replace(p_name, '^[a-z]+ ', '')"
 
 
-@query(f"WITH n AS (SELECT p_name AS name_key, {_SIGN} AS signature, count(*) AS entries FROM part GROUP BY 1, 2) SELECT 'variant-' || left(sha256(signature), 32) AS bucket_id, signature, count(*) AS names, sum(entries)::BIGINT AS entries FROM n GROUP BY 2 HAVING count(*) >= 2")
-def variant_families(t: Tables) -> DataFrame:
-    n = t.part.groupBy(F.col("p_name").alias("name_key"), F.regexp_replace("p_name", "^[a-z]+ ", "").alias("signature")).agg(F.count(F.lit(1)).alias("entries"))
-    g = n.groupBy("signature").agg(F.count(F.lit(1)).alias("names"), F.sum("entries").alias("entries")).where("names >= 2")
-    return g.select(F.concat(F.lit("variant-"), F.left(F.sha2("signature", 256), F.lit(32))).alias("bucket_id"), "signature", "names", "entries")
-
-
 _PS = f"ps AS (SELECT DISTINCT p_partkey AS e, p_name AS k, p_brand AS book, {_SIGN} || p_brand AS sig, l_suppkey AS s FROM part JOIN lineitem ON l_partkey = p_partkey)"
 
 
@@ -132,12 +136,12 @@ def _supplied(t: Tables) -> DataFrame:
     return p.join(t.lineitem.select(F.col("l_partkey").alias("e"), F.col("l_suppkey").alias("s")), "e").distinct()
 
 
-@query(f"WITH {_PS} SELECT left_id, right_id, shared FROM (SELECT a.e AS left_id, b.e AS right_id, count(DISTINCT s) AS shared FROM ps a JOIN ps b USING (sig, s) WHERE a.e < b.e AND a.k <> b.k GROUP BY 1, 2) WHERE shared >= 4")
+@query(f"WITH {_PS} SELECT a.e AS left_id, b.e AS right_id, count(DISTINCT s) AS shared FROM ps a JOIN ps b USING (sig, s) WHERE a.e < b.e AND a.k <> b.k GROUP BY 1, 2")
 def variant_pairs_cross_key(t: Tables) -> DataFrame:
     return pairs.shared_text_pairs(_supplied(t), "e", "s", within="sig", differ="k")
 
 
-_OVER = f"{_PS}, o AS (SELECT k, a.e AS left_id, b.e AS right_id, list_sort(list(DISTINCT s)) AS common FROM ps a JOIN ps b USING (k, s) WHERE a.e < b.e GROUP BY 1, 2, 3), ov AS (SELECT k, left_id, right_id, array_to_string(common, ',') AS common, len(common) AS n_common FROM o WHERE len(common) >= 3)"
+_OVER = f"{_PS}, o AS (SELECT k, a.e AS left_id, b.e AS right_id, list_sort(list(DISTINCT s)) AS common FROM ps a JOIN ps b USING (k, s) WHERE a.e < b.e GROUP BY 1, 2, 3), ov AS (SELECT k, left_id, right_id, array_to_string(common, ',') AS common, len(common) AS n_common FROM o)"
 
 
 def _overlaps(t: Tables) -> DataFrame:
@@ -145,7 +149,7 @@ def _overlaps(t: Tables) -> DataFrame:
     return got.withColumn("common", F.array_join(F.transform("common", lambda x: x.cast("string")), ","))
 
 
-@query(f"WITH {_OVER} SELECT k, left_id, right_id, common, n_common, CASE WHEN n_common >= 3 AND n_common % 2 = 0 THEN 'both_lists_3plus' ELSE 'one_list_3plus' END AS priority FROM ov")
+@query(f"WITH {_OVER} SELECT k, left_id, right_id, common, n_common, CASE WHEN n_common >= 3 AND n_common % 2 = 0 THEN 'both_lists_3plus' WHEN n_common >= 3 THEN 'one_list_3plus' ELSE 'weak_overlap' END AS priority FROM ov")
 def array_overlap_pairs(t: Tables) -> DataFrame:
     half = F.floor(F.col("n_common") / 2)
     even = F.when(F.col("n_common") % 2 == 0, half).otherwise(0)
@@ -169,15 +173,22 @@ _COMP = f"{_PAIRS}, ends AS (SELECT left_id AS a, right_id AS b FROM pairs UNION
 
 @query(f"WITH RECURSIVE {_COMP} SELECT node, root FROM comp")
 def components_min_label(t: Tables) -> DataFrame:
-    return components(_pairs(t), "left_id", "right_id")
+    return components(_edges(t), "left_id", "right_id")
 
 
 @query(f"WITH RECURSIVE {_COMP} SELECT root, count(*) AS members, (SELECT count(*) FROM pairs JOIN comp c ON c.node = left_id WHERE c.root = comp.root) AS links FROM comp GROUP BY root")
 def component_stats(t: Tables) -> DataFrame:
-    p = _pairs(t)
-    c = components(p, "left_id", "right_id")
-    links = p.join(c.select(F.col("node").alias("left_id"), "root"), "left_id").groupBy("root").agg(F.count(F.lit(1)).alias("links"))
-    return c.groupBy("root").agg(F.count(F.lit(1)).alias("members")).join(links, "root").select("root", "members", "links")
+    """Clusters with their numbers of members and links."""
+    c = materialize(identity.clusters(_edges(t)))
+    links = _pairs(t).join(c.select(F.col("entry_id").alias("left_id"), "root"), "left_id").groupBy("root").agg(F.count(F.lit(1)).alias("links"))
+    return c.select("root", "members").distinct().join(links, "root").select("root", "members", "links")
+
+
+@query(f"WITH {_PAIRS} SELECT count(*) AS pairs, (SELECT count(*) FROM (SELECT left_id FROM pairs UNION SELECT right_id FROM pairs)) AS entries FROM pairs")
+def pair_members(t: Tables) -> DataFrame:
+    """Pairs, and the distinct entries in them."""
+    p = materialize(_pairs(t))
+    return p.agg(F.count(F.lit(1)).alias("pairs")).join(pairs.members_of(p).agg(F.count(F.lit(1)).alias("entries")))
 
 
 @query(f"WITH {_PAIRS}, {_REVIEW} SELECT left_id, right_id, shared FROM pairs p WHERE NOT EXISTS (SELECT 1 FROM review r WHERE r.left_id = p.left_id AND r.right_id = p.right_id AND decision = 'different')")
@@ -189,7 +200,7 @@ def veto_antijoin(t: Tables) -> DataFrame:
 @query(f"WITH RECURSIVE {_COMP}, {_REVIEW} SELECT r.left_id, r.right_id, a.root FROM review r JOIN comp a ON a.node = r.left_id JOIN comp b ON b.node = r.right_id WHERE a.root = b.root AND decision <> 'same'")
 def veto_transitive_conflicts(t: Tables) -> DataFrame:
     p = _pairs(t)
-    return pairs.transitive_conflicts(_review(t, p).where("decision <> 'same'"), components(p, "left_id", "right_id"))
+    return pairs.transitive_conflicts(_review(t, p).where("decision <> 'same'"), components(_edges(t), "left_id", "right_id"))
 
 
 @query(f"WITH {_PAIRS}, {_REVIEW}, person AS (SELECT left_id AS e, min(left_id) AS p FROM review WHERE decision = 'same' GROUP BY 1) SELECT disposition, count(*) AS n FROM (SELECT CASE WHEN r.decision IN ('different', 'uncertain') THEN 'review_veto' WHEN a.p = b.p THEN 'already_reviewed' WHEN a.p IS NOT NULL OR b.p IS NOT NULL THEN 'review_bridge' ELSE 'provisional_link' END AS disposition FROM pairs p LEFT JOIN review r USING (left_id, right_id) LEFT JOIN person a ON a.e = p.left_id LEFT JOIN person b ON b.e = p.right_id) GROUP BY 1")
@@ -200,12 +211,38 @@ def unified_dispositions(t: Tables) -> DataFrame:
     return pairs.dispositions(p, r, person).groupBy("disposition").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("SELECT name_key, identities, entries, CASE WHEN name_key LIKE 'red %' OR name_key LIKE 'blue %' THEN 'suspected_heading_noise' WHEN books > 1 AND length(name_key) - length(replace(name_key, ' ', '')) >= 1 AND length(name_key) >= 10 THEN 'cross_book_long_name' WHEN books > 1 THEN 'cross_book_short_name' ELSE 'same_book_or_index' END AS priority FROM (SELECT p_name AS name_key, count(DISTINCT p_size) AS identities, count(*) AS entries, count(DISTINCT p_brand) AS books FROM part GROUP BY 1 HAVING count(DISTINCT p_size) >= 2)")
+def _view(t: Tables) -> DataFrame:
+    """Parts of one name and size are one identity; a third of the sizes is reviewed, a third provisional."""
+    kind = F.when(F.col("p_size") % 3 == 0, "reviewed_person").when(F.col("p_size") % 3 == 1, "provisional_cluster").otherwise("unlinked_entry")
+    return t.part.select(F.col("p_partkey").cast("string").alias("entry_id"), F.col("p_name").alias("name_key"), F.concat_ws("/", "p_name", "p_size").alias("identity_id"), kind.alias("identity_kind"))
+
+
+@query("""SELECT p_name AS name_key, count(*) AS entry_count, count(DISTINCT p_size) AS identities, count(*) FILTER (p_size % 3 = 0) AS reviewed_entries, count(*) FILTER (p_size % 3 = 1) AS provisional_entries, count(*) FILTER (p_size % 3 = 2) AS unlinked_entries,
+  CASE WHEN count(DISTINCT p_brand) >= 2 AND count(*) FILTER (p_type <> 'ECONOMY') >= 2 AND length(p_name) - length(replace(p_name, ' ', '')) >= 1 THEN 'cross_book_long_name' WHEN count(DISTINCT p_brand) >= 2 AND count(*) FILTER (p_type <> 'ECONOMY') >= 2 THEN 'cross_book_short_name' ELSE 'same_book_or_index' END AS priority
+  FROM part GROUP BY 1 HAVING count(DISTINCT p_size) >= 2 AND count(*) >= 2 AND count(*) FILTER (p_type <> 'ECONOMY') >= 2""")
 def gap_queue_priority(t: Tables) -> DataFrame:
-    g = t.part.groupBy(F.col("p_name").alias("name_key")).agg(F.countDistinct("p_size").alias("identities"), F.count(F.lit(1)).alias("entries"), F.countDistinct("p_brand").alias("books")).where("identities >= 2")
-    noisy, long_ = F.col("name_key").rlike("^(red|blue) "), (F.size(F.split("name_key", " ")) >= 2) & (F.length("name_key") >= 10)
-    priority = F.when(noisy, "suspected_heading_noise").when((F.col("books") > 1) & long_, "cross_book_long_name").when(F.col("books") > 1, "cross_book_short_name").otherwise("same_book_or_index")
-    return g.select("name_key", "identities", "entries", priority.alias("priority"))
+    got = identity.gap_queue(identity.name_groups(_entries(t)), _view(t), least_spaces=1)
+    return got.select("name_key", "entry_count", "identities", "reviewed_entries", "provisional_entries", "unlinked_entries", "priority")
+
+
+_TRIAGED = f"g AS (SELECT c_custkey, count(o_orderkey) AS n, count(DISTINCT {_YEAR}) AS years FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY 1), s AS (SELECT *, CASE WHEN years > 1 THEN 0 WHEN n > 1 THEN 1 WHEN n = 1 THEN 2 ELSE 3 END AS o FROM g)"
+
+
+@query(f"WITH {_TRIAGED} SELECT c_custkey AS name_key, n AS entries, row_number() OVER (ORDER BY o, n DESC, c_custkey) AS position FROM s ORDER BY position LIMIT 50")
+def triage_order(t: Tables) -> DataFrame:
+    """The first names that reviewers get."""
+    got = date_triage.of(t).withColumn("entries", F.col("dated_rows"))
+    return identity.triage_list(got, 50).select("name_key", "entries", "position")
+
+
+@query(f"WITH y AS (SELECT o_custkey AS k, {_YEAR} AS y FROM orders WHERE o_orderkey % 2 = 0 OR o_custkey % 10 = 1), g AS (SELECT c_custkey AS name_key, list_sort(list(DISTINCT y) FILTER (y IS NOT NULL)) AS ys FROM customer LEFT JOIN y ON k = c_custkey GROUP BY 1), u AS (SELECT *, CASE WHEN ys[1] = ys[-1] THEN 1 WHEN ys[1] // 10 = ys[-1] // 10 THEN 10 WHEN ys[1] // 100 = ys[-1] // 100 THEN 100 WHEN ys[1] // 1000 = ys[-1] // 1000 THEN 1000 END AS b FROM g) SELECT name_key::VARCHAR AS name_key, coalesce(array_to_string(ys, ','), '') AS years, b::INT AS bucket_size, (ys[1] // b * b)::INT AS bucket_start, (ys[1] // b * b + b - 1)::INT AS bucket_end FROM u")
+def refreshed_dates(t: Tables) -> DataFrame:
+    """A grouping by half of the evidence, then refreshed for some names with all of theirs."""
+    o = t.orders.select(F.col("o_custkey").cast("string").alias("name_key"), F.year("o_orderdate").alias("year"), "o_orderkey")
+    names = t.customer.select(F.col("c_custkey").cast("string").alias("name_key"))
+    old = materialize(identity.date_grouping(names, o.where("o_orderkey % 2 = 0").select("name_key", "year"), o.limit(0).select("name_key", "year")))
+    keys = [r[0] for r in names.where("name_key % 10 = 1").collect()]
+    return identity.refresh_dates(old, o.where("o_orderkey % 2 = 0").select("name_key", "year"), o.where("o_orderkey % 2 = 1").select("name_key", "year"), keys)
 
 
 @query("SELECT user_id, event_type, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS n FROM events) WHERE n = 1")
@@ -225,10 +262,54 @@ def decision_upsert(t: Tables) -> DataFrame:
     return sequence.upsert(old, new, ["user_id", "event_type"])
 
 
-@query("SELECT p_name AS name_key, sha256(string_agg(p_partkey || ':' || p_brand, '|' ORDER BY p_partkey)) AS fingerprint FROM part GROUP BY 1")
+@query("""WITH j AS (SELECT DISTINCT p_name, '{"entry":' || p_partkey || ',"book":"' || p_brand || '"}' AS x FROM part) SELECT p_name AS name_key, sha256('[' || string_agg(x, ',' ORDER BY x) || ']') AS evidence_sha256 FROM j GROUP BY 1""")
 def evidence_fingerprint(t: Tables) -> DataFrame:
-    items = F.array_sort(F.collect_list(F.struct("p_partkey", F.concat_ws(":", "p_partkey", "p_brand").alias("x"))))
-    return t.part.groupBy(F.col("p_name").alias("name_key")).agg(F.sha2(F.array_join(F.transform(items, lambda s: s["x"]), "|"), 256).alias("fingerprint"))
+    rows = t.part.select(F.col("p_name").alias("name_key"), F.col("p_partkey").alias("entry"), F.col("p_brand").alias("book"))
+    return identity.evidence_fingerprint(rows, "name_key", "entry", "book")
+
+
+@query(f"""WITH {_PAIRS}, l2 AS (SELECT left_id, right_id, shared, CASE WHEN shared >= 2 THEN 'strong_literal' ELSE 'one_literal' END AS priority FROM pairs)
+SELECT left_id::VARCHAR AS left_id, right_id::VARCHAR AS right_id, shared, priority, CASE WHEN a.quality IS NULL OR b.quality IS NULL THEN 'incomplete_dates' WHEN a.quality = b.quality THEN 'matching_dates' ELSE 'conflicting_dates' END AS date_relation, CASE WHEN (left_id + right_id) % 5 = 0 THEN 'different' END AS decision
+FROM (SELECT least(left_id::VARCHAR, right_id::VARCHAR) AS left_id, greatest(left_id::VARCHAR, right_id::VARCHAR) AS right_id, shared, priority, left_id AS l, right_id AS r FROM l2) p LEFT JOIN labels a ON a.doc_id = l LEFT JOIN labels b ON b.doc_id = r""".replace("(left_id + right_id)", "(l + r)"))
+def bulk_candidates(t: Tables) -> DataFrame:
+    """Pairs with support, how their years relate and what reviewers have said."""
+    members = t.documents.join(t.labels.select("doc_id", F.col("quality").alias("year")), "doc_id", "left").select(F.col("doc_id").cast("string").alias("entry_id"), F.col("lang").alias("name_key"), "year")
+    said = _lines(t).select(F.col("doc_id").cast("string").alias("entry_id"), F.col("t").alias("text_sha256"), F.lit(60).alias("chars"))
+    p = _pairs(t)
+    decided = p.where((F.col("left_id") + F.col("right_id")) % 5 == 0).select(F.col("right_id").cast("string").alias("left_id"), F.col("left_id").cast("string").alias("right_id"), F.lit("different").alias("decision"))
+    return identity.bulk_candidates(members, said, decided).drop("name_key")
+
+
+@query(f"""WITH {_PAIRS} SELECT left_id, right_id, CASE WHEN shared >= 2 AND (left_id + right_id) % 2 = 0 THEN 'literal,relationship' WHEN shared >= 2 THEN 'literal' ELSE 'relationship' END AS kind FROM pairs WHERE shared >= 2 OR (left_id + right_id) % 2 = 0""")
+def evidence_kinds(t: Tables) -> DataFrame:
+    """Links of several stages in one table, tagged."""
+    p = materialize(_pairs(t))
+    return identity.link_kinds(identity.evidence_links(literal=p.where("shared >= 2"), relationship=p.where("(left_id + right_id) % 2 = 0")))
+
+
+@query(f"""WITH {_PAIRS} SELECT CASE WHEN shared >= 2 THEN 'two_long_statements' ELSE 'literal_and_both_relationships' END AS evidence_kind, count(*) AS n FROM pairs WHERE (shared >= 2 OR (left_id + right_id) % 2 = 0) GROUP BY 1""")
+def combined_links(t: Tables) -> DataFrame:
+    """Provisional links by quotes, or a quote and both lists."""
+    p = materialize(_pairs(t)).withColumn("name_key", F.lit("name"))
+    lists = p.where("(left_id + right_id) % 2 = 0").select("left_id", "right_id", "name_key", F.lit("both_lists_3plus").alias("priority"))
+    none = p.limit(0).select("left_id", "right_id", F.lit("different").alias("decision"))
+    return identity.combined_links(p, lists, none).groupBy("evidence_kind").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"""WITH {_PAIRS} SELECT CASE WHEN shared >= 2 THEN 'two_long_statements' ELSE 'both_relationship_lists' END AS evidence_kind, count(*) AS n FROM pairs WHERE (shared >= 2 OR (left_id + right_id) % 3 = 0) AND left_id % 7 <> 0 AND right_id % 7 <> 0 GROUP BY 1""")
+def variant_links(t: Tables) -> DataFrame:
+    """Links across spellings, quotes before lists, both ends biographies."""
+    p = materialize(_pairs(t))
+    lists = p.where("(left_id + right_id) % 3 = 0").select("left_id", "right_id", F.lit("both_lists_3plus").alias("priority"))
+    entries = t.documents.select(F.col("doc_id").alias("entry_id"), F.when(F.col("doc_id") % 7 == 0, "short_index_candidate").otherwise("biography_candidate").alias("classification"))
+    return identity.variant_links(p, lists, entries).groupBy("evidence_kind").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT side, count(*) AS n FROM (SELECT 'left' AS side, unnest(range(a.n - coalesce(b.n, 0))) FROM (SELECT p_name, p_brand, count(*) AS n FROM part GROUP BY 1, 2) a LEFT JOIN (SELECT p_name, p_brand, count(*) AS n FROM part WHERE p_size % 2 = 0 GROUP BY 1, 2) b USING (p_name, p_brand)) GROUP BY 1")
+def stored_and_rebuilt(t: Tables) -> DataFrame:
+    """Rows that a stored table has more often than its rebuilt one, and the other way round."""
+    p = t.part.select("p_name", "p_brand", "p_size")
+    return audit.difference(p.drop("p_size"), p.where("p_size % 2 = 0").drop("p_size")).groupBy("side").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("SELECT 'both' AS kind, count(*) AS n FROM (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F' INTERSECT SELECT o_custkey FROM orders WHERE o_orderstatus = 'O') UNION ALL SELECT 'either', count(*) FROM (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F' UNION SELECT o_custkey FROM orders WHERE o_orderstatus = 'O') UNION ALL SELECT 'never', count(*) FROM (SELECT c_custkey FROM customer EXCEPT SELECT o_custkey FROM orders)")

@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from quillspark.functions import tables
 from quillspark.functions.arabic import normalize
+from quillspark.functions.statements import classify, clean_label
 from quillspark.operators import audit
+from quillspark.plans.chronicle import with_notes
 
 
 def regions(pages: DataFrame, entries: DataFrame) -> DataFrame:
@@ -47,8 +49,8 @@ def biographies(pages: DataFrame, entries: DataFrame, found: DataFrame, statemen
     ends = entries.select(F.col("entry_id").alias("biography_id"), F.col("end_offset").alias("heading_end"))
     opening = found.where("role = 'opening'").select("biography_id", F.col("end_offset").alias("__b"))
     bios = bios.join(ends, "biography_id").join(opening, "biography_id").join(pages.select("page_id", "text"), "page_id")
-    kind = tables.classify("text", "heading_start", "__b", "heading_end")
-    label = F.ltrim(F.regexp_replace("name_label", r"^[\s•*\-–()\[\]ختدسقمعب]+[)\]]\s*", ""), F.lit(" •*-–"))
+    kind = classify(F.col("text"), F.col("heading_start"), F.col("__b"), F.col("heading_end"))
+    label = clean_label(F.col("name_label"))
     bios = bios.select("biography_id", label.alias("name_label"), normalize(label).alias("name_key"), F.col("page_id").alias("opening_page_id"), "source_id", "book_id", "heading_start", "heading_end", kind.alias("classification"), "boundary_status")
     sizes = segments(found).groupBy("biography_id").agg(F.count(F.lit(1)).alias("segment_count"), F.sum(F.col("end_offset") - F.col("start_offset")).cast("long").alias("char_count"))
     said = statements.where(F.col("biography_id").isNotNull()).groupBy("biography_id").agg(F.count(F.lit(1)).alias("statement_count"))
@@ -56,13 +58,16 @@ def biographies(pages: DataFrame, entries: DataFrame, found: DataFrame, statemen
 
 
 def statements(pages: DataFrame, found: DataFrame, footnotes: DataFrame) -> DataFrame:
-    """Statements of all regions; statement_id is content-addressed, text_sha256 shares equal quotes."""
-    notes = footnotes.groupBy("page_id").agg(F.sort_array(F.collect_list(F.struct(F.col("start_offset").cast("int").alias("start"), F.col("end_offset").cast("int").alias("end")))).alias("footnotes"))
-    rows = found.join(pages.select("page_id", "book_id", "text"), "page_id").join(notes, "page_id", "left").withColumn("footnotes", F.coalesce("footnotes", F.array().cast(tables.NOTES)))
-    got = tables.statements_of(rows)
+    """Statements of all regions; statement_id is content-addressed, text_sha256 shares equal quotes.
+
+    A page's regions are one array: its text moves once, and is read once.
+    """
+    own = found.groupBy("page_id", "source_id").agg(F.sort_array(F.collect_list(F.struct(F.col("start_offset").alias("start"), F.col("end_offset").alias("end"), "biography_id"))).alias("regions"))
+    rows = with_notes(own.join(pages.select("page_id", "book_id", "text"), "page_id"), footnotes)
+    got = tables.statements_of(rows, "regions", "footnotes")
     status = F.when(F.col("biography_id").isNotNull(), F.col("subject_status")).when(F.col("origin") == "footnote", "editorial_context_unresolved").otherwise("unassigned_source_context")
     key = F.sha2(F.concat_ws(":", "page_id", F.col("start").cast("string"), F.col("end").cast("string"), "origin"), 256)
-    return got.withColumn("subject_status", status).withColumn("statement_id", key).withColumn("text_sha256", F.sha2("quote", 256)).drop("role")
+    return got.withColumn("subject_status", status).withColumn("statement_id", key).withColumn("text_sha256", F.sha2("quote", 256))
 
 
 def triggers(said: DataFrame) -> DataFrame:
@@ -75,8 +80,8 @@ def trigger_counts(said: DataFrame) -> DataFrame:
     return triggers(said).groupBy("kind").agg(F.countDistinct("statement_id").alias("statements"))
 
 
-def checks(pages: DataFrame, entries: DataFrame, footnotes: DataFrame, found: DataFrame, said: DataFrame) -> DataFrame:
-    """check, violations: all must be zero."""
+def checks(pages: DataFrame, entries: DataFrame, footnotes: DataFrame, found: DataFrame, said: DataFrame, bios: DataFrame | None = None) -> DataFrame:
+    """check, violations: all must be zero (E28). With biographies, their boundaries and their number are checked, too."""
     text = pages.select("page_id", "text")
     seg = segments(found)
     spans = said.select("page_id", "biography_id", "origin", F.col("start").alias("start_offset"), F.col("end").alias("end_offset"))
@@ -92,6 +97,9 @@ def checks(pages: DataFrame, entries: DataFrame, footnotes: DataFrame, found: Da
         "headings_crossed": audit.crossed(seg, heads, "page_id"),
         "footnote_layer_errors": audit.uncontained(spans.where("origin = 'footnote'"), footnotes, "page_id").select("page_id").unionByName(audit.overlapping(spans.where("origin = 'main_text'"), footnotes, "page_id").select("page_id")),
     }
+    if bios is not None:
+        bad["pending_boundaries"] = bios.where("boundary_status IS NULL OR boundary_status NOT IN ('next_recorded_heading', 'source_file_end_unresolved')")
+        bad["missing_candidates"] = audit.difference(entries.where("name_label IS NOT NULL").select("entry_id"), bios.select(F.col("biography_id").alias("entry_id")))
     out = None
     for name, rows in bad.items():
         one = audit.required(rows, name)

@@ -6,16 +6,23 @@ opening_page_id); decisions are (left_id, right_id, decision) with left_id < rig
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.functions.arabic import signature
+from quillspark.functions.lists import relationships
+from quillspark.functions.passages import places
 from quillspark.operators import audit, chronology, pairs
 from quillspark.operators.components import components
+from quillspark.operators.corpus import page
+from quillspark.operators.sequence import upsert
 
 # Openers of names that are chapter titles or chain words, not persons.
 CHAPTERS = r"^(?:سيرة|كتاب|باب) "
 CHAIN_WORDS = r"^(?:اخبرنا|حدثنا|قال|سمعت|عن) "
+#: Characters of a biography's opening that lists are looked for in.
 SLICE = 5000
 
 
@@ -24,11 +31,11 @@ def hashed_id(prefix: str, value: Column) -> Column:
     return F.concat(F.lit(prefix), F.left(F.sha2(value, 256), F.lit(32)))
 
 
-def name_groups(entries: DataFrame) -> DataFrame:
-    """Buckets of equal name keys, which aren't people, with a status."""
+def name_groups(entries: DataFrame, short: int = 5) -> DataFrame:
+    """Buckets of equal name keys, which aren't people, with a status (E8, A13, A15). Names of fewer words than `short` are short."""
     g = entries.groupBy("name_key").agg(F.count(F.lit(1)).alias("entry_count"), F.count_if(F.col("classification") == "biography_candidate").alias("biography_count"), F.countDistinct("book_id").alias("distinct_books"))
     words = F.size(F.split("name_key", " "))
-    status = F.when(F.col("biography_count") == 0, "index_only").when(F.col("entry_count") == 1, "single_entry").when(words < 5, "short_name_review").otherwise("multiple_entries")
+    status = F.when(F.col("biography_count") == 0, "index_only").when(F.col("entry_count") == 1, "single_entry").when(words < short, "short_name_review").otherwise("multiple_entries")
     return g.select(hashed_id("name-", F.col("name_key")).alias("name_group_id"), "*", status.alias("status"))
 
 
@@ -39,8 +46,20 @@ def inventory(entries: DataFrame, least: int = 25, words: int = 5, low: int = 2,
     return kept.join(g.select("name_key"), "name_key", "left_semi")
 
 
+def bulk_candidates(members: DataFrame, statements: DataFrame, decisions: DataFrame, least: int = 60) -> DataFrame:
+    """Pairs of one inventory name that share long quotes, however many entries hold a quote, with how their years relate
+    and what reviewers have said (E9, A22 to A24, J26). members: entry_id, name_key, year. statements: entry_id, text_sha256, chars."""
+    long_ = statements.where(F.col("chars") >= least).join(members.select("entry_id", "name_key"), "entry_id")
+    got = pairs.shared_text_pairs(long_, "entry_id", "text_sha256", within="name_key")
+    l, r = members.select(F.col("entry_id").alias("left_id"), "name_key", F.col("year").alias("__l")), members.select(F.col("entry_id").alias("right_id"), F.col("year").alias("__r"))
+    d = decisions.select(*pairs.ordered("left_id", "right_id"), "decision")
+    got = got.join(l, "left_id").join(r, "right_id").join(d, ["left_id", "right_id"], "left")
+    return got.select("left_id", "right_id", "name_key", "shared", pairs.literal_priority(F.col("shared")).alias("priority"), chronology.date_relation(F.col("__l"), F.col("__r")).alias("date_relation"), "decision")
+
+
 def literal_candidates(members: DataFrame, statements: DataFrame, cap: int | None = 20, least: int = 60) -> DataFrame:
-    """Pairs of one name that share long quotes (E9, E10). statements: entry_id, text_sha256, chars."""
+    """Pairs of one name that share long quotes, of which up to `cap` entries of the name hold each (E10). statements: entry_id,
+    text_sha256, chars."""
     long_ = statements.where(F.col("chars") >= least).join(members.select("entry_id", "name_key"), "entry_id")
     got = pairs.shared_text_pairs(long_, "entry_id", "text_sha256", cap=cap, within="name_key")
     names = members.select(F.col("entry_id").alias("left_id"), "name_key")
@@ -48,8 +67,17 @@ def literal_candidates(members: DataFrame, statements: DataFrame, cap: int | Non
     return got.withColumn("priority", pairs.long_name_priority(F.col("shared"), F.size(F.split("name_key", " "))))
 
 
-def relationship_candidates(features: DataFrame, group: str = "name_key", most_group: int | None = 20) -> DataFrame:
-    """Pairs of a group with common teachers or students (E11, E20). features: entry_id, kind, name and the group."""
+def features(segments: DataFrame, pages: DataFrame, most: int = SLICE) -> DataFrame:
+    """entry_id, kind, name: teachers and students that the beginning of each biography's opening lists, of which `most`
+    characters are looked at (J24, T10)."""
+    opening = segments.where("role = 'opening'").select(F.col("biography_id").alias("entry_id"), "page_id", "start_offset", "end_offset")
+    text = opening.join(pages.select("page_id", "text"), "page_id").select("entry_id", relationships(F.expr(f"substring(text, start_offset + 1, least(end_offset - start_offset, {most}))")).alias("r"))
+    both = F.array(*[F.struct(F.lit(k).alias("kind"), F.col("r")[k].alias("names")) for k in ("teachers", "students")])
+    return text.select("entry_id", F.explode(both).alias("k")).select("entry_id", "k.kind", F.explode("k.names").alias("name"))
+
+
+def relationship_candidates(features: DataFrame, group: str = "name_key", most_group: int | None = None) -> DataFrame:
+    """Pairs of a group with common teachers or students (E11). features: entry_id, kind, name and the group."""
     parts = []
     for kind in ("teachers", "students"):
         got = pairs.overlap_pairs(features.where(F.col("kind") == kind), group, "entry_id", "name", most_group=most_group)
@@ -60,6 +88,29 @@ def relationship_candidates(features: DataFrame, group: str = "name_key", most_g
     return both.withColumn("priority", pairs.overlap_priority(F.size("teachers"), F.size("students")))
 
 
+def relationship_gaps(features: DataFrame, view: DataFrame, group: str = "name_key", most_group: int = 20) -> DataFrame:
+    """Pairs of a name's entries that have common teachers or students and two identities, with these and their books.
+
+    features: entry_id, kind, name and the group. Names of more than `most_group` entries are left out, as in the queue that
+    reviewers get.
+    """
+    ids = view.select("entry_id", "identity_id", "book_id")
+    side = lambda s: ids.select(F.col("entry_id").alias(f"{s}_id"), F.col("identity_id").alias(f"{s}_identity"), F.col("book_id").alias(f"{s}_book"))
+    small = view.groupBy(group).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") <= most_group).select(group)
+    got = relationship_candidates(features.join(small, group, "left_semi"), group).join(side("left"), "left_id").join(side("right"), "right_id")
+    return got.where("left_identity <> right_identity")
+
+
+def variant_candidates(features: DataFrame, family: str = "bucket_id") -> DataFrame:
+    """Pairs of a spelling family with unlike names and common teachers or students (E12): both_lists_3plus or review_overlap.
+
+    features: entry_id, name_key, kind, name and the family.
+    """
+    names = features.select("entry_id", "name_key").distinct()
+    got = relationship_candidates(features, family).join(names.select(F.col("entry_id").alias("left_id"), F.col("name_key").alias("__l")), "left_id").join(names.select(F.col("entry_id").alias("right_id"), F.col("name_key").alias("__r")), "right_id")
+    return got.where("__l <> __r").withColumn("priority", F.when(F.col("priority") == "both_lists_3plus", F.col("priority")).otherwise("review_overlap")).drop("__l", "__r")
+
+
 def variant_entries(entries: DataFrame) -> DataFrame:
     """entry_id, name_key, bucket_id of spelling families with two name keys or more."""
     sig = entries.withColumn("signature", signature(F.col("name_key")))
@@ -118,6 +169,20 @@ def clusters(links: DataFrame, prefix: str = "prov-") -> DataFrame:
     return c.join(named, "root")
 
 
+def evidence_links(**stages: DataFrame) -> DataFrame:
+    """All links (left_id, right_id) of the stages, each tagged with its stage's name (X2): literal=..., variant=..., relationship=..."""
+    tagged = [df.select("left_id", "right_id", F.lit(kind).alias("kind")) for kind, df in stages.items()]
+    out = tagged[0]
+    for df in tagged[1:]:
+        out = out.unionByName(df)
+    return out
+
+
+def link_kinds(links: DataFrame) -> DataFrame:
+    """One row a pair, with the kinds of its evidence."""
+    return links.groupBy("left_id", "right_id").agg(F.array_join(F.array_sort(F.collect_set("kind")), ",").alias("kind"))
+
+
 def unified_view(entries: DataFrame, links: DataFrame, decisions: DataFrame, reviewed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(entry_id, identity_id, identity_kind, ...) of every entry, and what became of each link.
 
@@ -134,8 +199,8 @@ def unified_view(entries: DataFrame, links: DataFrame, decisions: DataFrame, rev
     return got.select(*entries.columns, identity.alias("identity_id"), kind.alias("identity_kind")), judged
 
 
-def gap_queue(groups: DataFrame, view: DataFrame) -> DataFrame:
-    """Names whose biographies stay under two identities or more, by priority."""
+def gap_queue(groups: DataFrame, view: DataFrame, least_spaces: int = 4) -> DataFrame:
+    """Names whose biographies stay under two identities or more, by priority."""
     kinds = view.groupBy("name_key").agg(
         F.countDistinct("identity_id").alias("identities"),
         F.count_if(F.col("identity_kind").isin("reviewed_person", "needs_review")).alias("reviewed_entries"),
@@ -145,7 +210,7 @@ def gap_queue(groups: DataFrame, view: DataFrame) -> DataFrame:
     got = groups.where("entry_count >= 2 AND biography_count >= 2").join(kinds.where("identities >= 2"), "name_key")
     cross = (F.col("distinct_books") >= 2) & (F.col("biography_count") >= 2)
     spaces = F.length("name_key") - F.length(F.replace("name_key", F.lit(" "), F.lit("")))
-    return got.withColumn("priority", F.when(F.col("name_key").rlike(CHAIN_WORDS), "suspected_heading_noise").when(cross & (spaces >= 4), "cross_book_long_name").when(cross, "cross_book_short_name").otherwise("same_book_or_index"))
+    return got.withColumn("priority", F.when(F.col("name_key").rlike(CHAIN_WORDS), "suspected_heading_noise").when(cross & (spaces >= least_spaces), "cross_book_long_name").when(cross, "cross_book_short_name").otherwise("same_book_or_index"))
 
 
 def identity_dates(view: DataFrame, automatic: DataFrame, reviewed: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -183,6 +248,110 @@ def incomplete_persons(person_entries: DataFrame, decisions: DataFrame) -> DataF
     return got.where("missing > 0 OR n < 2").select("person_id", "n", "missing")
 
 
+def date_grouping(members: DataFrame, evidence: DataFrame, claims: DataFrame) -> DataFrame:
+    """name_key, its distinct years from evidence and reviewers' claims, and their bucket; names without a year have none.
+
+    members: name_key. evidence, claims: name_key, year.
+    """
+    years = evidence.select("name_key", "year").union(claims.select("name_key", "year")).where("year IS NOT NULL").distinct()
+    return members.select("name_key").distinct().join(chronology.decimal_bucket(years, "name_key", "year"), "name_key", "left").withColumn("years", F.coalesce("years", F.lit("")))
+
+
+def refresh_dates(grouping: DataFrame, evidence: DataFrame, claims: DataFrame, keys: list[str]) -> DataFrame:
+    """grouping with the names `keys` grouped anew; all others stay as they are and nothing of them is read (E5, K3)."""
+    own = grouping.sparkSession.createDataFrame([(k,) for k in keys], "name_key string")
+    fresh = date_grouping(own, evidence.where(F.col("name_key").isin(keys)), claims.where(F.col("name_key").isin(keys)))
+    return upsert(grouping, fresh.select(*grouping.columns), ["name_key"])
+
+
+#: Names in the order in which reviewers look at them.
+TRIAGE = ("conflicting_dates", "matching_dates", "one_dated")
+
+
+def triage_list(groups: DataFrame, limit: int = 100) -> DataFrame:
+    """The first names to review: by triage status, then those of most entries. groups: name_key, entries, triage_status."""
+    rank = F.coalesce(*[F.when(F.col("triage_status") == s, i) for i, s in enumerate(TRIAGE)], F.lit(len(TRIAGE)))
+    return page(groups, [rank, F.desc("entries"), F.col("name_key")], limit)
+
+
+def _person_pairs(decisions: DataFrame, ids: list[str]) -> None:
+    """Raises unless every pair of the entries is decided as the same. ids: a person's entries."""
+    ids = sorted(ids)
+    if len(set(ids)) != len(ids) or len(ids) < 2:
+        raise ValueError("a person needs two different entries or more")
+    own = decisions.where(F.col("left_id").isin(ids) & F.col("right_id").isin(ids) & (F.col("decision") == "same"))
+    have = {(r[0], r[1]) for r in own.select(*pairs.ordered("left_id", "right_id")).distinct().collect()}
+    lacking = [(a, b) for i, a in enumerate(ids) for b in ids[i + 1 :] if (a, b) not in have]
+    if lacking:
+        raise ValueError(f"every pair needs an explicit decision that it is the same: {' / '.join(lacking[0])}")
+
+
+REGISTRY = {
+    "persons": "person_id string, display_name string, status string, evidence_sha256 string, created_at timestamp, updated_at timestamp",
+    "person_entries": "entry_id string, person_id string",
+    "events": "person_id string, action string, entry_id string, reviewer string, reason string, recorded_at timestamp",
+}
+
+
+def empty_registry(spark) -> dict[str, DataFrame]:
+    return {name: spark.createDataFrame([], schema) for name, schema in REGISTRY.items()}
+
+
+def _registered(registry: dict[str, DataFrame], decisions: DataFrame, evidence: DataFrame, person_id: str, name: str | None, old: list[str], new: list[str], action: str, reviewer: str, reason: str) -> dict[str, DataFrame]:
+    if not reviewer.strip() or not reason.strip() or (name is not None and not name.strip()):
+        raise ValueError("a name, a reviewer and a reason are required")
+    _person_pairs(decisions, old + new)
+    spark = evidence.sparkSession
+    taken = registry["person_entries"].where(F.col("entry_id").isin(new)).limit(1).count()
+    if taken:
+        raise ValueError("an entry belongs to a person already")
+    rows = evidence.where(F.col("entry_id").isin(old + new)).withColumn("person_id", F.lit(person_id))
+    print_ = evidence_fingerprint(rows, "person_id", *evidence.columns).first()
+    if rows.select("entry_id").distinct().count() != len(old) + len(new):
+        raise ValueError("an entry has no evidence")
+    now = F.current_timestamp()
+    entries = spark.createDataFrame([(e, person_id) for e in new], REGISTRY["person_entries"])
+    event = spark.createDataFrame([(person_id, action, new[0] if action == "add" else None, reviewer, reason)], "person_id string, action string, entry_id string, reviewer string, reason string").withColumn("recorded_at", now)
+    if action == "create":
+        own = spark.createDataFrame([(person_id, name, "reviewed", print_["evidence_sha256"])], "person_id string, display_name string, status string, evidence_sha256 string").withColumn("created_at", now).withColumn("updated_at", now)
+        persons = registry["persons"].unionByName(own)
+    else:
+        mine = F.col("person_id") == person_id
+        persons = registry["persons"].withColumn("evidence_sha256", F.when(mine, F.lit(print_["evidence_sha256"])).otherwise(F.col("evidence_sha256"))).withColumn("updated_at", F.when(mine, now).otherwise(F.col("updated_at")))
+    return {"persons": persons, "person_entries": registry["person_entries"].unionByName(entries), "events": registry["events"].unionByName(event)}
+
+
+def create_person(registry: dict[str, DataFrame], decisions: DataFrame, evidence: DataFrame, a: str, b: str, name: str, reviewer: str, reason: str) -> tuple[str, dict[str, DataFrame]]:
+    """A person of two entries that reviewers have decided to be the same, and the registry with it.
+
+    evidence: entry_id and what is known of it; its fingerprint is kept with the person. The id is made of the entries.
+    """
+    person = "person-" + hashlib.sha256("\u0000".join(sorted((a, b))).encode()).hexdigest()[:32]
+    return person, _registered(registry, decisions, evidence, person, name, [], [a, b], "create", reviewer, reason)
+
+
+def add_to_person(registry: dict[str, DataFrame], decisions: DataFrame, evidence: DataFrame, person_id: str, entry_id: str, reviewer: str, reason: str) -> dict[str, DataFrame]:
+    """The registry with one more entry of a person: it must be the same as every one of them."""
+    old = [r["entry_id"] for r in registry["person_entries"].where(F.col("person_id") == person_id).select("entry_id").collect()]
+    if not old:
+        raise ValueError("unknown person")
+    return _registered(registry, decisions, evidence, person_id, None, old, [entry_id], "add", reviewer, reason)
+
+
+def audit_persons(registry: dict[str, DataFrame], decisions: DataFrame) -> DataFrame:
+    """persons, with those that lack a decision marked needs_review."""
+    lacking = incomplete_persons(registry["person_entries"], decisions).select("person_id", F.lit(True).alias("__l"))
+    return registry["persons"].join(lacking, "person_id", "left").withColumn("status", F.when(F.col("__l"), "needs_review").otherwise(F.col("status"))).drop("__l")
+
+
+def show_person(registry: dict[str, DataFrame], person_id: str) -> DataFrame:
+    """One row: the person, its entries, and its events in their order."""
+    own = lambda t: registry[t].where(F.col("person_id") == person_id)
+    e = own("person_entries").groupBy("person_id").agg(F.array_sort(F.collect_list("entry_id")).alias("entries"))
+    v = own("events").groupBy("person_id").agg(F.array_sort(F.collect_list(F.struct("recorded_at", "action", "entry_id", "reviewer", "reason"))).alias("events"))
+    return own("persons").join(e, "person_id", "left").join(v, "person_id", "left")
+
+
 def evidence_fingerprint(rows: DataFrame, person: str, *fields: str) -> DataFrame:
     """A person's evidence in one canonical order, hashed (A29): a changed decision or source shows."""
     items = F.sort_array(F.collect_set(F.to_json(F.struct(*fields))))
@@ -213,10 +382,8 @@ def date_claims(claims: DataFrame, segments: DataFrame, pages: DataFrame) -> Dat
     claims: entry_id, page_id, quote, year. Occurrences may overlap each other.
     """
     rows = claims.join(segments.select(F.col("biography_id").alias("entry_id"), "page_id", "start_offset", "end_offset"), ["entry_id", "page_id"]).join(pages.select("page_id", "text"), "page_id")
-    inside = F.expr("substring(text, start_offset + 1, end_offset - start_offset)")
-    last = F.length(inside) - F.length("quote")
-    places = F.when((F.length("quote") > 0) & (last >= 0), F.filter(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.substring(inside, i + 1, F.length("quote")) == F.col("quote"))).otherwise(F.array().cast("array<int>"))
-    found = rows.select("entry_id", "page_id", "quote", "year", F.explode(F.transform(places, lambda i: i + F.col("start_offset"))).alias("start_offset"))
+    at = places(F.expr("substring(text, start_offset + 1, end_offset - start_offset)"), F.col("quote"))
+    found = rows.select("entry_id", "page_id", "quote", "year", F.explode(F.transform(at, lambda i: i + F.col("start_offset"))).alias("start_offset"))
     one = found.groupBy("entry_id", "page_id", "quote", "year").agg(F.count(F.lit(1)).alias("n"), F.min("start_offset").alias("start_offset"))
     got = claims.join(one, ["entry_id", "page_id", "quote", "year"], "left")
     got = audit.refuse(got, F.coalesce(F.col("n") != 1, F.lit(True)), "a quote must stand exactly once in its biography")

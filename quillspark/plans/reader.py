@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from quillspark.functions.lists import DECOMPOSED_FROM, DECOMPOSED_TO
+from quillspark.functions.native import SPACE, strip
 from quillspark.functions.passages import toc_level
 
 
@@ -56,6 +60,46 @@ def ranked(rows: DataFrame, key: str, heading: Column, graded: Column, priority:
     return once.orderBy(F.desc("__h"), F.desc("__g"), "__p", key).limit(limit).drop("__h", "__g", "__p")
 
 
+# Judgements that a heading may state; books by their rank, with one that companions come first in.
+ASSESSMENT = (
+    "جبل الحفظ وإمام الدنيا في فقه الحديث|ليس بثقة|ليس بالقوي|متهم بالكذب|كذاب|ضعيف(?: جدا)?|متروك|مجهول|لين الحديث|سيئ الحفظ|"
+    "ثقة(?: ثبت| حافظ| مأمون)?|صدوق(?: له أوهام| يخطئ| سيئ الحفظ)?|مقبول|لا بأس به|صحابي(?:ة)?"
+)
+COMPANIONS = ("سلم الوصول إلى طبقات الفحول", "الإصابة في تمييز الصحابة", "الاستيعاب في معرفة الأصحاب", "أسد الغابة في معرفة الصحابة", "معرفة الصحابة")
+SUMMARY, REVISION, COMPLETION, NOT_COMPLETION = "تقريب التهذيب", "تهذيب التهذيب", "تهذيب الكمال", ("إكمال", "تذهيب")
+
+
+def person_fold(name: Column) -> Column:
+    """A name as the reader compares headings (F17): no marks, plain alef and yeh, `son of` in one form, single spaces."""
+    t = F.regexp_replace(F.translate(name, DECOMPOSED_FROM, DECOMPOSED_TO), "[\u064b-\u065f\u0670]", "")
+    t = F.regexp_replace(F.translate(t, "ٱى", "اي"), rf"(\A|{SPACE})ابن(?={SPACE}|\z)", "$1بن")
+    return strip(F.regexp_replace(F.regexp_replace(t, "[\u200b-\u200f\u0640]", ""), f"{SPACE}+", " "))
+
+
+def heading_match(title: Column, name: Column) -> Column:
+    """Whether a heading, without its numbering, begins with the name."""
+    head = F.regexp_replace(person_fold(title), rf"\A(?:{SPACE}|[\p{{Nd}}.()\-–«»\"“”])+", "")
+    return head.startswith(person_fold(name))
+
+
+def priority(title: Column, companion: Column) -> Column:
+    """A book's rank among a person's sources; books on companions come second if the person is one."""
+    of = lambda *names: reduce(lambda a, b: a | b, (F.contains(title, F.lit(n)) for n in names))
+    one = companion.cast("int")
+    return F.when(of(SUMMARY), 0).when(companion & of(*COMPANIONS), 1).when(of(REVISION), 1 + one).when(of(COMPLETION) & ~of(*NOT_COMPLETION), 2 + one).when(of(*COMPANIONS), 4).otherwise(5)
+
+
+def assessment(heading: Column, title: Column) -> Column:
+    """The judgement that a heading of the summary states, null elsewhere."""
+    found = F.regexp_extract(heading, f"({ASSESSMENT})", 1)
+    return F.when(F.contains(title, F.lit(SUMMARY)) & (found != ""), found)
+
+
+def contents_between(headings: DataFrame, first: int, last: int, page: str = "page") -> DataFrame:
+    """Headings of a volume: those on its pages, from first to last."""
+    return headings.where(F.col(page).between(first, last))
+
+
 def note_index(typed: DataFrame, ink: DataFrame, pages: DataFrame) -> DataFrame:
     """All notes, typed or drawn, in page order; those whose page is unknown come last.
 

@@ -136,15 +136,3 @@ def extraction_regions(t: Tables) -> DataFrame:
 
     pages, heads, _ = _book_pages(t)
     return extraction.regions(pages, heads).drop("source_id")
-
-
-@query()
-def extraction_checks(t: Tables) -> DataFrame:
-    """Regions, statements and all of their audits over every page: each count must be zero."""
-    from quillspark.plans import extraction
-    from quillspark.storage import materialize
-
-    pages, heads, notes = _book_pages(t)
-    found = materialize(extraction.regions(pages, heads))
-    said = materialize(extraction.statements(pages, found, notes))
-    return extraction.checks(pages, heads, notes, found, said)

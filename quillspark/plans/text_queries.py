@@ -1,78 +1,24 @@
-"""Text functions on inline Arabic rows and on the pages table."""
+"""The HTML parser on the pages table."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.functions import arabic, tables
+from quillspark.functions import tables
 from quillspark.plans.base import Registry, Tables
 
 query = Registry()
 
-NAMES = ["أَحْمَد بن محمد", "ابن عبد الله", "أبو عبد الله بن رفاعة", "أبي عبدالله بن رفاعه", "الرؤاسي", "الرواسي", "محمد  بن\tأحمد بن علي", "سنة ١٢٣ هـ"]
-_NAME_ROWS = ", ".join(f"('{x}')" for x in NAMES)
-_MARKS = r"[\x{0610}-\x{061a}\x{064b}-\x{065f}\x{0670}\x{06d6}-\x{06ed}\x{0640}\x{200b}-\x{200f}\x{feff}]"
-_NORM = f"lower(trim(regexp_replace(regexp_replace(translate(regexp_replace(name, '{_MARKS}', '', 'g'), 'أإآٱى٠١٢٣٤٥٦٧٨٩', 'ااااي0123456789'), '(^|[^\\pL\\pN_])ابن([^\\pL\\pN_]|$)', '\\1بن\\2', 'g'), '\\s+', ' ', 'g')))"
-
-
-@query(f"SELECT name, {_NORM} AS normalized FROM (VALUES {_NAME_ROWS}) AS t(name)")
-def name_normalize(t: Tables) -> DataFrame:
-    return t._spark.createDataFrame([(x,) for x in NAMES], "name string").select("name", arabic.normalize(F.col("name")).alias("normalized"))
-
-
-@query()
-def name_signatures(t: Tables) -> DataFrame:
-    got = t._spark.createDataFrame([(x,) for x in NAMES], "name string")
-    return got.select(arabic.signature(F.col("name")).alias("signature"), arabic.name_key(F.col("name")).alias("name_key")).groupBy("signature").agg(F.count(F.lit(1)).alias("n"), F.min("name_key").alias("name_key"))
-
-
-DATES = {"249 هـ": 249, "١٣ هـ": 13, "تسع وعشرين ومائتين": 229, "ثلاث مائة وخمس عشرة": 315, "تسعمائة وخمس": 905, "الف واربع مائة وخمس": 1405, "نحو مائتين": None, "سبعين": None, "200 م": None, "230 أو 231": None, "مائتين ونيف": None}
-_DATE_ROWS = ", ".join(f"('{k}', {v if v is not None else 'NULL'}::INT)" for k, v in DATES.items())
-
-
-@query(f"SELECT * FROM (VALUES {_DATE_ROWS}) AS t(fragment, year)")
-def death_year_parse(t: Tables) -> DataFrame:
-    return t._spark.createDataFrame([(x,) for x in DATES], "fragment string").select("fragment", tables.parse_year("fragment")["year"].alias("year"))
-
-
-STATEMENTS = ["رَوَى عَنْ زيد. رَوَى عَنْهُ ابنه. قال أحمد: ثِقَةٌ.", "قال أحمد: إسناده ضعيف.", "ولد سنة مائتين وتوفي سنة ثلاثمائة."]
-
-
-@query()
-def statement_triggers(t: Tables) -> DataFrame:
-    rows = t._spark.createDataFrame([(i, x) for i, x in enumerate(STATEMENTS)], "id int, text string").withColumn("start_offset", F.lit(0)).withColumn("end_offset", F.length("text")).withColumn("footnotes", F.array().cast(tables.NOTES))
-    got = tables.statements_of(rows)
-    return got.select("id", "start", "end", "quote", "origin", "subject_status", "attribution_text", F.array_join(F.transform("triggers", lambda x: x["kind"]), ",").alias("kinds"))
-
-
-LISTS = "روى عن: إبراهيم التيمي، وخيثمة بن عبد الرحمن. روى عنه: عبد الأعلى بن حماد، وأبو داود الطيالسي."
-
-
-@query("SELECT * FROM (VALUES ('teachers', 'ابراهيم التيمي'), ('teachers', 'خيثمة بن عبد الرحمن'), ('students', 'عبد الاعلي بن حماد'), ('students', 'ابو داود الطيالسي')) AS t(role, name)")
-def relationships_extract(t: Tables) -> DataFrame:
-    r = t._spark.createDataFrame([(LISTS,)], "text string").select(tables.relationships("text").alias("r"))
-    return r.select(F.lit("teachers").alias("role"), F.explode("r.teachers").alias("name")).unionAll(r.select(F.lit("students").alias("role"), F.explode("r.students").alias("name")))
-
-
-CHAIN = "قال: حدثنا عبد الله بن يوسف، قال: أخبرنا مالك عن نافع عن ابن عمر أن رسول الله قال"
-
-
-@query()
-def chain_parse(t: Tables) -> DataFrame:
-    """Names of a chain, each with the next one (J30): an edge that teacher lists are asked for."""
-    got = t._spark.createDataFrame([(1, CHAIN)], "id int, text string").select("id", tables.chain("text").alias("c"))
-    return got.select("id", F.posexplode("c").alias("i", "name"), "c").select("id", "i", "name", F.get("c", F.col("i") + 1).alias("next_name"))
-
-
-@query()
-def grade_claims(t: Tables) -> DataFrame:
-    rows = [(1, "12 - حديث متن إسناده ضعيف", [0], []), (2, "13 - هذا حديث حسن\nوقال: إسناده ضعيف", [0], [(19, 36)]), (3, "هذا حديث صحيح", [], [])]
-    df = t._spark.createDataFrame([(i, x, s, [{"start": a, "end": b} for a, b in n]) for i, x, s, n in rows], f"id int, text string, numbers array<int>, notes {tables.NOTES}")
-    return df.select("id", tables.grade("text", "numbers", "notes").alias("g")).select("id", "g.number", "g.status", F.size("g.claims").alias("claims"))
-
 
 @query()
 def html_fallback_pages(t: Tables) -> DataFrame:
     got = t.pages.select("page_id", tables.page("html").alias("p"))
     return got.select("page_id", F.length("p.text").cast("long").alias("chars"), F.sha2("p.text", 256).alias("sha256"), "p.title", "p.fallback", "p.pages")
+
+
+@query("SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, NOT contains(html, 'PageText') AS fallback, 1 AS pages FROM pages")
+def html_page_shape(t: Tables) -> DataFrame:
+    """Title, layout and number of pages as the parser finds them."""
+    got = t.pages.select("page_id", tables.page("html").alias("p"))
+    return got.select("page_id", F.regexp_replace(F.regexp_replace(F.regexp_replace("p.title", "&", "&amp;"), "<", "&lt;"), ">", "&gt;").alias("title"), "p.fallback", "p.pages")

@@ -14,6 +14,7 @@ from pathlib import PurePosixPath
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quillspark.operators.corpus import content_id
@@ -21,7 +22,9 @@ from quillspark.sources import html_pages
 
 SPAN = "struct<kind:string,start_offset:int,end_offset:int,anchor:string>"
 PAGE = f"struct<ordinal:int,text:string,spans:array<{SPAN}>,titles:array<struct<start:int,end:int>>,number_starts:array<int>,header:string,part:string,label:string,anchor:string,raw_start:long,raw_end:long>"
-MEMBER = f"archive_id string, archive_name string, zip_index int, zip_path string, source_group string, raw_sha256 string, byte_size long, encoding string, status string, error string, fallback boolean, metadata map<string,string>, pages array<{PAGE}>"
+MEMBER = f"archive_id string, archive_name string, zip_index int, zip_path string, source_group string, raw_sha256 string, byte_size long, encoding string, status string, error string, fallback boolean, marker_count int, metadata map<string,string>, pages array<{PAGE}>"
+
+RAW = "archive_id string, archive_name string, zip_index int, zip_path string, source_group string, raw binary"
 
 
 def members(content: bytes) -> list[tuple[int, str, str]]:
@@ -41,35 +44,53 @@ def _page_rows(pages: list[dict]) -> list[dict]:
     return [p | {"spans": [dict(zip(spans, s, strict=True)) for s in p["spans"]], "titles": [{"start": a, "end": b} for a, b in p["titles"]]} for p in pages]
 
 
-def _files(batches, limit: int | None, groups: frozenset[str] | None, known: frozenset[str]):
+def _members(batches):
+    """Each HTML member of the archives, unread: the bytes, and where they come from."""
     for pdf in batches:
         for path, content in zip(pdf["path"], pdf["content"], strict=True):
-            archive, done = hashlib.sha256(content).hexdigest(), 0
+            archive = hashlib.sha256(content).hexdigest()
             with zipfile.ZipFile(io.BytesIO(content)) as z:
                 for i, name, group in members(content):
-                    source = hashlib.sha256(f"{archive}\0{i}\0{name}".encode()).hexdigest()
-                    if source in known or (groups and group not in groups) or (limit is not None and done >= limit):
-                        continue
-                    done += 1
-                    raw = z.read(z.infolist()[i])
-                    row = {"archive_id": archive, "archive_name": PurePosixPath(path).name, "zip_index": i, "zip_path": name, "source_group": group, "raw_sha256": hashlib.sha256(raw).hexdigest(), "byte_size": len(raw)}
-                    try:
-                        got = html_pages.parse(raw)
-                        row |= {"encoding": got["encoding"], "status": "ok", "error": None, "fallback": got["fallback"], "metadata": got["metadata"], "pages": _page_rows(got["pages"])}
-                    except Exception as e:  # kept as the file's own row
-                        row |= {"encoding": "unknown", "status": "failed", "error": str(e), "fallback": False, "metadata": {}, "pages": []}
-                    yield pd.DataFrame([row])
+                    yield pd.DataFrame([{"archive_id": archive, "archive_name": PurePosixPath(path).name, "zip_index": i, "zip_path": name, "source_group": group, "raw": z.read(z.infolist()[i])}])
+
+
+def _parsed(batches):
+    for pdf in batches:
+        for r in pdf.to_dict("records"):
+            raw = r.pop("raw")
+            row = r | {"raw_sha256": hashlib.sha256(raw).hexdigest(), "byte_size": len(raw)}
+            try:
+                got = html_pages.parse(raw)
+                row |= {"encoding": got["encoding"], "status": "ok", "error": None, "fallback": got["fallback"], "marker_count": got["markers"], "metadata": got["metadata"], "pages": _page_rows(got["pages"])}
+            except Exception as e:  # kept as the file's own row
+                row |= {"encoding": "unknown", "status": "failed", "error": str(e), "fallback": False, "marker_count": 0, "metadata": {}, "pages": []}
+            yield pd.DataFrame([row])
 
 
 def read_files(spark: SparkSession, path: str, limit: int | None = None, groups: list[str] | None = None, known: DataFrame | None = None) -> DataFrame:
-    """A row for each HTML member, with its pages. known: files (id, status) of earlier runs; those that are ok are skipped."""
-    done = frozenset(r["id"] for r in known.where("status = 'ok'").select("id").collect()) if known is not None else frozenset()
-    raw = spark.read.format("binaryFile").load(path).select("path", "content")
-    allowed = frozenset(groups) if groups else None
-    got = raw.mapInPandas(lambda b: _files(b, limit, allowed, done), MEMBER)
+    """A row for each HTML member, with its pages. known: files (id, status) of earlier runs; those that are ok are skipped.
+
+    An archive is unpacked by one task, as Spark reads a binary file as one value of up to 2 GB; its members are then dealt
+    out, and parsed apart. limit: members of each archive, those that are skipped not counted.
+    """
+    raw = spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(_members, RAW)
+    raw = raw.withColumn("id", content_id(F.col("archive_id"), F.col("zip_index").cast("string"), F.col("zip_path")))
+    if groups:
+        raw = raw.where(F.col("source_group").isin(groups))
+    if known is not None:
+        raw = raw.join(known.where("status = 'ok'").select("id"), "id", "left_anti")
+    if limit is not None:
+        raw = raw.withColumn("__n", F.row_number().over(W.partitionBy("archive_id").orderBy("zip_index"))).where(F.col("__n") <= limit).drop("__n")
+    got = raw.drop("id").repartition("archive_id", "zip_index").mapInPandas(_parsed, MEMBER)
     return got.withColumn("id", content_id(F.col("archive_id"), F.col("zip_index").cast("string"), F.col("zip_path"))).withColumn("book_id", content_id(F.col("archive_id"), F.col("source_group")))
 
 
+def archive_table(files: DataFrame) -> DataFrame:
+    """One row an archive: name, members, whether all of them were read, and when."""
+    ok = F.count_if(F.col("status") == "ok")
+    return files.groupBy("archive_id").agg(F.min("archive_name").alias("filename"), F.count(F.lit(1)).alias("files"), F.when(ok == F.count(F.lit(1)), "complete").otherwise("partial").alias("status")).withColumn("imported_at", F.current_timestamp())
+
+
 def books(files: DataFrame) -> DataFrame:
     """One row for each source group, with the metadata of its first file that has any."""
     meta = F.col("metadata")
@@ -97,6 +118,43 @@ def raw_bytes(spark: SparkSession, path: str, file: dict, start: int, end: int)
     return raw[start:end]
 
 
+def checksums(spark: SparkSession, path: str) -> DataFrame:
+    """path, length, modified, sha256 of files, read as whole values."""
+    got = spark.read.format("binaryFile").load(path)
+    return got.select("path", "length", F.col("modificationTime").alias("modified"), F.sha2("content", 256).alias("sha256"))
+
+
+def verified(spark: SparkSession, path: str, expected: dict[str, str], memo: DataFrame | None = None) -> DataFrame:
+    """checksums() of a release's parts by file name, failing on one that is missing or differs (S17). memo: an earlier
+    result; files of the same length and time aren't read again (S18)."""
+    name = F.element_at(F.split("path", "/"), -1)
+    listed = spark.read.format("binaryFile").load(path).select("path", "length", F.col("modificationTime").alias("modified"))
+    fresh = listed if memo is None else listed.join(memo.select("path", "length", "modified"), ["path", "length", "modified"], "left_anti")
+    paths = [r["path"] for r in fresh.collect()]  # a release's parts
+    rows = memo.join(listed, ["path", "length", "modified"], "left_semi").select("path", "length", "modified", "sha256") if memo is not None else None
+    if paths:
+        new = checksums(spark, paths)
+        rows = new if rows is None else rows.unionByName(new)
+    found = {r["name"]: r["sha256"] for r in rows.select(name.alias("name"), "sha256").collect()}
+    wrong = sorted(n for n, sha in expected.items() if found.get(n) != sha)
+    if wrong:
+        raise ValueError(f"parts are missing or differ: {', '.join(wrong)}")
+    return rows
+
+
+def manifest(spark: SparkSession, path: str) -> dict:
+    """A release's JSON manifest."""
+    return spark.read.json(path, multiLine=True).first().asDict(recursive=True)
+
+
+def located(candidates: list[str], name: str) -> str:
+    """The archive of a name among several places, else the only one there is."""
+    exact = [c for c in candidates if PurePosixPath(c).name == name]
+    if not exact and len(candidates) != 1:
+        raise KeyError(f"no archive named {name}")
+    return (exact or candidates)[0]
+
+
 def reader_package(spark: SparkSession, path: str, prefix: str, schema: str) -> DataFrame:
     """Records of a JavaScript data file, `prefix` and a JSON array."""
     text = spark.read.text(path, wholetext=True).select(F.regexp_replace(F.expr(f"substring(value, {len(prefix) + 1})"), r";\s*$", "").alias("j"))

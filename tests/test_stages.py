@@ -6,9 +6,12 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
+from quillspark.functions.arabic import normalize
+from quillspark.operators import search
 from quillspark.operators.components import components
-from quillspark.plans import api, extraction, identity
+from quillspark.plans import api, chronicle, corpus, extraction, identity
 from quillspark.sources import archives
+from quillspark.storage import materialize
 from quillspark.streaming import ingest
 
 TEXTS = {
@@ -22,7 +25,7 @@ ENTRIES = [("a", "p1", "أحمد بن محمد بن زيد", True), ("chapter",
 
 
 @pytest.fixture(scope="module")
-def corpus(spark):
+def small(spark):
     pages = spark.createDataFrame([(p, s, "book", o, t) for p, (s, o, t) in TEXTS.items()], "page_id string, source_id string, book_id string, ordinal int, text string")
     rows = [(e, p, TEXTS[p][2].index(t), TEXTS[p][2].index(t) + len(t), t if bio else None) for e, p, t, bio in ENTRIES]
     entries = spark.createDataFrame(rows, "entry_id string, page_id string, start_offset int, end_offset int, name_label string")
@@ -32,8 +35,8 @@ def corpus(spark):
     return pages, entries, notes, found, extraction.statements(pages, found, notes).cache()
 
 
-def test_segments_and_owners(corpus):
-    pages, entries, notes, found, said = corpus
+def test_segments_and_owners(small):
+    pages, entries, notes, found, said = small
     seg = {(r.biography_id, r.page_id, r.role) for r in extraction.segments(found).collect()}
     assert {x[1:] for x in seg if x[0] == "a"} == {("p1", "opening"), ("p2", "continuation"), ("p3", "continuation")}
     rows = said.collect()
@@ -43,8 +46,8 @@ def test_segments_and_owners(corpus):
     assert len(twice) == 2 and len({r.text_sha256 for r in twice}) == 1
 
 
-def test_biographies_and_checks(corpus):
-    pages, entries, notes, found, said = corpus
+def test_biographies_and_checks(small):
+    pages, entries, notes, found, said = small
     bios = {r.biography_id: r for r in extraction.biographies(pages, entries, found, said).collect()}
     assert set(bios) == {"a", "b", "c"}
     assert bios["b"].boundary_status == "source_file_end_unresolved" and bios["a"].boundary_status == "next_recorded_heading"
@@ -95,11 +98,14 @@ def test_candidates_links_and_graph(spark):
     assert got == {("a", "b"): (2, "strong_short_name_review"), ("a", "c"): (1, "one_literal_review"), ("b", "c"): (1, "one_literal_review")}
     assert identity.literal_candidates(e, said, cap=2).count() == 1
     feats = [(x, k, n, "اسم") for x in "ab" for k, ns in (("teachers", "pqr"), ("students", "uvw")) for n in ns] + [("c", "teachers", "p", "اسم")]
+    feats_df = spark.createDataFrame(feats, "entry_id string, kind string, name string, name_key string")
     rel = identity.relationship_candidates(spark.createDataFrame(feats, "entry_id string, kind string, name string, name_key string"))
     assert {(r.left_id, r.right_id): r.priority for r in rel.collect()} == {("a", "b"): "both_lists_3plus", ("a", "c"): "weak_overlap", ("b", "c"): "weak_overlap"}
     view = e.withColumn("identity_id", F.concat(F.lit("single-"), "entry_id")).withColumn("identity_kind", F.lit("unlinked_entry"))
     none = spark.createDataFrame([], DECISIONS)
     assert [(r.left_id, r.right_id) for r in identity.relationship_links(rel, view, none).collect()] == [("a", "b")]
+    assert {(r.left_id, r.right_id, r.left_identity, r.right_book) for r in identity.relationship_gaps(feats_df, view).collect()} == {("a", "b", "single-a", "book1"), ("a", "c", "single-a", "book0"), ("b", "c", "single-b", "book0")}
+    assert identity.relationship_gaps(feats_df, view.withColumn("identity_id", F.lit("one"))).count() == 0 and identity.relationship_gaps(feats_df, view, most_group=2).count() == 0
     obs, near = identity.relationship_graph(rel.where("priority = 'both_lists_3plus'"), view)
     assert obs.count() == 12 and near.count() == 12
     gaps = identity.gap_queue(identity.name_groups(e), view)
@@ -134,8 +140,8 @@ def test_persons_need_all_pairs(spark):
     assert [(r.person_id, r.missing) for r in identity.incomplete_persons(people, same).collect()] == [("P", 1)]
 
 
-def test_date_claims_must_be_unique(spark, corpus):
-    pages, entries, _, found, _ = corpus
+def test_date_claims_must_be_unique(spark, small):
+    pages, entries, _, found, _ = small
     seg = extraction.segments(found)
     claim = lambda q: spark.createDataFrame([("b", "p3", q, 206)], "entry_id string, page_id string, quote string, year int")
     r = identity.date_claims(claim("ليس به بأس"), seg, pages).first()
@@ -146,7 +152,7 @@ def test_date_claims_must_be_unique(spark, corpus):
 
 
 def test_archive_to_tables_and_search(spark, tmp_path):
-    body = lambda x: f'<html><title>t</title><div class="PageText"><p>الكتاب: كتاب {x}</p></div><div class="PageText"><span class="title">1 - أسامة بن عمير بن عامر</span><p>روى عنه ابنه {x}</p></div></html>'
+    body = lambda x: f'<html><title>t</title><div class="PageText"><p>الكتاب: كتاب {x}</p></div><div class="PageText"><span class="title">1 - أسامة بن عمير بن عامر</span><p>روى عنه ابنه {x}</p><p>توفي سنة 230 هـ.</p></div></html>'
     with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
         z.writestr("exports/one.htm", body("أول"))
         z.writestr("exports/two.htm", body("ثان"))
@@ -157,23 +163,103 @@ def test_archive_to_tables_and_search(spark, tmp_path):
     assert archives.read_files(spark, str(tmp_path / "a.zip"), known=files).count() == 1
     assert archives.read_files(spark, str(tmp_path / "a.zip"), groups=["two"]).count() == 1
     assert archives.read_files(spark, str(tmp_path / "a.zip"), limit=2).count() == 2
-    assert {r.title for r in archives.books(files).collect()} == {"كتاب أول", "كتاب ثان"}
-    pages = archives.pages(files).cache()
+    t = {k: materialize(v) for k, v in corpus.build(files).items()}
+    assert [(r.files, r.status) for r in t["archives"].collect()] == [(3, "partial")]
+    assert {r.title for r in t["books"].collect()} == {"كتاب أول", "كتاب ثان"}
+    pages = t["pages"]
     assert pages.count() == 4 and pages.where("is_metadata").count() == 2
     file = files.where("source_group = 'one'").first().asDict()
     p = pages.where((F.col("source_id") == file["id"]) & (F.col("ordinal") == 1)).first()
     assert archives.raw_bytes(spark, str(tmp_path / "a.zip"), file, p.raw_start, p.raw_end).startswith(b'<div class="PageText"><span')
-    tables = {"pages": pages, "texts": pages.select("text_sha256", "text").dropDuplicates(["text_sha256"]), "books": archives.books(files)}
-    assert api.search_pages(tables, "أُسامة ابن عمير").count() == 2
-    assert api.search_pages(tables, "اسامة بن", "phrase", limit=1).first().has_more
-    assert api.search_pages(tables, "أسامة بن", "exact").count() == 2 and api.search_pages(tables, "اسامة بن", "exact").count() == 0
-    assert api.books(tables, "ثان").count() == 1
-    assert api.page_record(tables, p.page_id).first().previous_id is not None
+    # From entries to a chronology, statements and served records.
+    heads = t["entries"].collect()
+    assert len(heads) == 2 and all(p.text[e.start_offset : e.end_offset] == e.title for e in heads if e.page_id == p.page_id)
+    told = t["mentions"].collect()
+    assert {(m.kind, m.trigger) for m in told} == {("student_mention", "روى عنه"), ("family_mention", "ابنه")} and {m.entry_id for m in told} == {e.entry_id for e in heads}
+    t["records"] = materialize(chronicle.records(t["pages"], t["entries"], t["footnotes"]))
+    assert {(r.name_label, r.death_year) for r in t["records"].collect()} == {("أسامة بن عمير بن عامر", 230)}
+    named = t["entries"].join(t["records"].select("entry_id", "name_label"), "entry_id")
+    found = materialize(extraction.regions(pages, named))
+    said = materialize(extraction.statements(pages, found, t["footnotes"]))
+    assert {x["kind"] for r in said.collect() for x in r.triggers} == {"students", "family", "death"}
+    bios = t["biographies"] = materialize(extraction.biographies(pages, named, found, said))
+    assert all(r.violations == 0 for r in extraction.checks(pages, named, t["footnotes"], found, said, bios).collect())
+    t["segments"], t["statements"] = extraction.segments(found), said
+    rec = api.page_record(t, p.page_id).first()
+    assert rec.previous_id is not None and len(rec.entries) == 1 and len(rec.mentions) == 2 and rec.citation.title == "كتاب أول" and rec.source_count == 1
+    e = api.entry(t, rec.entries[0].entry_id).first()
+    assert e.text.startswith("1 - أسامة") and "روى عنه" in e.text
+    assert api.biography(t, rec.entries[0].entry_id).first().title == "كتاب أول"
+    assert api.biographies(t, "عمير").count() == 2 and api.biographies(t).count() == 2
+    assert api.statements(t, "ابنه", kind="family").count() == 2 and api.statements(t, origin="footnote").count() == 0
+    assert [r.source_entries for r in api.chronology(t).collect()] == [2]
+    assert api.search_entries(t, "أسامة").first().place == 0 and api.sources(t, p.text_sha256).count() == 1
+    assert api.search_pages(t, "أُسامة ابن عمير").count() == 2
+    hit = api.search_pages(t, "اسامة بن", "phrase", limit=1).first()
+    assert hit.has_more and "أسامة" in hit.excerpt.text
+    assert api.search_pages(t, "أسامة بن", "exact").count() == 2 and api.search_pages(t, "اسامة بن", "exact").count() == 0
+    # A stored index gives what the scan gives.
+    search.store(t["texts"], "text_sha256", normalize(F.col("text")), str(tmp_path / "i"), buckets=4)
+    index = search.Index(spark, str(tmp_path / "i"), "text_sha256", buckets=4)
+    for q, mode in (("أُسامة ابن عمير", "words"), ("اسامة بن", "phrase"), ("أسامة بن", "exact"), ("اسا", "prefix")):
+        a, b = ([(r.text_sha256, round(r.score, 9), r.excerpt.start) for r in api.search_pages(t, q, mode, index=i).collect()] for i in (None, index))
+        assert a == b and len(a) == 2
+    assert api.books(t, "ثان").count() == 1 and api.stats({"pages": pages}).first().rows == 4
     for q in ("", "?" * 3, "x" * 201):
         with pytest.raises(ValueError):
-            api.search_pages(tables, q)
+            api.search_pages(t, q)
     with pytest.raises(ValueError):
-        api.search_pages(tables, "x", "regex")
+        api.search_pages(t, "x", "regex")
+
+
+def test_releases(spark, tmp_path):
+    import hashlib
+
+    (tmp_path / "m.json").write_text('{"database_sha256": "abc", "parts": [{"name": "a.bin"}]}')
+    assert archives.manifest(spark, str(tmp_path / "m.json"))["database_sha256"] == "abc"
+    parts = tmp_path / "parts"
+    parts.mkdir()
+    (parts / "a.bin").write_bytes(b"one")
+    (parts / "b.bin").write_bytes(b"two")
+    sha = {n: hashlib.sha256(c).hexdigest() for n, c in (("a.bin", b"one"), ("b.bin", b"two"))}
+    memo = archives.verified(spark, str(parts), sha)
+    assert archives.verified(spark, str(parts), sha, memo).count() == 2
+    with pytest.raises(ValueError, match="b.bin"):
+        archives.verified(spark, str(parts), sha | {"b.bin": "0"})
+    assert archives.located(["/x/a.zip", "/y/b.zip"], "b.zip") == "/y/b.zip" and archives.located(["/x/a.zip"], "c.zip") == "/x/a.zip"
+    with pytest.raises(KeyError):
+        archives.located(["/x/a.zip", "/y/b.zip"], "c.zip")
+    t = spark.createDataFrame([("abc",)], "release_sha256 string")
+    assert identity.same_release(t, t) == "abc"
+    with pytest.raises(ValueError):
+        identity.same_release(t, spark.createDataFrame([("abd",)], "release_sha256 string"))
+
+
+def test_person_registry(spark):
+    same = spark.createDataFrame([("a", "b", "same"), ("c", "a", "same"), ("b", "c", "same"), ("a", "d", "same")], DECISIONS)
+    known = spark.createDataFrame([(x, f"name {x}", 200) for x in "abcd"], "entry_id string, name string, year int")
+    empty = identity.empty_registry(spark)
+    person, reg = identity.create_person(empty, same, known, "a", "b", "اسم", "r", "why")
+    first = identity.show_person(reg, person).first()
+    assert (first.status, first.entries, [e.action for e in first.events]) == ("reviewed", ["a", "b"], ["create"])
+    more = identity.add_to_person(reg, same, known, person, "c", "r", "why")
+    row = identity.show_person(more, person).first()
+    assert row.entries == ["a", "b", "c"] and len(row.events) == 2 and row.evidence_sha256 != first.evidence_sha256
+    for bad in (lambda: identity.add_to_person(reg, same, known, person, "d", "r", "why"), lambda: identity.add_to_person(reg, same, known, "x", "c", "r", "why"), lambda: identity.create_person(reg, same, known, "a", "c", "n", "r", "why"), lambda: identity.create_person(empty, same, known, "a", "b", " ", "r", "why")):
+        with pytest.raises(ValueError):
+            bad()
+    assert [r.status for r in identity.audit_persons(more, same).collect()] == ["reviewed"]
+    assert [r.status for r in identity.audit_persons(more, same.where("left_id <> 'b'")).collect()] == ["needs_review"]
+
+
+def test_late_corrections_group_their_names_anew(spark, tmp_path):
+    src, out = str(tmp_path / "s"), str(tmp_path / "o")
+    schema = "name string, year int"
+    for rows in ([("x", 201), ("y", 305)], [("x", 209)]):
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(src)
+        ingest.regroup_dates(spark.readStream.schema(schema).parquet(src), str(tmp_path / "c"), out, "name", "year", str(tmp_path / "ck")).awaitTermination(60)
+    got = {r.name: (r.years, r.bucket_size) for r in ingest.current_groups(spark, out, "name").collect()}
+    assert got == {"x": ("201,209", 10), "y": ("305", 1)}
 
 
 def test_chain_states(spark):
