@@ -64,7 +64,7 @@ def running(numbers: Column) -> Column:
 
 def matches(text: Column, pattern: str) -> Column:
     """array<struct<start,end,quote>> of a pattern's matches. Offsets are code points: sums of what stands before and of matches."""
-    gaps = F.regexp_extract_all(text, F.lit(f"(?s)(.*?)(?:{pattern})"), F.lit(1))
+    gaps = F.regexp_extract_all(text, F.lit(rf"(?s)\G(.*?)(?:{pattern})"), F.lit(1))  # \G: after the last match nothing is tried again
 
     def placed(hits: Column) -> Column:
         ends = running(F.zip_with(gaps, hits, lambda g, h: (F.length(g) + F.length(h)).cast("long")))

@@ -30,7 +30,7 @@ def excerpt(text: Column, wanted: list[str], before: int = BEFORE, width: int =
 def places(text: Column, quote: Column) -> Column:
     """array<int>: where a quote stands, also where it overlaps itself."""
     # What stands before each occurrence, and its first character: the next one may begin inside it.
-    escaped = F.concat(F.lit(r"(?s)(.*?)(?=\Q"), F.replace(quote, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E)."))
+    escaped = F.concat(F.lit(r"(?s)\G(.*?)(?=\Q"), F.replace(quote, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E)."))
     gaps = F.regexp_extract_all(text, escaped, F.lit(1))
     found = F.transform(running(F.transform(gaps, lambda g: (F.length(g) + 1).cast("long"))), lambda e: (e - 1).cast("int"))
     return F.when(F.length(quote) > 0, found).otherwise(F.array().cast("array<int>"))

@@ -52,7 +52,8 @@ PLAIN = tuple(n.replace("أ", "ا") for n in NAMES)
 def entries_by_rule(t: Tables) -> DataFrame:
     """k, page, heading, body (lines) of each entry."""
     k = F.col("p_partkey")
-    person, form, year = k % PERSONS, k % 6, 100 + k * 7 % 300
+    person = k % PERSONS
+    form, year = F.when((k % 6 == 2) & (person % 4 != 0), 1).otherwise(k % 6), 100 + person * 7 % 300
     label = F.concat(_name(person), F.lit(" بن "), _pick(NAMES, F.floor(person / 7) % 8))
     head = F.concat(k.cast("string"), F.lit(" - "), label, F.when(form == 0, F.concat(F.lit(" (ت "), year.cast("string"), F.lit(" هـ)"))).otherwise(""))
     died = F.when(form == 1, F.concat(F.lit("توفي سنة "), year.cast("string"), F.lit(" هـ."))).when(form == 2, F.concat(F.lit("مات سنة "), _pick(HUNDRED, k % 3), F.lit(" و"), _pick(TENS, k % 8), F.lit("."))).when(form == 3, F.lit("توفي سنة نحو مائتين.")).when(form == 5, F.lit("توفي سنة 230 أو 231."))
@@ -86,7 +87,7 @@ def pages(t: Tables) -> DataFrame:
 
 
 _RULES = f"""
-r AS (SELECT p_partkey AS k, p_partkey // {A_PAGE} AS page, p_partkey % {PERSONS} AS person, p_partkey % 6 AS form, 100 + p_partkey * 7 % 300 AS y FROM part),
+r AS (SELECT p_partkey AS k, p_partkey // {A_PAGE} AS page, p_partkey % {PERSONS} AS person, CASE WHEN p_partkey % 6 = 2 AND p_partkey % {PERSONS} % 4 <> 0 THEN 1 ELSE p_partkey % 6 END AS form, 100 + p_partkey % {PERSONS} * 7 % 300 AS y FROM part),
 e AS (SELECT *, {_sql_name('person')} || ' بن ' || {_sql_list(NAMES)}[(person // 7) % 8 + 1] AS label, {_sql_name('person', PLAIN)} || ' بن ' || {_sql_list(PLAIN)}[(person // 7) % 8 + 1] AS key,
   CASE form WHEN 1 THEN 'توفي سنة ' || y || ' هـ.' WHEN 2 THEN 'مات سنة ' || {_sql_list(HUNDRED)}[k % 3 + 1] || ' و' || {_sql_list(TENS)}[k % 8 + 1] || '.' WHEN 3 THEN 'توفي سنة نحو مائتين.' WHEN 5 THEN 'توفي سنة 230 أو 231.' ELSE '' END AS died,
   'روى عن: ' || {_sql_name('person + 1')} || '، ' || {_sql_name('k % 5 + 20')} || '.' AS l1, 'روى عنه: ' || {_sql_name('person + 9')} || '، ' || {_sql_name('k % 7 + 40')} || '.' AS l2,
