@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillspark.llm.common import map_arrow, materialize
+from quillspark.llm.url_filter import BITS_PER_URL, BROADCAST_BLOCKS, bits_of, block_of, bloom
 from quillspark.operators.components import components
 
 SHINGLE, SEED, BITS, RADIUS = 3, 42, 64, 3
@@ -233,7 +234,9 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     """One row of docs for each component: the one with its smallest key, nulls last, of equal keys by a hash of the row.
 
     Components are of fingerprints, so that unlike texts under one key, or under none, are told apart. Which rows stay is
-    decided on numbers; whole texts are written once and shuffled once. Columns `__fp` and `__row` are used inside.
+    decided on numbers; whole texts are written once. A Bloom filter of the rows that go is sent to them, up to
+    BROADCAST_BLOCKS blocks of it, and only those that it lets through are shuffled to be looked up; without it all are.
+    Columns that begin with two underscores are used inside.
     """
     columns = docs.columns
     schema = T.StructType([*docs.schema.fields, T.StructField("__fp", T.LongType())])
@@ -247,4 +250,17 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     classes = materialize(rows.groupBy(F.col("__fp").alias("fp")).agg(F.min(order).alias("lead")))
     roots = components(links(classes.select("fp")))
     leads = classes.join(roots, classes.fp == roots.node, "left").groupBy(F.coalesce("root", "fp")).agg(F.min("lead").alias("lead"))
-    return rows.join(leads.select(F.col("lead.__row").alias("__row")), "__row", "left_semi").select(*columns)
+    leads = materialize(leads.select(F.col("lead.__row").alias("__row")))
+    gone = materialize(rows.select("__row").join(leads, "__row", "left_anti"))
+    n = gone.count()
+    if not n:
+        return rows.select(*columns)
+    blocks = max(1, n * BITS_PER_URL // 64)
+    if blocks > BROADCAST_BLOCKS:
+        return rows.join(leads, "__row", "left_semi").select(*columns)
+    masks = F.broadcast(bloom(gone, "__row", blocks).select(F.col("block").alias("__block"), F.col("mask").alias("__mask")))
+    bits = bits_of(F.col("__row"))
+    probed = rows.join(masks, block_of(F.col("__row"), blocks) == F.col("__block"), "left")
+    maybe = F.coalesce(F.col("__mask").bitwiseAND(bits) == bits, F.lit(False))
+    sure = probed.where(~maybe).select(*columns)
+    return probed.where(maybe).join(gone, "__row", "left_anti").select(*columns).unionByName(sure)

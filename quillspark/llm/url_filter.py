@@ -52,11 +52,11 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> Co
     return out if out is not None else F.lit(None).cast("struct<rule:string,verdict:string>")
 
 
-def _block(url: Column, blocks: int) -> Column:
+def block_of(url: Column, blocks: int) -> Column:
     return F.pmod(F.xxhash64(url), F.lit(blocks))
 
 
-def _bits(url: Column) -> Column:
+def bits_of(url: Column) -> Column:
     """K of 64 bits, by six bits of a second hash each."""
     h, out = F.xxhash64(F.lit(7), url), None
     for i in range(K):
@@ -67,7 +67,7 @@ def _bits(url: Column) -> Column:
 
 def bloom(listed: DataFrame, url: str, blocks: int) -> DataFrame:
     """block, mask of the list's URLs."""
-    return listed.select(_block(F.col(url), blocks).alias("block"), _bits(F.col(url)).alias("bits")).groupBy("block").agg(F.bit_or("bits").alias("mask"))
+    return listed.select(block_of(F.col(url), blocks).alias("block"), bits_of(F.col(url)).alias("bits")).groupBy("block").agg(F.bit_or("bits").alias("mask"))
 
 
 def listed_urls(pages: DataFrame, listed: DataFrame, url: str = "canonical") -> DataFrame:
@@ -79,7 +79,7 @@ def listed_urls(pages: DataFrame, listed: DataFrame, url: str = "canonical") ->
     if blocks <= BROADCAST_BLOCKS:
         masks = F.broadcast(masks)
     columns = [c for c in pages.columns if c != "listed"]
-    probed = pages.select(*columns, F.col(url).alias("__c"), _block(F.col(url), blocks).alias("__b"), _bits(F.col(url)).alias("__m"))
+    probed = pages.select(*columns, F.col(url).alias("__c"), block_of(F.col(url), blocks).alias("__b"), bits_of(F.col(url)).alias("__m"))
     maybe = F.coalesce(F.col("__mask").bitwiseAND(F.col("__m")) == F.col("__m"), F.lit(False)) & F.col("__c").isNotNull()
     probed = probed.join(masks, F.col("__b") == F.col("__block"), "left").select(*columns, F.when(maybe, F.col("__c")).alias("__key"))
     on = F.col("__key") == F.col("__u")
