@@ -104,13 +104,12 @@ def _sent(sources: DataFrame, n: int) -> DataFrame:
 
 
 def _decided(docs: DataFrame, weights, share: float, most: float, bucket: int) -> tuple[DataFrame, DataFrame, int]:
-    """Rows with their prefix sums, one row a source with what the mix takes of it, and the number of sources.
+    """From a table with _numbers(): rows with their prefix sums, one row a source with what the mix takes of it, and the number of sources.
 
     rows: source, doc_id, row, size, key, at (place), end (prefix sum). sources: source, source_size, target, epochs, rest,
     cut (the place of the last row that fits), missing, filler (end and place of the row that makes up for what is missing).
     """
-    rows = materialize(docs.select("doc_id", "source", *_numbers(docs)))
-    rows = rows.select("source", "doc_id", F.col("__row").alias("row"), F.col("__size").alias("size"), F.col("__key").alias("key"), _place("__key", "doc_id", "__size", "__row").alias("at"))
+    rows = docs.select("source", "doc_id", F.col("__row").alias("row"), F.col("__size").alias("size"), F.col("__key").alias("key"), _place("__key", "doc_id", "__size", "__row").alias("at"))
     per = materialize(rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n")))
     n = per.count()
     sources = targets(per.select("source", "source_size"), weights, share, most)
@@ -140,7 +139,7 @@ def _decided(docs: DataFrame, weights, share: float, most: float, bucket: int) -
 
 def plan(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST, bucket: int = BUCKET) -> DataFrame:
     """Each row's doc_id, source, size, source_size, target, copies and taken."""
-    rows, sources, n = _decided(docs, weights, share, most, bucket)
+    rows, sources, n = _decided(materialize(docs.select("doc_id", "source", *_numbers(docs))), weights, share, most, bucket)
     own = _sent(sources.select(F.col("source").alias("__s"), "source_size", "target", "epochs", "filler"), n)
     rows = rows.join(own, F.col("source").eqNullSafe(F.col("__s")))
     once_more = ((F.col("end") <= F.col("rest")) & (F.col("size") > 0)) | F.coalesce(F.col("filler") == F.struct("end", "at"), F.lit(False))
@@ -155,7 +154,8 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SH
     of several equal rows are (they share the place of the cut or of the filler), one of them stands for all.
     """
     with scope() as keep:
-        rows, sources, n = _decided(docs, weights, share, most, bucket)
+        numbered = keep(materialize(docs.select("*", *_numbers(docs))))  # texts are looked at once; what is decided on is read by column
+        rows, sources, n = _decided(numbered, weights, share, most, bucket)
         # Equal rows at the two places: how many there are, and how many fit.
         ends = sources.select(F.col("source").alias("__s"), "epochs", F.explode(F.array_distinct(F.array(F.col("cut"), F.col("filler.at")))).alias("p"), F.col("filler.at").alias("f")).where("p IS NOT NULL")
         fits = (F.col("end") <= F.col("rest")) & (F.col("size") > 0)
@@ -167,7 +167,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SH
     some = equal.groupBy("source").agg(F.collect_list(F.struct("p", "all")).alias("__parted"))  # two a source at most
     own = few.join(some.select(F.col("source").alias("__s"), "__parted"), F.col("source").eqNullSafe(F.col("__s")), "left").drop("__s") if parted else few.withColumn("__parted", F.lit(None).cast(some.schema["__parted"].dataType))
     own = _sent(own.select(F.col("source").alias("__s"), F.col("epochs").alias("__e"), F.col("cut").alias("__cut"), F.col("filler").alias("__filler"), "__parted"), n)
-    found = docs.select("*", *_numbers(docs)).join(own, F.col("source").eqNullSafe(F.col("__s"))).withColumn("__at", _place("__key", "doc_id", "__size", "__row"))
+    found = numbered.join(own, F.col("source").eqNullSafe(F.col("__s"))).withColumn("__at", _place("__key", "doc_id", "__size", "__row"))
     more = (F.col("__size") > 0) & (F.coalesce(F.col("__at") <= F.col("__cut"), F.lit(False)) | F.coalesce(F.col("__at") == F.col("__filler"), F.lit(False)))
     columns = [F.col(f"`{c}`") for c in docs.columns]
 
