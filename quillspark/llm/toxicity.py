@@ -38,7 +38,7 @@ from quillspark.llm.common import materialize, pieces
 from quillspark.storage import release
 
 DIM, PREFIX, SAMPLE, LEAST_DOCS, LIFT, LEAST_Z, RARE, SLACK, MOST_FEATURES = 1 << 20, 4, 20_000, 4, 8.0, 4.0, 0.01, 0.005, 4096
-#: Words whose weights a worker keeps.
+#: Beginnings whose weights a worker keeps.
 CACHE = 100_000
 _TOKEN = re.compile(r"[^\W\d_]+")
 
@@ -63,27 +63,31 @@ class Model:
     weights: np.ndarray
     thresholds: np.ndarray
     cut: float
-    cache: dict[str, tuple[float, float]] = field(default_factory=dict, repr=False)
+    stems: dict[str, tuple[float, float]] = field(default_factory=dict, repr=False)
 
-    def _word(self, w: str) -> tuple[float, float]:
-        """What a word adds, and what its beginning adds when a second word shares it."""
-        own = float(self.weights[slot(w)] + self.weights[slot("^" + w[:PREFIX])])
-        return own, float(self.weights[slot("2^" + w[:PREFIX])]) if len(w) > PREFIX else 0.0
+    def __post_init__(self):
+        at = np.flatnonzero(self.weights)
+        self.table = dict(zip(at.tolist(), self.weights[at].tolist(), strict=True))
+
+    def _stem(self, stem: str) -> tuple[float, float]:
+        """What a beginning adds for each word, and once more when a second word shares it."""
+        got = self.table.get(slot("^" + stem), 0.0), self.table.get(slot("2^" + stem), 0.0)
+        if len(self.stems) < CACHE:
+            self.stems[stem] = got
+        return got
 
     def raw(self, words: set[str]) -> float:
-        total, cache, seen = 0.0, self.cache, {}
+        total, get, stems, seen, crc = 0.0, self.table.get, self.stems, set(), zlib.crc32
+        shared = set()
         for w in words:
-            got = cache.get(w)
-            if got is None:
-                got = self._word(w)
-                if len(cache) < CACHE:
-                    cache[w] = got
-            total += got[0]
-            if got[1]:
-                stem = w[:PREFIX]
-                if seen.get(stem) == 1:
+            stem = w[:PREFIX]
+            got = stems.get(stem) or self._stem(stem)
+            total += get(crc(w.encode()) % DIM, 0.0) + got[0]
+            if got[1] and len(w) > PREFIX:
+                if stem in seen and stem not in shared:
+                    shared.add(stem)
                     total += got[1]
-                seen[stem] = seen.get(stem, 0) + 1
+                seen.add(stem)
         return total
 
     def above(self, raw: np.ndarray) -> np.ndarray:

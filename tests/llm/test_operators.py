@@ -199,12 +199,15 @@ def test_near_duplicates_equal_brute_force(spark, odd):
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [0, 2, 3, 4] and kept.columns == odd.columns
 
 
-def test_keep_one_tells_unlike_texts_of_equal_or_no_key_apart(spark):
+def test_keep_one_tells_unlike_texts_of_equal_or_no_key_apart(spark, monkeypatch):
     rnd = random.Random(12)
     a, b, c, d = (" ".join(rnd.choice("abcdefghij") * rnd.randint(1, 4) for _ in range(60)) for _ in range(4))
     rows = [(1, a), (None, a), (None, b), (None, c), (None, c), (2, a), (2, d), (2, d)]
     df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOC)
     want = [(1, a), (2, d), (None, b), (None, c)]
+    for most in (simhash.BROADCAST_BLOCKS, 0):  # what goes is sent as a filter, or all rows are looked up
+        monkeypatch.setattr(simhash, "BROADCAST_BLOCKS", most)
+        assert sorted(((r.doc_id, r.text) for r in simhash.keep_one(df).collect()), key=str) == sorted(want, key=str)
     for given in (df, df.repartition(3, "text")):
         got = [(r.doc_id, r.text) for r in simhash.keep_one(given).collect()]
         assert sorted(got, key=str) == sorted(want, key=str)
@@ -474,7 +477,7 @@ def test_bloom_has_no_false_negative_and_few_false_positives(spark):
     listed = spark.range(3000).select(F.concat(F.lit("u"), "id").alias("c"))
     blocks = 3000 * url_filter.BITS_PER_URL // 64
     masks = url_filter.bloom(listed, "c", blocks)
-    probe = spark.range(6000).select("id", F.concat(F.lit("u"), "id").alias("c")).withColumn("b", url_filter._block(F.col("c"), blocks)).withColumn("m", url_filter._bits(F.col("c")))
+    probe = spark.range(6000).select("id", F.concat(F.lit("u"), "id").alias("c")).withColumn("b", url_filter.block_of(F.col("c"), blocks)).withColumn("m", url_filter.bits_of(F.col("c")))
     hit = probe.join(masks, F.col("b") == F.col("block")).where(F.col("mask").bitwiseAND(F.col("m")) == F.col("m"))
     assert hit.where("id < 3000").count() == 3000 and hit.where("id >= 3000").count() < 120
 
