@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillspark.llm.common import pieces
+from quillspark.llm.common import bounded, pieces
 
 LEAF = 2048
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -157,6 +157,7 @@ def decode_tree(table: list[bytes], ids: np.ndarray, leaf: int = LEAF) -> bytes:
 
 def _mapped(df: DataFrame, source: str, target: str, make) -> DataFrame:
     """df with a binary column `target` made from `source`, batch by batch."""
+    bounded(df.sparkSession)
     rest = [c for c in df.columns if c != target]
     schema = T.StructType([df.schema[c] for c in rest] + [T.StructField(target, T.BinaryType())])
 

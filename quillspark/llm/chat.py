@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.llm import bpe
-from quillspark.llm.common import pieces
+from quillspark.llm.common import bounded, pieces
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 LEARNED = ("assistant",)
@@ -61,6 +61,7 @@ def loss_mask(ids: np.ndarray, first: int) -> np.ndarray:
 
 def format_turns(rows: DataFrame, learned: tuple[str, ...] = LEARNED, path: str | None = None, pattern: str | None = None) -> DataFrame:
     """conv_id, turn, role, text, ids: each row's segment of the conversation as little-endian unsigned 32-bit ids."""
+    bounded(rows.sparkSession)
     own = bpe.named(VOCABULARY)
     path, pattern = path or own[0], pattern or own[1]
     src = rows.select("conv_id", "turn", F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))

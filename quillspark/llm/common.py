@@ -5,17 +5,27 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from quillspark.storage import materialize, scratch, table
 
-__all__ = ["BATCH_ROWS", "WORD", "map_arrow", "materialize", "pieces", "scratch", "table"]
+__all__ = ["BATCH_ROWS", "WORD", "bounded", "map_arrow", "materialize", "pieces", "scratch", "table"]
 
 #: Words are runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
 #: Rows of text that become Python objects at a time.
 BATCH_ROWS = 256
+_ROWS, _DEFAULT = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+
+
+def bounded(spark: SparkSession) -> None:
+    """Small Arrow batches for texts where the session has Spark's default; a value of its own stays as it is.
+
+    Spark's own batches are of up to 64 MB, and executors keep buffers of that size for every Python stage.
+    """
+    if spark.conf.get(_ROWS) == _DEFAULT:
+        spark.conf.set(_ROWS, str(BATCH_ROWS))
 
 
 def pieces(batches: Iterable[pa.RecordBatch], rows: int = BATCH_ROWS) -> Iterator[pa.RecordBatch]:
@@ -23,7 +33,9 @@ def pieces(batches: Iterable[pa.RecordBatch], rows: int = BATCH_ROWS) -> Iterato
     for b in batches:
         for at in range(0, b.num_rows, rows):
             yield b.slice(at, rows)
+    pa.default_memory_pool().release_unused()  # workers wait for further tasks
 
 
 def map_arrow(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch], schema) -> DataFrame:
+    bounded(df.sparkSession)
     return df.mapInArrow(lambda batches: map(f, pieces(batches)), schema)

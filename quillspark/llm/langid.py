@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillspark.llm.common import materialize, pieces
+from quillspark.llm.common import bounded, materialize, pieces
 from quillspark.storage import release
 
 K, SIZES, PLANES, LEAST_SLOTS, MOST_SLOTS = 3, (3, 4), 2, 1 << 16, 1 << 22
@@ -150,6 +150,7 @@ def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
 
     Whole texts are read, PIECE characters at a time.
     """
+    bounded(docs.sparkSession)
     rows = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
     sizes = rows.groupBy(F.col(lang).alias("l")).count().collect()
     if not sizes:
@@ -198,6 +199,7 @@ def predict(docs: DataFrame, f: Filter, text: str = "text", names: tuple[str, ..
 
     The filter has a bounded size (MOST_SLOTS masks), which is what is broadcast.
     """
+    bounded(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast((f.languages, f.table.shape, f.table.dtype.str, f.table.tobytes(), f.wrong.tolist()))
     rest = [c for c in docs.columns if c not in names]
     kinds = (T.StringType(), T.DoubleType(), T.DoubleType())

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillspark.llm.common import materialize, pieces
+from quillspark.llm.common import bounded, materialize, pieces
 from quillspark.storage import release
 
 DIM, PREFIX, SAMPLE, LEAST_DOCS, LIFT, LEAST_Z, RARE, SLACK, MOST_FEATURES = 1 << 20, 4, 20_000, 4, 8.0, 4.0, 0.01, 0.005, 4096
@@ -228,6 +228,7 @@ def _each(rows: DataFrame, make) -> tuple[list, np.ndarray, list[np.ndarray]]:
 
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """A model from the labelled rows of docs."""
+    bounded(docs.sparkSession)
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("k")).agg(F.max("toxic").alias("toxic"))
     n = known.count()
     if n > sample:
@@ -278,6 +279,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
 def score(docs: DataFrame, model: Model, text: str = "text", names: tuple[str, str, str] = ("severity", "grade", "toxic")) -> DataFrame:
     """docs with severity (0 to 2), grade (the likeliest) and toxic (severity above the model's cut), under `names`."""
+    bounded(docs.sparkSession)
     at = np.flatnonzero(model.weights)
     sent = docs.sparkSession.sparkContext.broadcast((at.astype(np.int32), model.weights[at], model.thresholds, model.cut))  # DIM weights at most
     rest = [c for c in docs.columns if c not in names]
