@@ -10,6 +10,9 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Bytes that a task holds back before it writes them.
+_ROW_GROUP = 1 << 24
+
 _written: list[tuple[SparkSession, str]] = []
 #: Tables by the identity of their DataFrame, which is kept so that the number isn't used again.
 _paths: dict[int, tuple[DataFrame, str]] = {}
@@ -40,7 +43,7 @@ def materialize(df: DataFrame) -> DataFrame:
     """Writes df to the shared folder and reads it again: cuts lineage and survives lost executors."""
     spark = df.sparkSession
     path = f"{scratch(spark)}/quill-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", _ROW_GROUP).parquet(path)
     _written.append((spark, path))
     out = spark.read.schema(df.schema).parquet(path)
     _paths[id(out)] = (out, path)
