@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -28,12 +30,22 @@ def bounded(spark: SparkSession) -> None:
         spark.conf.set(_ROWS, str(BATCH_ROWS))
 
 
+def _give_back() -> None:
+    """Returns freed memory to the system: workers wait for further tasks beside those that work."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except AttributeError:  # another C library
+            return
+
+
 def pieces(batches: Iterable[pa.RecordBatch], rows: int = BATCH_ROWS) -> Iterator[pa.RecordBatch]:
     """Runs of at most `rows` rows, none empty. Spark cuts its batches by bytes; Python objects take several times as many."""
     for b in batches:
         for at in range(0, b.num_rows, rows):
             yield b.slice(at, rows)
-    pa.default_memory_pool().release_unused()  # workers wait for further tasks
+    _give_back()
 
 
 def map_arrow(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch], schema) -> DataFrame:
