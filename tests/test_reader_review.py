@@ -9,14 +9,24 @@ from quillspark.sources import sinks
 
 
 def test_small_functions(spark):
+    def one(make, *values):
+        df = spark.createDataFrame([values], ", ".join(f"v{i} {'int' if isinstance(v, int) else 'string'}" for i, v in enumerate(values)))
+        return df.select(make(*[F.col(f"v{i}") for i in range(len(values))]).alias("x")).first().x
+
     text = "كلام كثير قبل " * 20 + "أُسامة بن عمير ثم كلام"
-    a, b = passages.excerpt(text, "اسامة")
-    assert "أُسامة" in text[a:b] and b - a <= 340 and passages.excerpt("abc", "zzz") == (0, 3)
-    assert passages.reanchor("xx abc yy", "abc", 3, "", "") == (3, 6)
-    assert passages.reanchor("zz xx abc yy", "abc", 3, "zz xx ", " yy") == (6, 9)
-    assert passages.reanchor("abc abc", "abc", 1, "q", "q") is None
-    assert passages.fnv1a_base36("") == "ztntfp" and passages.fnv1a_base36("a") != passages.fnv1a_base36("b")
-    assert passages.reader_fold("أُسَامَة") == "اسامه"
+    got = one(lambda t: passages.excerpt(t, ["اسامة"]), text)
+    assert "أُسامة" in got.text and text[got.start : got.end] == got.text and got.end - got.start <= 340
+    assert one(lambda t: passages.excerpt(t, ["zzz"]), "abc")[1:] == (0, 3)
+    assert one(passages.reanchor, "xx abc yy", "abc", 3, "", "") == 3
+    assert one(passages.reanchor, "zz xx abc yy", "abc", 3, "zz xx ", " yy") == 6
+    assert one(passages.reanchor, "abc abc", "abc", 1, "q", "q") is None
+    assert one(passages.page_locator, "") == "ztntfp" and one(passages.page_locator, "a") != one(passages.page_locator, "b")
+    assert one(passages.reader_fold, "أُسَامَة") == "اسامه"
+    assert one(reader.heading_match, "12 - أُسامة ابن عمير، والد", "أسامة بن عمير") and not one(reader.heading_match, "باب أسامة", "أسامة")
+    assert one(reader.assessment, "3 - فلان صدوق يخطئ من السابعة", "تقريب التهذيب") == "صدوق يخطئ" and one(reader.assessment, "صدوق", "غيره") is None
+    titles = ["تقريب التهذيب", "الإصابة في تمييز الصحابة", "تهذيب التهذيب", "تهذيب الكمال", "إكمال تهذيب الكمال", "كتاب"]
+    for companion, want in ((False, [0, 4, 1, 2, 5, 5]), (True, [0, 1, 2, 3, 5, 5])):
+        assert [one(lambda t: reader.priority(t, F.lit(companion)), t) for t in titles] == want  # noqa: B023
     r = spark.createDataFrame([(10, [(2, 6), (4, 8)])], "n int, r array<struct<start:int,end:int>>")
     got = r.select(passages.elementary_intervals(F.col("n"), F.col("r")).alias("x")).first().x
     assert [(p.start, p.end, p.over) for p in got] == [(0, 2, []), (2, 4, [0]), (4, 6, [0, 1]), (6, 8, [1]), (8, 10, [])]
