@@ -30,7 +30,7 @@ GRADES = {
     "sahih": ("اسناده صحيح", "صحيح الاسناد", "هذا حديث صحيح", "صحيح لغيره"),
     "hasan": ("هذا حديث حسن", "اسناده حسن", "حديث حسن"),
 }
-CHAIN_WORD, REPORT_NUMBER, NUMBER_REACH, NOTE_REACH = "اسناد", rf"\A(?:[​‌]|{SPACE})*(\p{{Nd}}{{1,5}}){SPACE}*[-–]", 25, 160
+CHAIN_WORD, REPORT_NUMBER, NUMBER_REACH, NOTE_REACH = "اسناد", rf"\A(?:[​‌]|{SPACE})*(\p{{Nd}}+){SPACE}*[-–]", 25, 160
 
 
 def _listed(tail: Column) -> Column:
