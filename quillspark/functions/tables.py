@@ -44,7 +44,7 @@ def _page(html):
     if html is None:
         return None
     got = html_pages.parse(html.encode())
-    return got["pages"][0]["text"], got["metadata"]["_html_title"], got["fallback"], len(got["pages"])
+    return got["pages"][0]["text"], got["metadata"]["_html_title"], got["fallback"], len(got["pages"]), got["source_title"]
 
 
 #: text, array<struct<start,end>> of regions, footnotes
@@ -52,7 +52,7 @@ detect = _Function(_detect, f"array<{statements.STATEMENT}>")
 #: text, array<struct<start,head,end>> of entries, footnotes
 evidence = _Function(_evidence, f"array<{years.ITEM}>")
 parse_year = _Function(_parse_year, years.YEAR)
-page = _Function(_page, "struct<text:string,title:string,fallback:boolean,pages:int>")
+page = _Function(_page, "struct<text:string,title:string,fallback:boolean,pages:int,source_title:string>")
 
 
 class _Statements:
