@@ -7,6 +7,7 @@ opening_page_id); decisions are (left_id, right_id, decision) with left_id < rig
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,15 +47,19 @@ def inventory(entries: DataFrame, least: int = 25, words: int = 5, low: int = 2,
     return kept.join(g.select("name_key"), "name_key", "left_semi")
 
 
-def bulk_candidates(members: DataFrame, statements: DataFrame, decisions: DataFrame, least: int = 60) -> DataFrame:
+def bulk_candidates(members: DataFrame, statements: DataFrame, decisions: DataFrame | Callable[[Column, Column], Column], least: int = 60) -> DataFrame:
     """Pairs of one inventory name that share long quotes, however many entries hold a quote, with how their years relate
-    and what reviewers have said (E9, A22 to A24, J26). members: entry_id, name_key, year. statements: entry_id, text_sha256, chars."""
-    long_ = statements.where(F.col("chars") >= least).join(members.select("entry_id", "name_key"), "entry_id")
-    got = pairs.shared_text_pairs(long_, "entry_id", "text_sha256", within="name_key")
-    l, r = members.select(F.col("entry_id").alias("left_id"), "name_key", F.col("year").alias("__l")), members.select(F.col("entry_id").alias("right_id"), F.col("year").alias("__r"))
-    d = decisions.select(*pairs.ordered("left_id", "right_id"), "decision")
-    got = got.join(l, "left_id").join(r, "right_id").join(d, ["left_id", "right_id"], "left")
-    return got.select("left_id", "right_id", "name_key", "shared", pairs.literal_priority(F.col("shared")).alias("priority"), chronology.date_relation(F.col("__l"), F.col("__r")).alias("date_relation"), "decision")
+    and what reviewers have said (E9, A22 to A24, J26). members: entry_id, name_key, year. statements: entry_id, text_sha256,
+    chars, and name_key where it is known. decisions may be a rule of a pair's ends: then no pair travels."""
+    long_ = statements.where(F.col("chars") >= least)
+    if "name_key" not in long_.columns:
+        long_ = long_.join(members.select("entry_id", "name_key").distinct(), "entry_id")
+    got = pairs.meetings(long_, "entry_id", ["text_sha256"], within="name_key", of=members.select("entry_id", "name_key", "year"))
+    if isinstance(decisions, DataFrame):
+        got = got.join(decisions.select(*pairs.ordered("left_id", "right_id"), "decision"), ["left_id", "right_id"], "left")
+    else:
+        got = got.withColumn("decision", decisions(F.col("left_id"), F.col("right_id")))
+    return got.select("left_id", "right_id", "name_key", "shared", pairs.literal_priority(F.col("shared")).alias("priority"), chronology.date_relation(F.col("left_year"), F.col("right_year")).alias("date_relation"), "decision")
 
 
 def literal_candidates(members: DataFrame, statements: DataFrame, cap: int | None = 20, least: int = 60) -> DataFrame:
